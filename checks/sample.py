@@ -16,7 +16,6 @@ from pitchlake.catalog.teams import FEED_ALIASES, TEAMS
 TEAM_IDS = [t[0] for t in TEAMS]
 TEAM_ABBRS = [t[1] for t in TEAMS]
 FEED_ABBRS = [FEED_ALIASES.get(a, a) for a in TEAM_ABBRS]
-GAMES_PER_LAP = len(TEAMS)
 TITLES = list(UMPIRE_POSITIONS)[:4]
 
 
@@ -26,153 +25,128 @@ def _pick(values: list, index: Column) -> Column:
 
 
 def _div(value: Column, by: int) -> Column:
-    """Whole-number quotient of a non-negative bigint."""
+    """Whole-number quotient."""
     return F.call_function("div", value, F.lit(by))
 
 
-def _game_facts(g: Column) -> dict[str, Column]:
-    year = F.lit(2022) + g % 4
-    turn = _div(g, 4)
-    home = g % GAMES_PER_LAP
-    return {
-        "game_year": year,
-        "game_date": F.date_add(F.make_date(year.cast("int"), F.lit(4), F.lit(1)),
-                                (turn % 180).cast("int")),
-        "game_type": F.when(g % 20 == 19, "S").when(g % 40 == 38, "D").otherwise("R"),
-        "home": home,
-        "away": (g + 1 + _div(g, GAMES_PER_LAP) % (GAMES_PER_LAP - 1)) % GAMES_PER_LAP,
-        "away_pace": F.lit(1) + turn % 4,
-        "home_pace": F.lit(1) + _div(g, 16) % 4,
-    }
+def _array(values: list) -> str:
+    return "array(" + ", ".join("NULL" if v is None else repr(v) for v in values) + ")"
+
+
+_GAME_FACTS = (
+    "2022 + game_pk % 4 AS game_year",
+    "date_add(make_date(CAST(2022 + game_pk % 4 AS INT), 4, 1),"
+    " CAST((game_pk div 4) % 180 AS INT)) AS game_date",
+    "CASE WHEN game_pk % 20 = 19 THEN 'S' WHEN game_pk % 40 = 38 THEN 'D' ELSE 'R' END"
+    " AS game_type",
+    "game_pk % 30 AS home",
+    "(game_pk + 1 + (game_pk div 30) % 29) % 30 AS away",
+    "1 + (game_pk div 4) % 4 AS away_pace",
+    "1 + (game_pk div 16) % 4 AS home_pace",
+)
+_LINE = (
+    "l_orderkey AS k",
+    "l_partkey AS pk",
+    "l_suppkey AS sk",
+    "CAST(l_linenumber AS BIGINT) AS ln",
+    "CAST(l_quantity AS BIGINT) AS q",
+    "CAST(round(l_discount * 100) AS BIGINT) AS d",
+    "CAST(round(l_tax * 100) AS BIGINT) AS t",
+    "l_orderkey div 75 AS game_pk",
+    "l_orderkey % 75 + 1 AS at_bat_number",
+)
+_PLACE = (
+    "1 + (ln - 1) * 3 + pk % 3 AS pitch_number",
+    "(at_bat_number - 1) div 8 + 1 AS inning",
+    "((at_bat_number - 1) div 4) % 2 = 0 AS top",
+    "(pk + sk) % 4 = 0 AS last",
+    "(q + d) % 10 AS v",
+    "4 * ((at_bat_number - 1) div 8) + least((at_bat_number - 1) % 8, 4) AS away_up",
+    "4 * ((at_bat_number - 1) div 8) + greatest((at_bat_number - 1) % 8 - 4, 0) AS home_up",
+)
+_PLAY = (
+    "if(top, away, home) AS bt",
+    "if(top, home, away) AS ft",
+    "(home_up * home_pace) div 6 AS home_score",
+    "(away_up * away_pace) div 6 AS away_score",
+    "((home_up + if(last AND NOT top, 1, 0)) * home_pace) div 6 AS post_home_score",
+    "((away_up + if(last AND top, 1, 0)) * away_pace) div 6 AS post_away_score",
+    "CASE WHEN NOT last THEN element_at("
+    + _array(["called_strike", "ball", "swinging_strike", "foul", "ball", "foul_tip",
+              "blocked_ball"])
+    + ", CAST(pk % 7 + 1 AS INT)) WHEN v < 7 THEN 'hit_into_play'"
+    " WHEN v = 7 THEN 'swinging_strike' WHEN v = 8 THEN 'ball' ELSE 'called_strike' END"
+    " AS description",
+    "CASE WHEN NOT last THEN NULL WHEN v < 7 THEN element_at("
+    + _array(["field_out"] * 6 + ["single"] * 2 + ["double", "home_run"])
+    + ", CAST(pk % 10 + 1 AS INT)) WHEN v = 8 THEN 'walk' ELSE 'strikeout' END AS events",
+    "last AND v < 7 AND pk % 50 <> 0 AS contact",
+    "1000 + if(top, home, away) * 4 + (inning - 1) div 3 AS pitcher",
+    "if(pk % 97 <> 0, 75D + q * 0.5D, NULL) AS release_speed",
+)
+_PITCH = (
+    "game_pk", "game_date", "game_year", "game_type", "at_bat_number", "pitch_number",
+    "concat(k, '_', ln) AS sv_id",
+    "5000 + bt * 9 + at_bat_number % 9 AS batter",
+    "pitcher",
+    "concat('Pitcher ', pitcher) AS player_name",
+    "9000 + ft * 2 + game_pk % 2 AS fielder_2",
+    f"element_at({_array(FEED_ABBRS)}, CAST(home + 1 AS INT)) AS home_team",
+    f"element_at({_array(FEED_ABBRS)}, CAST(away + 1 AS INT)) AS away_team",
+    "inning",
+    "if(top, 'Top', 'Bot') AS inning_topbot",
+    "ln % 4 AS balls", "q % 3 AS strikes", "k % 3 AS outs_when_up",
+    "if(k % 4 = 0, 5000 + bt * 9, NULL) AS on_1b",
+    "if(k % 5 = 0, 5001 + bt * 9, NULL) AS on_2b",
+    "if(k % 7 = 0, 5002 + bt * 9, NULL) AS on_3b",
+    "home_score", "away_score", "post_home_score", "post_away_score",
+    "if(top, away_score, home_score) AS bat_score",
+    "if(top, home_score, away_score) AS fld_score",
+    "if(top, post_away_score, post_home_score) AS post_bat_score",
+    "if(top, post_home_score, post_away_score) AS post_fld_score",
+    "element_at(" + _array(["FF", "SI", "SL", "CH", "CU", "FC", "ST", None])
+    + ", CAST(sk % 8 + 1 AS INT)) AS pitch_type",
+    "release_speed",
+    "release_speed + if(pk % 101 = 0, 20D, 0D) AS effective_speed",
+    "if(pk % 89 <> 0, 1500 + pk % 2000, NULL) AS release_spin_rate",
+    "CAST(sk % 100 - 20 AS DOUBLE) AS arm_angle",
+    "(d - 5) * 0.1875D AS plate_x",
+    "1D + t * 0.375D AS plate_z",
+    "3.5D AS sz_top", "1.5D AS sz_bot",
+    "1 + pk % 14 AS zone",
+    "description", "events",
+    "if(contact, CAST(60 + q AS DOUBLE), NULL) AS launch_speed",
+    "if(contact, pk % 91 - 30, NULL) AS launch_angle",
+    "if(contact, 1 + (ln + q) % 6, NULL) AS launch_speed_angle",
+    "if(contact, d / 8D, NULL) AS estimated_woba_using_speedangle",
+    "CASE events WHEN 'single' THEN 0.875D WHEN 'double' THEN 1.25D WHEN 'home_run' THEN 2D"
+    " WHEN 'walk' THEN 0.6875D WHEN 'field_out' THEN 0D WHEN 'strikeout' THEN 0D END"
+    " AS woba_value",
+    "if(last, CAST(if(k % 41 = 0, 0, 1) AS BIGINT), NULL) AS woba_denom",
+    "if(game_year >= 2024 AND description IN ('swinging_strike', 'foul', 'hit_into_play'),"
+    " 60D + q * 0.5D, NULL) AS bat_speed",
+    "if((at_bat_number % 9) % 3 = 0, 'L', 'R') AS stand",
+    "CASE WHEN pk % 333 = 0 THEN 'S' WHEN pitcher % 3 = 0 THEN 'L' ELSE 'R' END AS p_throws",
+    "if(pk % 500 = 0, pk % 360, NULL) AS spin_dir",
+    "CAST(NULL AS BIGINT) AS umpire",
+)
 
 
 def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        F.col("l_orderkey").alias("k"),
-        F.col("l_partkey").alias("pk"),
-        F.col("l_suppkey").alias("sk"),
-        F.col("l_linenumber").cast("bigint").alias("ln"),
-        F.col("l_quantity").cast("bigint").alias("q"),
-        F.round(F.col("l_discount") * 100).cast("bigint").alias("d"),
-        F.round(F.col("l_tax") * 100).cast("bigint").alias("t"),
-    )
-    c = {name: F.col(name) for name in ("k", "pk", "sk", "ln", "q", "d", "t")}
-    g, ab = F.col("game_pk"), F.col("at_bat_number")
-    base = line.select(
-        "*", _div(c["k"], 75).alias("game_pk"), (c["k"] % 75 + 1).alias("at_bat_number"),
-    )
-    base = base.select(
-        "*",
-        *[v.alias(n) for n, v in _game_facts(g).items()],
-        (F.lit(1) + (c["ln"] - 1) * 3 + c["pk"] % 3).alias("pitch_number"),
-        (_div(ab - 1, 8) + 1).alias("inning"),
-        F.when(_div(ab - 1, 4) % 2 == 0, "Top").otherwise("Bot").alias("inning_topbot"),
-        ((c["pk"] + c["sk"]) % 4 == 0).alias("last"),
-        ((c["q"] + c["d"]) % 10).alias("v"),
-    )
-    top = F.col("inning_topbot") == "Top"
-    place = (ab - 1) % 8
-    block = _div(ab - 1, 8) * 4
-    up_before = {"away": block + F.least(place, F.lit(4)),
-                 "home": block + F.greatest(place - 4, F.lit(0))}
-
-    def runs(side: str, extra: Column) -> Column:
-        return _div((up_before[side] + extra) * F.col(f"{side}_pace"), 6)
-
-    def scored(half: Column) -> Column:
-        return F.when(F.col("last") & half, 1).otherwise(0)
-
-    zero = F.lit(0)
-    nonfinal = _pick(["called_strike", "ball", "swinging_strike", "foul", "ball", "foul_tip",
-                      "blocked_ball"], c["pk"] % 7)
-    base = base.select(
-        "*",
-        F.when(top, F.col("away")).otherwise(F.col("home")).alias("bt"),
-        F.when(top, F.col("home")).otherwise(F.col("away")).alias("ft"),
-        runs("home", zero).alias("home_score"),
-        runs("away", zero).alias("away_score"),
-        runs("home", scored(~top)).alias("post_home_score"),
-        runs("away", scored(top)).alias("post_away_score"),
-        F.when(~F.col("last"), nonfinal)
-        .when(F.col("v") < 7, "hit_into_play")
-        .when(F.col("v") == 7, "swinging_strike")
-        .when(F.col("v") == 8, "ball")
-        .otherwise("called_strike").alias("description"),
-        F.when(~F.col("last"), None)
-        .when(F.col("v") < 7, _pick(["field_out"] * 6 + ["single"] * 2 + ["double", "home_run"],
-                                    c["pk"] % 10))
-        .when(F.col("v") == 8, "walk")
-        .otherwise("strikeout").alias("events"),
-        (F.col("last") & (F.col("v") < 7) & (c["pk"] % 50 != 0)).alias("contact"),
-    )
-
-    def on_contact(value: Column) -> Column:
-        return F.when(F.col("contact"), value)
-
-    speed = F.when(c["pk"] % 97 != 0, F.lit(75.0) + c["q"] * 0.5)
-    team = [F.lit(a) for a in FEED_ABBRS]
-    bt, ft = F.col("bt"), F.col("ft")
-    pitcher = F.lit(1000) + ft * 4 + _div(F.col("inning") - 1, 3)
-    events = F.col("events")
-    return base.select(
-        "game_pk", "game_date", "game_year", "game_type", "at_bat_number", "pitch_number",
-        F.concat_ws("_", c["k"], c["ln"]).alias("sv_id"),
-        (F.lit(5000) + bt * 9 + ab % 9).alias("batter"),
-        pitcher.alias("pitcher"),
-        F.concat(F.lit("Pitcher "), pitcher).alias("player_name"),
-        (F.lit(9000) + ft * 2 + g % 2).alias("fielder_2"),
-        F.element_at(F.array(*team), (F.col("home") + 1).cast("int")).alias("home_team"),
-        F.element_at(F.array(*team), (F.col("away") + 1).cast("int")).alias("away_team"),
-        "inning", "inning_topbot",
-        (c["ln"] % 4).alias("balls"), (c["q"] % 3).alias("strikes"),
-        (c["k"] % 3).alias("outs_when_up"),
-        F.when(c["k"] % 4 == 0, F.lit(5000) + bt * 9).alias("on_1b"),
-        F.when(c["k"] % 5 == 0, F.lit(5001) + bt * 9).alias("on_2b"),
-        F.when(c["k"] % 7 == 0, F.lit(5002) + bt * 9).alias("on_3b"),
-        "home_score", "away_score", "post_home_score", "post_away_score",
-        F.when(top, F.col("away_score")).otherwise(F.col("home_score")).alias("bat_score"),
-        F.when(top, F.col("home_score")).otherwise(F.col("away_score")).alias("fld_score"),
-        F.when(top, F.col("post_away_score")).otherwise(F.col("post_home_score"))
-        .alias("post_bat_score"),
-        F.when(top, F.col("post_home_score")).otherwise(F.col("post_away_score"))
-        .alias("post_fld_score"),
-        _pick(["FF", "SI", "SL", "CH", "CU", "FC", "ST", None], c["sk"] % 8).alias("pitch_type"),
-        speed.alias("release_speed"),
-        (speed + F.when(c["pk"] % 101 == 0, 20.0).otherwise(0.0)).alias("effective_speed"),
-        F.when(c["pk"] % 89 != 0, F.lit(1500) + c["pk"] % 2000).alias("release_spin_rate"),
-        (c["sk"] % 100 - 20).cast("double").alias("arm_angle"),
-        ((c["d"] - 5) * 0.1875).alias("plate_x"),
-        (F.lit(1.0) + c["t"] * 0.375).alias("plate_z"),
-        F.lit(3.5).alias("sz_top"), F.lit(1.5).alias("sz_bot"),
-        (F.lit(1) + c["pk"] % 14).alias("zone"),
-        "description", "events",
-        on_contact((F.lit(60) + c["q"]).cast("double")).alias("launch_speed"),
-        on_contact(c["pk"] % 91 - 30).alias("launch_angle"),
-        on_contact(F.lit(1) + (c["ln"] + c["q"]) % 6).alias("launch_speed_angle"),
-        on_contact(c["d"] / F.lit(8.0)).alias("estimated_woba_using_speedangle"),
-        F.when(events == "single", 0.875).when(events == "double", 1.25)
-        .when(events == "home_run", 2.0).when(events == "walk", 0.6875)
-        .when(events.isNotNull(), 0.0).alias("woba_value"),
-        F.when(F.col("last"), F.when(c["k"] % 41 == 0, 0).otherwise(1)).cast("bigint")
-        .alias("woba_denom"),
-        F.when(
-            (F.col("game_year") >= 2024)
-            & F.col("description").isin("swinging_strike", "foul", "hit_into_play"),
-            F.lit(60.0) + c["q"] * 0.5,
-        ).alias("bat_speed"),
-        F.when((ab % 9) % 3 == 0, "L").otherwise("R").alias("stand"),
-        F.when(c["pk"] % 333 == 0, "S").when(pitcher % 3 == 0, "L").otherwise("R")
-        .alias("p_throws"),
-        F.when(c["pk"] % 500 == 0, c["pk"] % 360).alias("spin_dir"),
-        F.lit(None).cast("bigint").alias("umpire"),
+    return (
+        spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+        .selectExpr(*_LINE)
+        .selectExpr("*", *_GAME_FACTS, *_PLACE)
+        .selectExpr("*", *_PLAY)
+        .selectExpr(*_PITCH)
     )
 
 
 def game_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per game of the orders table, with the facts that depend on the game alone."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    keys = orders.select(_div(F.col("o_orderkey"), 75).alias("game_pk")).distinct()
-    return keys.select("game_pk", *[v.alias(n) for n, v in _game_facts(F.col("game_pk")).items()])
+    keys = orders.selectExpr("o_orderkey div 75 AS game_pk").distinct()
+    return keys.selectExpr("game_pk", *_GAME_FACTS)
 
 
 def schedule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

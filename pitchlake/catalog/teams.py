@@ -54,7 +54,9 @@ def teams(spark: SparkSession) -> DataFrame:
 
     The size is fixed by the list above, so joins may broadcast it without a check.
     """
-    frame = spark.createDataFrame(
-        TEAMS, "team_id bigint, abbr string, league string, division string, full_name string"
+    rows = ", ".join(str(team) for team in TEAMS)
+    frame = spark.sql(
+        f"SELECT CAST(team_id AS BIGINT) AS team_id, abbr, league, division, full_name"
+        f" FROM VALUES {rows} AS t(team_id, abbr, league, division, full_name)"
     )
     return frame.withColumn("feed_abbr", feed_abbreviation(F.col("abbr")))

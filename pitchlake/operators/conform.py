@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from pitchlake.catalog.columns import SPARK_TYPES, TableLayout
@@ -28,18 +27,21 @@ def drift(frame: DataFrame, layout: TableLayout) -> Drift:
     )
 
 
-def _converted(source: T.DataType, column: TableColumn) -> Column:
-    value = F.col(f"`{column.name}`")
-    target = SPARK_TYPES[column.dtype]
+def _converted(source: T.DataType, column: TableColumn) -> str:
+    """The column as the table wants it, as SQL text: a wide table is one object per column."""
+    name = "`" + column.name.replace("`", "``") + "`"
+    value = name
     if isinstance(source, (T.DoubleType, T.FloatType)):
         # Frames that came through pandas write a missing number as NaN.
-        value = F.when(~F.isnan(value), value)
+        value = f"if(isnan({name}), NULL, {name})"
     if isinstance(source, T.StringType) and column.dtype not in ("string", "array<string>"):
-        value = F.nullif(F.trim(value), F.lit(""))
+        value = f"nullif(trim({name}), '')"
         if column.dtype == "bigint":
             # A nullable whole number is often landed as "6.0".
-            return F.coalesce(value.try_cast("bigint"), value.cast("double").cast("bigint"))
-    return value.cast(target)
+            value = f"coalesce(try_cast({value} AS BIGINT), CAST(CAST({value} AS DOUBLE) AS BIGINT))"
+    if value == name and source == SPARK_TYPES[column.dtype]:
+        return name
+    return f"CAST({value} AS {column.dtype}) AS {name}"
 
 
 def conform(frame: DataFrame, layout: TableLayout) -> DataFrame:
@@ -48,11 +50,9 @@ def conform(frame: DataFrame, layout: TableLayout) -> DataFrame:
     Unknown columns are left out (see ``drift`` for which), missing ones become typed nulls.
     """
     sources = {f.name: f.dataType for f in frame.schema.fields}
-    return frame.select(*[
-        (
-            _converted(sources[c.name], c)
-            if c.name in sources
-            else F.lit(None).cast(SPARK_TYPES[c.dtype])
-        ).alias(c.name)
+    return frame.selectExpr(*[
+        _converted(sources[c.name], c)
+        if c.name in sources
+        else f"CAST(NULL AS {c.dtype}) AS `{c.name}`"
         for c in layout.columns
     ])

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.catalog.columns import Column as TableColumn
@@ -13,16 +14,22 @@ from pitchlake.catalog.columns import TableLayout
 CHECKS = ("not_null", "valid_range", "valid_values", "deprecated")
 
 
-def _violation(column: TableColumn, check: str, year: str) -> Column | None:
-    value = F.col(f"`{column.name}`")
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _violation(column: TableColumn, check: str, year: str) -> str | None:
+    """The rule as SQL text: wide tables have hundreds, and text is one object each."""
+    value = _quoted(column.name)
     if check == "not_null" and column.required:
-        return value.isNull()
+        return f"{value} IS NULL"
     if check == "valid_range" and column.low is not None:
-        return ~value.between(column.low, column.high)
+        return f"{value} NOT BETWEEN {column.low}D AND {column.high}D"
     if check == "valid_values" and column.allowed:
-        return ~value.isin(*column.allowed)
+        allowed = ", ".join(repr(v) for v in column.allowed)
+        return f"{value} NOT IN ({allowed})"
     if check == "deprecated" and column.deprecated:
-        return value.isNotNull() & (F.col(year) > column.deprecated)
+        return f"{value} IS NOT NULL AND {_quoted(year)} > {column.deprecated}"
     return None
 
 
@@ -51,15 +58,13 @@ def check_columns(
         return frame.sparkSession.createDataFrame(
             [], "check_name string, column_name string, violations bigint"
         )
-    counted = frame.agg(*[F.count_if(rule).alias(f"c{i}") for i, (_, _, rule) in enumerate(rules)])
-    return counted.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(check).alias("check_name"),
-            F.lit(name).alias("column_name"),
-            F.col(f"c{i}").alias("violations"),
-        )
-        for i, (check, name, _) in enumerate(rules)
-    ])))
+    counted = frame.agg(*[
+        F.expr(f"count_if({rule}) AS c{i}") for i, (_, _, rule) in enumerate(rules)
+    ])
+    cells = ", ".join(f"'{check}', '{name}', c{i}" for i, (check, name, _) in enumerate(rules))
+    return counted.selectExpr(
+        f"stack({len(rules)}, {cells}) AS (check_name, column_name, violations)"
+    )
 
 
 def duplicates(frame: DataFrame, layout: TableLayout) -> DataFrame:
@@ -72,28 +77,37 @@ def duplicates(frame: DataFrame, layout: TableLayout) -> DataFrame:
     )
 
 
-def profile(frame: DataFrame, layout: TableLayout) -> DataFrame:
-    """Rows (column_name, dtype, row_count, non_null, null_share, min_value, max_value)."""
-    columns = [c for c in layout.columns if c.name in frame.columns and "array" not in c.dtype]
-    measures: list[Column] = [F.count("*").alias("n")]
-    for i, c in enumerate(columns):
-        value = F.col(f"`{c.name}`")
-        measures += [
-            F.count(value).alias(f"c{i}"), F.min(value).alias(f"l{i}"), F.max(value).alias(f"h{i}"),
-        ]
-    total = F.col("n")
-    return frame.agg(*measures).select(F.inline(F.array(*[
-        F.struct(
-            F.lit(c.name).alias("column_name"),
-            F.lit(c.dtype).alias("dtype"),
-            total.alias("row_count"),
-            F.col(f"c{i}").alias("non_null"),
-            F.try_divide(total - F.col(f"c{i}"), total).alias("null_share"),
-            F.col(f"l{i}").cast("string").alias("min_value"),
-            F.col(f"h{i}").cast("string").alias("max_value"),
+def profile(frame: DataFrame, layout: TableLayout, width: int = 12) -> DataFrame:
+    """Rows (column_name, dtype, row_count, non_null, null_share, min_value, max_value).
+
+    Columns are measured in groups of ``width`` of one type. Each group is its own aggregate that
+    reads only its columns, which keeps it small enough for generated code; together the groups
+    read every column once.
+    """
+    by_type: dict[str, list[TableColumn]] = {}
+    for c in layout.columns:
+        if c.name in frame.columns and "array" not in c.dtype:
+            by_type.setdefault(c.dtype, []).append(c)
+    groups = [
+        members[i:i + width] for members in by_type.values() for i in range(0, len(members), width)
+    ]
+
+    def measured(columns: list[TableColumn]) -> DataFrame:
+        measures = ["count(1) AS n"]
+        for i, c in enumerate(columns):
+            value = _quoted(c.name)
+            measures += [f"count({value}) AS c{i}", f"min({value}) AS l{i}", f"max({value}) AS h{i}"]
+        cells = ", ".join(
+            f"'{c.name}', '{c.dtype}', n, c{i}, try_divide(n - c{i}, n),"
+            f" CAST(l{i} AS STRING), CAST(h{i} AS STRING)"
+            for i, c in enumerate(columns)
         )
-        for i, c in enumerate(columns)
-    ])))
+        return frame.agg(*[F.expr(m) for m in measures]).selectExpr(
+            f"stack({len(columns)}, {cells}) AS (column_name, dtype, row_count, non_null,"
+            " null_share, min_value, max_value)"
+        )
+
+    return reduce(DataFrame.union, [measured(g) for g in groups])
 
 
 def games_without_pitches(

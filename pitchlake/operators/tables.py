@@ -188,7 +188,7 @@ def replace_seasons(
         name,
         layout,
         F.col(season).isin(wanted),
-        lambda p: int(p[season]) in wanted,
+        lambda p: p[season] in {str(s) for s in wanted},
         drop_when_empty=True,
     )
 

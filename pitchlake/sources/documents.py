@@ -85,8 +85,10 @@ def schedule_games(documents: DataFrame) -> DataFrame:
     Games without an id or without both team ids are left out. A team that is not one of the
     thirty keeps the document's abbreviation, or UNK when there is none.
     """
-    day = documents.select(F.explode("dates").alias("day"))
-    game = day.select(F.explode("day.games").alias("g")).select("g.*")
+    # The outer forms keep Spark from testing the array in a filter below, which would parse a
+    # text document once more; what they add for an empty array has no id and is left out below.
+    day = documents.select(F.explode_outer("dates").alias("day"))
+    game = day.select(F.explode_outer("day.games").alias("g")).select("g.*")
 
     def side(which: str) -> list[Column]:
         entry = F.col("teams")[which]
@@ -149,7 +151,7 @@ def game_officials(games: DataFrame, boxscores: DataFrame) -> DataFrame:
     code = F.create_map(*[F.lit(x) for pair in UMPIRE_POSITIONS.items() for x in pair])
     wanted = distinct_games(games)
     official = (
-        boxscores.select(F.col("game_pk"), F.explode("officials").alias("o"))
+        boxscores.select(F.col("game_pk"), F.explode_outer("officials").alias("o"))
         .select(
             "game_pk",
             F.element_at(code, F.col("o.officialType")).alias("position"),
@@ -167,8 +169,11 @@ def standings(documents: DataFrame) -> DataFrame:
     Abbreviations are the pitch feed's. Unknown teams are left out; of a team listed twice in a
     document the later entry counts.
     """
-    record = documents.select("season", F.posexplode("records").alias("i", "record"))
-    team = record.select("season", "i", F.posexplode("record.teamRecords").alias("j", "t")).select(
+    record = documents.select("season", F.posexplode_outer("records").alias("i", "record"))
+    listed = record.select(
+        "season", "i", F.posexplode_outer("record.teamRecords").alias("j", "t")
+    )
+    team = listed.select(
         "season",
         safe_int(F.col("t.team.id")).alias("team_id"),
         F.struct("i", "j").alias("place"),

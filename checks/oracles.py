@@ -39,19 +39,18 @@ base AS (
          1 + (ln - 1) * 3 + pk % 3 AS pitch_number,
          (at_bat_number - 1) // 8 + 1 AS inning,
          CASE WHEN ((at_bat_number - 1) // 4) % 2 = 0 THEN 'Top' ELSE 'Bot' END AS inning_topbot,
-         (pk + sk) % 4 = 0 AS last_one, (q + d) % 10 AS v,
-         4 * ((at_bat_number - 1) // 8) + least((at_bat_number - 1) % 8, 4) AS away_up,
-         4 * ((at_bat_number - 1) // 8) + greatest((at_bat_number - 1) % 8 - 4, 0) AS home_up
+         (pk + sk) % 4 = 0 AS last_one, (q + d) % 10 AS v
   FROM keyed),
 acts AS (
   SELECT *,
     CASE WHEN inning_topbot = 'Top' THEN away ELSE home END AS bt,
     CASE WHEN inning_topbot = 'Top' THEN home ELSE away END AS ft,
-    home_up * home_pace // 6 AS home_score, away_up * away_pace // 6 AS away_score,
-    (home_up + CASE WHEN last_one AND inning_topbot = 'Bot' THEN 1 ELSE 0 END) * home_pace // 6
-      AS post_home_score,
-    (away_up + CASE WHEN last_one AND inning_topbot = 'Top' THEN 1 ELSE 0 END) * away_pace // 6
-      AS post_away_score,
+    (at_bat_number - 1) * home_pace // 12 AS home_score,
+    (at_bat_number - 1) * away_pace // 12 AS away_score,
+    (at_bat_number - CASE WHEN last_one AND inning_topbot = 'Bot' THEN 0 ELSE 1 END)
+      * home_pace // 12 AS post_home_score,
+    (at_bat_number - CASE WHEN last_one AND inning_topbot = 'Top' THEN 0 ELSE 1 END)
+      * away_pace // 12 AS post_away_score,
     CASE WHEN NOT last_one THEN ['called_strike','ball','swinging_strike','foul','ball','foul_tip',
                                  'blocked_ball'][pk % 7 + 1]
          WHEN v < 7 THEN 'hit_into_play' WHEN v = 7 THEN 'swinging_strike'
@@ -149,8 +148,8 @@ games AS (
     CASE WHEN g.game_pk % 3 <> 0 THEN 1000 + away * 4 END AS probable_away_pitcher_id,
     CASE WHEN g.game_pk % 3 <> 0 THEN 'Pitcher ' || CAST(1000 + away * 4 AS VARCHAR) END
       AS probable_away_pitcher_name,
-    CASE WHEN played THEN home_pace * 36 // 6 END AS final_home_score,
-    CASE WHEN played THEN away_pace * 39 // 6 END AS final_away_score,
+    CASE WHEN played THEN home_pace * 74 // 12 END AS final_home_score,
+    CASE WHEN played THEN away_pace * 75 // 12 END AS final_away_score,
     CASE WHEN g.game_pk % 50 = 0 THEN 'Y' ELSE 'N' END AS double_header_flag,
     1 + g.game_pk % 50 % 2 AS game_number, 'Regular Season' AS series_description
   FROM game_ids g JOIN dim h ON h.team_id = home_team_id LEFT JOIN dim a ON a.team_id = away_team_id)
@@ -401,6 +400,7 @@ METRIC_SQL = {
 _BOARD_FIELDS = {  # metric -> (scale, tolerance)
     "barrel_rate": (0.01, 0.005), "hard_hit_pct": (0.01, 0.005), "avg_exit_velo": (1.0, 0.5),
     "avg_launch_angle": (1.0, 0.5), "xwoba_contact": (1.0, 0.005),
+    "avg_release_speed": (1.0, 0.2), "hard_hit_allowed": (0.01, 0.005),
 }
 _SHIFT = "((id % 7) - 3) * 0.002e0 + (id % 100) * 0.0000123e0"
 
@@ -417,7 +417,21 @@ SELECT '{metric}' AS metric, id AS entity_id,
 FROM ({_player(metric)}) WHERE id % 5 <> 0"""
 
 
-_ALL_COMPARED = " UNION ALL ".join(_compared(m) for m in _BOARD_FIELDS)
+_ALL_COMPARED = " UNION ALL ".join(
+    _compared(m) for m in _BOARD_FIELDS if _PLAYER[m][0] == "batter"
+)
+# Both percentages of the pitchers are compared with the field that holds hard_hit_allowed.
+_PITCHERS_COMPARED = f"""
+{_compared('avg_release_speed')} UNION ALL {_compared('hard_hit_allowed')} UNION ALL
+SELECT 'whiff_rate', w.id, CASE WHEN w.id % 2 = 0 THEN 'Player ' || CAST(w.id AS VARCHAR)
+    ELSE CAST(w.id AS VARCHAR) END,
+  w.value, h.expected, w.value - h.expected, w.sample_size,
+  coalesce(abs(w.value - h.expected) <= 0.005e0, false)
+FROM ({_player('whiff_rate')}) w
+JOIN (SELECT id FROM ({_player('avg_release_speed')}) WHERE id % 5 <> 0
+      UNION SELECT id FROM ({_player('hard_hit_allowed')}) WHERE id % 5 <> 0) b USING (id)
+LEFT JOIN (SELECT id, (value + {_SHIFT}) / 0.01e0 * 0.01e0 AS expected
+           FROM ({_player('hard_hit_allowed')}) WHERE id % 5 <> 0) h USING (id)"""
 _TEAM_COMPARED = " UNION ALL ".join(
     f"""SELECT '{m}' AS metric, r.id AS entity_id, full_name AS entity_name,
   CAST(r.{m} AS DOUBLE) AS ours, CAST({theirs} AS DOUBLE) AS expected,
@@ -440,6 +454,7 @@ SELECT metric, count(*) AS total_compared, count(*) FILTER (WHERE within_toleran
 
 VERIFY_SQL = {
     "v_compare_batting": _q(f" SELECT {_ROUNDED} FROM ({_ALL_COMPARED})"),
+    "v_compare_pitching": _q(f" SELECT {_ROUNDED} FROM ({_PITCHERS_COMPARED})"),
     "v_summary_batting": _q(f" {_SUMMARY} FROM ({_ALL_COMPARED}) GROUP BY metric"),
     "v_overall_batting": _q(f"""
 , s AS ({_SUMMARY} FROM ({_ALL_COMPARED}) GROUP BY metric)

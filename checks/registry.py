@@ -72,22 +72,29 @@ def _standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.standings(documents.parse_documents(texts, "text", documents.STANDINGS))
 
 
-def _board(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A leaderboard made from our own values, each a little off; every fifth player is missing."""
-    names = metrics.metrics_of("batter")
-    ours = metrics.player_metrics(_pitches(spark, sf_dir), names, SEASON, FLOOR["batter"])
+def _board(spark: SparkSession, sf_dir: str, entity: str = "batter") -> DataFrame:
+    """A leaderboard made from our own values, each a little off; every fifth player is missing.
+
+    Where two metrics are compared with the same field, the field holds the later metric's value.
+    """
+    fields = {metrics.METRICS[n].board_field: n for n in metrics.metrics_of(entity)}
+    ours = metrics.player_metrics(
+        _pitches(spark, sf_dir), list(fields.values()), SEASON, FLOOR[entity]
+    )
     off = (F.col("id") % 7 - 3) * 0.002 + (F.col("id") % 100) * 0.0000123
-    scale = F.create_map(*[F.lit(x) for n in names for x in (n, metrics.METRICS[n].board_scale)])
+    scale = F.create_map(*[
+        F.lit(x) for n in fields.values() for x in (n, metrics.METRICS[n].board_scale)
+    ])
+    first = metrics.metrics_of(entity)[0]
     wide = (
         ours.where(F.col("id") % 5 != 0)
         .withColumn("shown", (F.col("value") + off) / scale[F.col("metric")])
         .groupBy("id")
         .agg(
-            F.max(F.when(F.col("metric") == "barrel_rate", F.col("sample_size"))).alias("attempts"),
+            F.max(F.when(F.col("metric") == first, F.col("sample_size"))).alias("attempts"),
             *[
-                F.max(F.when(F.col("metric") == n, F.col("shown")))
-                .alias(metrics.METRICS[n].board_field)
-                for n in names
+                F.max(F.when(F.col("metric") == n, F.col("shown"))).alias(field)
+                for field, n in fields.items()
             ],
         )
     )
@@ -96,15 +103,21 @@ def _board(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _compare_batting(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    wanted = list(names) or metrics.metrics_of("batter")
-    board = _board(spark, sf_dir)
+def _compare_players(
+    spark: SparkSession, sf_dir: str, entity: str, names: list[str] | None = None
+) -> DataFrame:
+    wanted = names or metrics.metrics_of(entity)
+    board = _board(spark, sf_dir, entity)
     return verify.verify_players(
-        _pitches(spark, sf_dir), boards.expected_values(board, wanted), "batter", SEASON,
-        names=wanted, min_n=FLOOR["batter"], player_names=boards.player_names(board),
+        _pitches(spark, sf_dir), boards.expected_values(board, wanted), entity, SEASON,
+        names=wanted, min_n=FLOOR[entity], player_names=boards.player_names(board),
     )
 
 
+def _compare_batting(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    return _compare_players(spark, sf_dir, "batter", list(names))
+
+
 def _summary_batting(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = verify.metric_names(spark, metrics.metrics_of("batter"))
     return compare.summarise_metrics(_compare_batting(spark, sf_dir), wanted, threshold=0.5)
@@ -306,6 +319,7 @@ def _metric_queries() -> dict[str, Query]:
 
 VERIFY: dict[str, Query] = {
     "v_compare_batting": _compare_batting,
+    "v_compare_pitching": lambda s, d: _compare_players(s, d, "pitcher"),
     "v_summary_batting": _summary_batting,
     "v_overall_batting": lambda s, d: compare.overall(_summary_batting(s, d)),
     "v_top_deltas": lambda s, d: compare.top_deltas(_compare_batting(s, d, "barrel_rate")),

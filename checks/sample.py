@@ -61,16 +61,14 @@ _PLACE = (
     "((at_bat_number - 1) div 4) % 2 = 0 AS top",
     "(pk + sk) % 4 = 0 AS last",
     "(q + d) % 10 AS v",
-    "4 * ((at_bat_number - 1) div 8) + least((at_bat_number - 1) % 8, 4) AS away_up",
-    "4 * ((at_bat_number - 1) div 8) + greatest((at_bat_number - 1) % 8 - 4, 0) AS home_up",
+    "((at_bat_number - 1) * home_pace) div 12 AS home_score",
+    "((at_bat_number - 1) * away_pace) div 12 AS away_score",
 )
 _PLAY = (
     "if(top, away, home) AS bt",
     "if(top, home, away) AS ft",
-    "(home_up * home_pace) div 6 AS home_score",
-    "(away_up * away_pace) div 6 AS away_score",
-    "((home_up + if(last AND NOT top, 1, 0)) * home_pace) div 6 AS post_home_score",
-    "((away_up + if(last AND top, 1, 0)) * away_pace) div 6 AS post_away_score",
+    "if(last AND NOT top, (at_bat_number * home_pace) div 12, home_score) AS post_home_score",
+    "if(last AND top, (at_bat_number * away_pace) div 12, away_score) AS post_away_score",
     "CASE WHEN NOT last THEN element_at("
     + _array(["called_strike", "ball", "swinging_strike", "foul", "ball", "foul_tip",
               "blocked_ball"])
@@ -119,9 +117,9 @@ _PITCH = (
     "if(contact, pk % 91 - 30, NULL) AS launch_angle",
     "if(contact, 1 + (ln + q) % 6, NULL) AS launch_speed_angle",
     "if(contact, d / 8D, NULL) AS estimated_woba_using_speedangle",
-    "CASE events WHEN 'single' THEN 0.875D WHEN 'double' THEN 1.25D WHEN 'home_run' THEN 2D"
-    " WHEN 'walk' THEN 0.6875D WHEN 'field_out' THEN 0D WHEN 'strikeout' THEN 0D END"
-    " AS woba_value",
+    "CASE WHEN NOT last THEN NULL WHEN v < 7 THEN element_at("
+    "array(0D, 0D, 0D, 0D, 0D, 0D, 0.875D, 0.875D, 1.25D, 2D), CAST(pk % 10 + 1 AS INT))"
+    " WHEN v = 8 THEN 0.6875D ELSE 0D END AS woba_value",
     "if(last, CAST(if(k % 41 = 0, 0, 1) AS BIGINT), NULL) AS woba_denom",
     "if(game_year >= 2024 AND description IN ('swinging_strike', 'foul', 'hit_into_play'),"
     " 60D + q * 0.5D, NULL) AS bat_speed",
@@ -136,7 +134,8 @@ def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         spark.read.parquet(f"{sf_dir}/lineitem.parquet")
         .selectExpr(*_LINE)
-        .selectExpr("*", *_GAME_FACTS, *_PLACE)
+        .selectExpr("*", *_GAME_FACTS)
+        .selectExpr("*", *_PLACE)
         .selectExpr("*", *_PLAY)
         .selectExpr(*_PITCH)
     )
@@ -145,8 +144,10 @@ def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def game_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per game of the orders table, with the facts that depend on the game alone."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    keys = orders.selectExpr("o_orderkey div 75 AS game_pk").distinct()
-    return keys.selectExpr("game_pk", *_GAME_FACTS)
+    keys = orders.selectExpr("o_orderkey div 75 AS game_pk").groupBy("game_pk").agg(
+        F.count("*").alias("appearances")
+    )
+    return keys.selectExpr("game_pk", "appearances", *_GAME_FACTS)
 
 
 def schedule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +168,7 @@ def schedule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         starter = F.lit(1000) + index * 4
         return F.struct(
             team.alias("team"),
-            F.when(played, _div(F.col(f"{which}_pace") * pace_turns, 6)).alias("score"),
+            F.when(played, _div(F.col(f"{which}_pace") * pace_turns, 12)).alias("score"),
             F.when(g % 3 != 0, F.struct(
                 starter.alias("id"),
                 F.concat(F.lit("Pitcher "), starter).alias("fullName"),
@@ -189,13 +190,13 @@ def schedule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.when(played, "F").otherwise("S").alias("codedGameState"),
                 F.when(played, "Final").otherwise("Scheduled").alias("detailedState"),
             ).alias("status"),
-            F.struct(home.alias("home"), side("away", 39).alias("away")).alias("teams"),
+            F.struct(home.alias("home"), side("away", 75).alias("away")).alias("teams"),
             F.struct((F.lit(2000) + F.col("home")).alias("id"),
                      F.concat(F.lit("Park "), _pick(TEAM_ABBRS, F.col("home"))).alias("name"))
             .alias("venue"),
         )
 
-    home = side("home", 36)
+    home = side("home", 74)
     whole = F.to_json(game(home))
     broken = F.to_json(game(F.struct(home["score"].alias("score"))))
     entries = F.when(g % 10 == 0, F.concat_ws(",", whole, broken)).otherwise(whole)
@@ -227,7 +228,8 @@ def boxscore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     crew[3] = official(TITLES[3], F.when(g % 7 != 0, umpire_id(g, 3)))
     crew.append(official("Replay Official", umpire_id(g, 4)))
     return game_keys(spark, sf_dir).where(g % 15 != 14).select(
-        F.to_json(F.struct("game_pk", F.array(*crew).alias("officials"))).alias("text")
+        F.to_json(F.struct("game_pk", "appearances", F.array(*crew).alias("officials")))
+        .alias("text")
     )
 
 

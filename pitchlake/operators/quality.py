@@ -24,7 +24,10 @@ def _violation(column: TableColumn, check: str, year: str) -> str | None:
     if check == "not_null" and column.required:
         return f"{value} IS NULL"
     if check == "valid_range" and column.low is not None:
-        return f"{value} NOT BETWEEN {column.low}D AND {column.high}D"
+        # Bounds in the column's own type, so no value is converted to be compared.
+        whole = column.dtype == "bigint"
+        low, high = (f"{b:.0f}L" if whole else f"{b}D" for b in (column.low, column.high))
+        return f"{value} NOT BETWEEN {low} AND {high}"
     if check == "valid_values" and column.allowed:
         allowed = ", ".join(repr(v) for v in column.allowed)
         return f"{value} NOT IN ({allowed})"

@@ -61,14 +61,17 @@ _PLACE = (
     "((at_bat_number - 1) div 4) % 2 = 0 AS top",
     "(pk + sk) % 4 = 0 AS last",
     "(q + d) % 10 AS v",
-    "((at_bat_number - 1) * home_pace) div 12 AS home_score",
-    "((at_bat_number - 1) * away_pace) div 12 AS away_score",
 )
-_PLAY = (
+_SIDES = (
     "if(top, away, home) AS bt",
     "if(top, home, away) AS ft",
-    "if(last AND NOT top, (at_bat_number * home_pace) div 12, home_score) AS post_home_score",
-    "if(last AND top, (at_bat_number * away_pace) div 12, away_score) AS post_away_score",
+    "if(top, away_pace, home_pace) AS bat_pace",
+    "if(top, home_pace, away_pace) AS fld_pace",
+)
+_PLAY = (
+    "((at_bat_number - 1) * bat_pace) div 12 AS bat_score",
+    "((at_bat_number - 1) * fld_pace) div 12 AS fld_score",
+    "((at_bat_number - if(last, 0, 1)) * bat_pace) div 12 AS post_bat_score",
     "CASE WHEN NOT last THEN element_at("
     + _array(["called_strike", "ball", "swinging_strike", "foul", "ball", "foul_tip",
               "blocked_ball"])
@@ -79,7 +82,7 @@ _PLAY = (
     + _array(["field_out"] * 6 + ["single"] * 2 + ["double", "home_run"])
     + ", CAST(pk % 10 + 1 AS INT)) WHEN v = 8 THEN 'walk' ELSE 'strikeout' END AS events",
     "last AND v < 7 AND pk % 50 <> 0 AS contact",
-    "1000 + if(top, home, away) * 4 + (inning - 1) div 3 AS pitcher",
+    "1000 + ft * 4 + (inning - 1) div 3 AS pitcher",
     "if(pk % 97 <> 0, 75D + q * 0.5D, NULL) AS release_speed",
 )
 _PITCH = (
@@ -97,11 +100,11 @@ _PITCH = (
     "if(k % 4 = 0, 5000 + bt * 9, NULL) AS on_1b",
     "if(k % 5 = 0, 5001 + bt * 9, NULL) AS on_2b",
     "if(k % 7 = 0, 5002 + bt * 9, NULL) AS on_3b",
-    "home_score", "away_score", "post_home_score", "post_away_score",
-    "if(top, away_score, home_score) AS bat_score",
-    "if(top, home_score, away_score) AS fld_score",
-    "if(top, post_away_score, post_home_score) AS post_bat_score",
-    "if(top, post_home_score, post_away_score) AS post_fld_score",
+    "if(top, fld_score, bat_score) AS home_score",
+    "if(top, bat_score, fld_score) AS away_score",
+    "if(top, fld_score, post_bat_score) AS post_home_score",
+    "if(top, post_bat_score, fld_score) AS post_away_score",
+    "bat_score", "fld_score", "post_bat_score", "fld_score AS post_fld_score",
     "element_at(" + _array(["FF", "SI", "SL", "CH", "CU", "FC", "ST", None])
     + ", CAST(sk % 8 + 1 AS INT)) AS pitch_type",
     "release_speed",
@@ -136,6 +139,7 @@ def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr(*_LINE)
         .selectExpr("*", *_GAME_FACTS)
         .selectExpr("*", *_PLACE)
+        .selectExpr("*", *_SIDES)
         .selectExpr("*", *_PLAY)
         .selectExpr(*_PITCH)
     )

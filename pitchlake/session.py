@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def builder(app: str = "pitchlake", shuffle_partitions: int | None = None) -> SparkSession.Builder:
+def builder(
+    app: str = "pitchlake", shuffle_partitions: int | None = None, partition_size: str = "256m"
+) -> SparkSession.Builder:
     """Session settings; give the master, memory and cluster options on top.
 
     ``shuffle_partitions`` is the number of partitions before adaptive execution merges small
     ones: a few per core, and enough that one holds a few hundred megabytes of the largest
     shuffle. A load shuffles the whole batch once; the analyses shuffle far less than they read.
+    ``partition_size`` is what adaptive execution merges or splits to, so it is also about the data
+    behind one written file. A load with less data than that per core is written by fewer tasks
+    than there are cores; choose it smaller there.
     """
     made = (
         SparkSession.builder.appName(app)
@@ -19,8 +24,7 @@ def builder(app: str = "pitchlake", shuffle_partitions: int | None = None) -> Sp
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
-        # Also the size a rebalanced write aims at, so a file is worth opening.
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", partition_size)
         .config("spark.sql.files.maxPartitionBytes", "256m")
     )
     if shuffle_partitions:

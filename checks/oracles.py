@@ -127,8 +127,9 @@ dim AS (SELECT * FROM (VALUES {_TEAM_ROWS}) AS v(team_id, abbr, league, division
 game_keys AS (
   SELECT game_pk, {_FACTS} FROM (SELECT DISTINCT o_orderkey // 75 AS game_pk FROM orders)),
 game_ids AS (
-  SELECT *, {_list(TEAM_IDS)}[home + 1] AS home_team_id,
-         CASE WHEN game_pk % 60 = 59 THEN 159 ELSE {_list(TEAM_IDS)}[away + 1] END AS away_team_id,
+  SELECT *, CAST({_list(TEAM_IDS)}[home + 1] AS BIGINT) AS home_team_id,
+         CAST(CASE WHEN game_pk % 60 = 59 THEN 159 ELSE {_list(TEAM_IDS)}[away + 1] END AS BIGINT)
+           AS away_team_id,
          game_pk % 25 <> 24 AS played
   FROM game_keys),
 games AS (
@@ -164,10 +165,11 @@ crew AS (
          'Umpire ' || CAST(400000 + game_pk % 20 AS VARCHAR) AS umpire_name
   FROM (SELECT DISTINCT o_orderkey // 75 AS game_pk FROM orders),
        (VALUES {_CREW}) AS p(i, position)
-  WHERE game_pk % 15 <> 14 AND NOT (i = 3 AND game_pk % 7 = 0)),
+  WHERE NOT (i = 3 AND game_pk % 7 = 0)),
 umpires AS (
   SELECT c.game_pk, g.game_date, position, umpire_id, umpire_name
-  FROM crew c JOIN (SELECT DISTINCT game_pk, game_date FROM pitches) g USING (game_pk))
+  FROM crew c JOIN (SELECT DISTINCT game_pk, game_date FROM pitches WHERE game_type <> 'S') g
+    USING (game_pk))
 """
 
 
@@ -268,9 +270,8 @@ GROUP BY inning, events"""),
 SELECT pitcher, {_rate('launch_speed >= 95')} AS hard_hit_allowed, count(*) AS bbe
 FROM pitches WHERE inning >= 7 AND {_HIT} GROUP BY pitcher HAVING count(*) >= 25"""),
     "q17_run_expectancy_24": _q(f"""
-SELECT CASE WHEN on_1b IS NULL THEN 0 ELSE 1 END AS r1,
-       CASE WHEN on_2b IS NULL THEN 0 ELSE 1 END AS r2,
-       CASE WHEN on_3b IS NULL THEN 0 ELSE 1 END AS r3, outs_when_up AS outs,
+SELECT CAST(on_1b IS NOT NULL AS BIGINT) AS r1, CAST(on_2b IS NOT NULL AS BIGINT) AS r2,
+       CAST(on_3b IS NOT NULL AS BIGINT) AS r3, outs_when_up AS outs,
        round(avg(post_bat_score - bat_score), 6) AS re, count(*) AS n
 FROM pitches WHERE pitch_number = 1 AND {_R} GROUP BY 1, 2, 3, 4"""),
     "q18_runner_on_first": _q(f"""
@@ -374,8 +375,8 @@ _PAIRS = ", ".join(f"('{a}', {i})" for a, i in zip(FEED_ABBRS, TEAM_IDS, strict=
 STANDINGS_SQL = f"""
 ids AS (SELECT * FROM (VALUES {_PAIRS}) AS v(abbr, team_id)),
 standings AS (
-  SELECT 2024 AS season, id AS team, wins + team_id % 3 AS wins, losses,
-         500 + run_diff + wins % 8 AS runs_scored, 500 AS runs_allowed
+  SELECT CAST(2024 AS BIGINT) AS season, id AS team, wins + team_id % 3 AS wins, losses,
+         500 + run_diff + wins % 8 AS runs_scored, CAST(500 AS BIGINT) AS runs_allowed
   FROM records JOIN ids ON abbr = id)
 """
 
@@ -402,7 +403,12 @@ _BOARD_FIELDS = {  # metric -> (scale, tolerance)
     "avg_launch_angle": (1.0, 0.5), "xwoba_contact": (1.0, 0.005),
     "avg_release_speed": (1.0, 0.2), "hard_hit_allowed": (0.01, 0.005),
 }
-_SHIFT = "((id % 7) - 3) * 0.002e0 + (id % 100) * 0.0000123e0"
+_SHIFT = "((id % 7) - 3) * 0.002e0 + (id % 100) * 0.000013e0 + 0.0000002e0"
+
+
+def _board_ids(entity: str) -> str:
+    first, floor = {"batter": ("barrel_rate", 8), "pitcher": ("avg_release_speed", 100)}[entity]
+    return f"SELECT id FROM ({_player(first)}) WHERE sample_size >= {floor}"
 
 
 def _compared(metric: str) -> str:
@@ -414,7 +420,7 @@ SELECT '{metric}' AS metric, id AS entity_id,
   value AS ours, (value + {_SHIFT}) / {scale}e0 * {scale}e0 AS expected,
   value - ((value + {_SHIFT}) / {scale}e0 * {scale}e0) AS diff, sample_size,
   abs(value - ((value + {_SHIFT}) / {scale}e0 * {scale}e0)) <= {tolerance}e0 AS within_tolerance
-FROM ({_player(metric)}) WHERE id % 5 <> 0"""
+FROM ({_player(metric)}) WHERE id IN ({_board_ids(_PLAYER[metric][0])})"""
 
 
 _ALL_COMPARED = " UNION ALL ".join(
@@ -428,10 +434,9 @@ SELECT 'whiff_rate', w.id, CASE WHEN w.id % 2 = 0 THEN 'Player ' || CAST(w.id AS
   w.value, h.expected, w.value - h.expected, w.sample_size,
   coalesce(abs(w.value - h.expected) <= 0.005e0, false)
 FROM ({_player('whiff_rate')}) w
-JOIN (SELECT id FROM ({_player('avg_release_speed')}) WHERE id % 5 <> 0
-      UNION SELECT id FROM ({_player('hard_hit_allowed')}) WHERE id % 5 <> 0) b USING (id)
+JOIN ({_board_ids('pitcher')}) b USING (id)
 LEFT JOIN (SELECT id, (value + {_SHIFT}) / 0.01e0 * 0.01e0 AS expected
-           FROM ({_player('hard_hit_allowed')}) WHERE id % 5 <> 0) h USING (id)"""
+           FROM ({_player('hard_hit_allowed')})) h USING (id)"""
 _TEAM_COMPARED = " UNION ALL ".join(
     f"""SELECT '{m}' AS metric, r.id AS entity_id, full_name AS entity_name,
   CAST(r.{m} AS DOUBLE) AS ours, CAST({theirs} AS DOUBLE) AS expected,
@@ -489,7 +494,7 @@ FROM umpires""", UMPIRES_SQL),
     "src_leaderboard": _q(f"""
  SELECT 'barrel_rate' AS metric, id,
         round((value + {_SHIFT}) / 0.01e0 * 0.01e0, 6) AS expected
-FROM ({_player('barrel_rate')}) WHERE sample_size >= 10 AND id % 5 <> 0"""),
+FROM ({_player('barrel_rate')}) WHERE sample_size >= 10"""),
 }
 
 GAME_SQL = {
@@ -615,7 +620,7 @@ _CHUNK_TEXT = ("CAST(chunk_start AS VARCHAR) AS chunk_start, CAST(chunk_end AS V
 TABLE_SQL = {
     "t_replace_days": _q(f"""{_SEEN}
 FROM pitches WHERE game_year = 2024 AND game_type = 'R'
-  AND (game_date NOT BETWEEN DATE '2024-05-01' AND DATE '2024-05-31' OR game_pk % 8 <> 2)
+  AND (game_date NOT BETWEEN DATE '2024-05-01' AND DATE '2024-05-31' OR home_team < 'M')
 GROUP BY game_date"""),
     "t_replace_seasons": _q("""
  SELECT season, status_code, count(*) AS games, CAST(sum(final_home_score) AS BIGINT) AS home_runs

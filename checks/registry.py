@@ -29,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 SEASON = 2024
 MAY = (date(2024, 5, 1), date(2024, 5, 31))
 FLOOR = {"batter": 5, "pitcher": 20}
+# An outside board has its own, higher cut on its first metric's sample.
+BOARD_FLOOR = {"batter": 8, "pitcher": 100}
 
 
 def plain(frame: DataFrame) -> DataFrame:
@@ -73,7 +75,7 @@ def _standings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _board(spark: SparkSession, sf_dir: str, entity: str = "batter") -> DataFrame:
-    """A leaderboard made from our own values, each a little off; every fifth player is missing.
+    """A leaderboard made from our own values, each a little off, of players with a larger sample.
 
     Where two metrics are compared with the same field, the field holds the later metric's value.
     """
@@ -81,14 +83,13 @@ def _board(spark: SparkSession, sf_dir: str, entity: str = "batter") -> DataFram
     ours = metrics.player_metrics(
         _pitches(spark, sf_dir), list(fields.values()), SEASON, FLOOR[entity]
     )
-    off = (F.col("id") % 7 - 3) * 0.002 + (F.col("id") % 100) * 0.0000123
+    off = (F.col("id") % 7 - 3) * 0.002 + (F.col("id") % 100) * 0.000013 + 0.0000002
     scale = F.create_map(*[
         F.lit(x) for n in fields.values() for x in (n, metrics.METRICS[n].board_scale)
     ])
     first = metrics.metrics_of(entity)[0]
     wide = (
-        ours.where(F.col("id") % 5 != 0)
-        .withColumn("shown", (F.col("value") + off) / scale[F.col("metric")])
+        ours.withColumn("shown", (F.col("value") + off) / scale[F.col("metric")])
         .groupBy("id")
         .agg(
             F.max(F.when(F.col("metric") == first, F.col("sample_size"))).alias("attempts"),
@@ -97,6 +98,7 @@ def _board(spark: SparkSession, sf_dir: str, entity: str = "batter") -> DataFram
                 for field, n in fields.items()
             ],
         )
+        .where(F.col("attempts") >= BOARD_FLOOR[entity])
     )
     return wide.withColumnRenamed("id", "player_id").withColumn(
         boards.NAME, F.when(F.col("player_id") % 2 == 0, F.concat(F.lit("Player "), "player_id"))
@@ -143,7 +145,8 @@ def _replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = _pitches(spark, sf_dir)
     year = (date(SEASON, 1, 1), date(SEASON, 12, 31))
     tables.replace_days(pitch_batch(landed, *year), name, PITCHES, *year)
-    again = landed.where(F.col("game_pk") % 8 != 2)
+    # The second load brings fewer games, so that some days of May have none any more.
+    again = landed.where(F.col("home_team") < "M")
     tables.replace_days(pitch_batch(again, *MAY), name, PITCHES, *MAY)
     return spark.table(str(name)).groupBy("game_date").agg(
         F.count("*").alias("pitches"), F.sum("batter").alias("batters")

@@ -214,7 +214,7 @@ def umpire_id(game: Column, position: int) -> Column:
 
 
 def boxscore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A box score per game, as text; every fifteenth game has none.
+    """A box score per game, as text; spring games have none.
 
     Each lists four umpires and a title nobody knows; some lack the id of the last umpire.
     """
@@ -231,7 +231,7 @@ def boxscore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     crew = [official(title, umpire_id(g, i)) for i, title in enumerate(TITLES)]
     crew[3] = official(TITLES[3], F.when(g % 7 != 0, umpire_id(g, 3)))
     crew.append(official("Replay Official", umpire_id(g, 4)))
-    return game_keys(spark, sf_dir).where(g % 15 != 14).select(
+    return game_keys(spark, sf_dir).where(F.col("game_type") != "S").select(
         F.to_json(F.struct("game_pk", "appearances", F.array(*crew).alias("officials")))
         .alias("text")
     )

@@ -59,6 +59,15 @@ def test_season_filter_prunes_day_partitions(spark, tmp_path):
     assert found.count() == 1
 
 
+def test_the_window_ends_today_by_default(spark):
+    today = date.today()
+    frame = pitches(
+        spark, {"description": "ball", "game_date": today, "game_year": today.year},
+        {"description": "ball", "game_date": date(2020, 5, 1)},
+    )
+    assert curated.umpire_called_strikes(frame, min_n=1).collect()[0].sample == 1
+
+
 def umpire_frame(spark):
     called = {"plate_x": 0.8}
     return pitches(

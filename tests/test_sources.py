@@ -13,7 +13,13 @@ from pitchlake.catalog.pitches import PITCHES
 from pitchlake.operators.conform import conform, drift
 from pitchlake.sources import documents as docs
 from pitchlake.sources import leaderboard as boards
-from pitchlake.sources.pitches import distinct_games, empty_pitches, pitch_batch, read_landing
+from pitchlake.sources.pitches import (
+    distinct_games,
+    empty_pitches,
+    pitch_batch,
+    read_landing,
+    union_batches,
+)
 
 FINISHED = {
     "gamePk": 1001, "season": "2024", "gameDate": "2024-09-15T22:10:00Z",
@@ -218,10 +224,18 @@ def test_parquet_landing_with_drift(spark, tmp_path):
     one = "SELECT 1L AS game_pk, DATE'2024-05-01' AS game_date, 'R' AS game_type"
     spark.sql(one).write.parquet(str(tmp_path / "a"))
     spark.sql(one + ", 55D AS bat_speed").write.parquet(str(tmp_path / "b"))
-    landed = read_landing(spark, [str(tmp_path / "a"), str(tmp_path / "b")], merge_schema=True)
+    landed = read_landing(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
     assert pitch_batch(landed, date(2024, 5, 1), date(2024, 5, 1)).where(
         F.col("bat_speed") == 55
     ).count() == 1
+    # An all-null day lands a text column as numbers.
+    spark.sql(one + ", 5L AS sv_id").write.parquet(str(tmp_path / "c"))
+    spark.sql(one + ", '151004_174434' AS sv_id").write.parquet(str(tmp_path / "d"))
+    day = (date(2024, 5, 1), date(2024, 5, 1))
+    both = union_batches([
+        pitch_batch(read_landing(spark, str(tmp_path / part)), *day) for part in ("c", "d")
+    ])
+    assert {r.sv_id for r in both.collect()} == {"5", "151004_174434"}
     assert read_landing(spark, []).columns == empty_pitches(spark).columns
     with pytest.raises(ValueError, match="orc"):
         read_landing(spark, "x", "orc")

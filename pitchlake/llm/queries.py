@@ -7,18 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import topk
+from pitchlake.llm import quality, topk, toxicity
 from pitchlake.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
 QUERIES: dict[str, Query] = {
+    "op5_toxicity": op5_toxicity,
+    "op7_quality": op7_quality,
     "op9_exact_top_k": op9_exact_top_k,
 }
 

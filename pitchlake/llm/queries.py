@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import quality, topk, toxicity
+from pitchlake.llm import language, quality, topk, toxicity, warc
 from pitchlake.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(spark, table(spark, sf_dir, "pages")).drop("intact")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -27,12 +35,30 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_language": op2_language,
+    "op3_warc": op3_warc,
     "op5_toxicity": op5_toxicity,
     "op7_quality": op7_quality,
     "op9_exact_top_k": op9_exact_top_k,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_warc": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages
+        ), told AS (
+            SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes,
+                   list_aggregate([
+                       substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                           ((('0x' || substr(digest, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INT + 1, 1)
+                       FOR i IN range(32)], 'string_agg', '') AS payload_digest,
+                   min(page_id) OVER (PARTITION BY digest) AS first
+            FROM payloads
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM told""",
     "op9_exact_top_k": """
         WITH usable AS (
             SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v

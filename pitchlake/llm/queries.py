@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import language, quality, topk, toxicity, warc
+from pitchlake.llm import decontaminate, jaccard, language, quality, topk, toxicity, warc
 from pitchlake.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,17 +29,27 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_language": op2_language,
     "op3_warc": op3_warc,
     "op5_toxicity": op5_toxicity,
     "op7_quality": op7_quality,
+    "op8_decontaminate": op8_decontaminate,
     "op9_exact_top_k": op9_exact_top_k,
+    "op10_jaccard": op10_jaccard,
 }
 
 ORACLES: dict[str, str] = {

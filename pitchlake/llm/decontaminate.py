@@ -145,6 +145,8 @@ class Items:
         if not pairs:
             return
         place, at, size = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        if not len(at):
+            return
         item = self.found.text[at]
         text = found.text[place]
         shift = place - at

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, jaccard, language, quality, topk, toxicity, warc
+from pitchlake.llm import decontaminate, jaccard, language, pieces, quality, suffixes, topk, toxicity, warc
 from pitchlake.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,20 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(spark, table(spark, sf_dir, "pages")).drop("intact")
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its number of pieces, their digest, and whether they decode to the text."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pieces.decode(pieces.encode(rows))
+    return found.select(
+        "doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"),
+        pieces.same_text("text", "decoded").alias("round_trip"),
+    )
+
+
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,7 +59,9 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_language": op2_language,
     "op3_warc": op3_warc,
+    "op4_pieces": op4_pieces,
     "op5_toxicity": op5_toxicity,
+    "op6_suffixes": op6_suffixes,
     "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_exact_top_k": op9_exact_top_k,

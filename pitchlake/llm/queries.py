@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, jaccard, language, pieces, quality, suffixes, topk, toxicity, warc
+from pitchlake.llm import decontaminate, jaccard, language, pieces, quality, recurrent, suffixes, topk, toxicity, warc
 from pitchlake.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_score": op1_lm_score,
     "op2_language": op2_language,
     "op3_warc": op3_warc,
     "op4_pieces": op4_pieces,

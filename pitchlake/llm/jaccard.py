@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchlake.llm.graph import components
 from pitchlake.llm.store import written
@@ -198,6 +199,16 @@ def near_duplicates(
     class_id is the smallest doc_id that links lead to, copy_id that of the documents with the same shingles, and
     n_links the number of other documents whose similarity is at least the threshold.
     """
+    signed, told = _told(documents, threshold, recall, doc_id, text)
+    with_words = signed.where("size > 0").select("doc_id", "print").join(told, "print")
+    without = signed.where("size = 0").select(
+        "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), F.lit(0).cast("long").alias("n_links")
+    )
+    return with_words.select(*without.columns).unionByName(without)
+
+
+def _told(documents: DataFrame, threshold: float, recall: float, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, print, size) of each row, and (print, root, class_id, copy_id, n_links) of each shingle set."""
     depth = depth_for(threshold, recall)
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -220,13 +231,9 @@ def near_duplicates(
     named = written(named, "jaccard-named")
     least = written(named.groupBy("root").agg(F.min("copy_id").alias("class_id")), "jaccard-least")
     told = written(named.join(least, "root").select(
-        "print", "class_id", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        "print", "root", "class_id", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     ), "jaccard-told")
-    with_words = signed.where("size > 0").select("doc_id", "print").join(told, "print")
-    without = signed.where("size = 0").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), F.lit(0).cast("long").alias("n_links")
-    )
-    return with_words.select(*without.columns).unionByName(without)
+    return signed, told
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
@@ -262,21 +269,34 @@ def _links(rows: DataFrame, classes: DataFrame, groups: DataFrame, threshold: fl
     )
 
 
-def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``documents``, all their columns, less all but one document of each class.
+def keep_one(
+    documents: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, doc_id: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """The rows of ``documents``, all their columns, less all but one row of each class.
 
-    The document with the smallest id stays; of repeated rows of that id one stays.
+    A row with the smallest id of its class stays; of a class without ids, any one row.
     """
-    found = near_duplicates(documents, doc_id=doc_id, text=text, **options)
+    _, told = _told(documents, threshold, recall, doc_id, text)
     names = documents.columns
-    spare = "class_id"
-    while spare in names:
-        spare += "_"
-    linked = written(
-        found.where("n_links > 0").select(F.col("doc_id").alias(doc_id), F.col("class_id").alias(spare)).distinct(), "jaccard-linked"
+    mark = "print"
+    while any(n.lower().startswith(mark) for n in names):
+        mark += "_"
+    schema = T.StructType([*documents.schema.fields, T.StructField(mark, T.LongType())])
+    rows = documents.mapInArrow(lambda b: _prints(b, text, mark), schema)
+    told = told.where("n_links > 0").select(
+        F.col("print").alias(mark), F.col("root").alias(f"{mark}_root"), F.col("class_id").alias(f"{mark}_class")
     )
-    dropped = linked.where(~F.col(doc_id).eqNullSafe(F.col(spare))).select(doc_id)
-    once = linked.where(F.col(doc_id).eqNullSafe(F.col(spare))).select(doc_id)
-    rest = documents.join(dropped, doc_id, "left_anti")
-    firsts = rest.join(once, doc_id, "left_semi").dropDuplicates([doc_id])
-    return rest.join(once, doc_id, "left_anti").unionByName(firsts).select(*names)
+    rows = rows.join(told, mark, "left")
+    alone = rows.where(F.col(f"{mark}_root").isNull())
+    firsts = rows.where(F.col(f"{mark}_root").isNotNull() & F.col(doc_id).eqNullSafe(F.col(f"{mark}_class")))
+    return alone.unionByName(firsts.dropDuplicates([f"{mark}_root"])).select(*names)
+
+
+def _prints(batches: Iterator[pa.RecordBatch], text: str, mark: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = texts(batch.column(text))
+        found = [
+            fingerprint(s) for first, last in blocks(offsets)
+            for s in shingle_sets(data[offsets[first]: offsets[last]], offsets[first: last + 1] - offsets[first])
+        ]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], [*batch.schema.names, mark])

@@ -36,7 +36,7 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return suffixes.without_repeats(table(spark, sf_dir, "documents"))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchlake.llm.store import written
 from pitchlake.llm.text import _powers, _room, mix, texts
@@ -156,35 +157,40 @@ def repeated(rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 # Blocks ---------------------------------------------------------------------------------------------
 
-BLOCKS = "block string, bytes long, ids array<long>, sizes array<long>, data binary"
+BLOCKS = "block string, bytes long, ids array<long>, sizes array<long>, data binary, rest binary"
 
 
 def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of a task in blocks, each one row with its texts compressed."""
+    """Documents of a task in blocks, each one row with its texts, and all further columns, compressed."""
     from pyspark import TaskContext
 
     from pitchlake.llm.text import blocks
 
     number, task = 0, TaskContext.get().partitionId()
-    held: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
+    held: list[tuple[np.ndarray, np.ndarray, pa.RecordBatch]] = []
 
     def row() -> pa.RecordBatch:
         nonlocal number
         number += 1
         data = np.concatenate([x for x, _, _ in held])
         sizes = np.concatenate([x for _, x, _ in held])
-        ids = pa.concat_arrays([x for *_, x in held]).to_pylist()
+        rest = pa.Table.from_batches([x for *_, x in held])
+        ids = rest.column(0).to_pylist()
         packed = pa.compress(data.tobytes(), "zstd", asbytes=True)
         return pa.RecordBatch.from_arrays(
             [pa.array([f"{task}-{number}"]), pa.array([len(data)]), pa.array([ids], pa.list_(pa.int64())),
-             pa.array([sizes.tolist()], pa.list_(pa.int64())), pa.array([packed], pa.binary())],
-            ["block", "bytes", "ids", "sizes", "data"],
+             pa.array([sizes.tolist()], pa.list_(pa.int64())), pa.array([packed], pa.binary()),
+             pa.array([_packed(rest)], pa.binary())],
+            ["block", "bytes", "ids", "sizes", "data", "rest"],
         )
 
     for batch in batches:
-        data, offsets = texts(batch.column("text"))
+        data, offsets = texts(batch.column(1))
+        rest = pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1).is_null(), *batch.columns[2:]], [str(i) for i in range(batch.num_columns)]
+        )
         for first, last in blocks(offsets, BLOCK):
-            held.append((data[offsets[first]: offsets[last]], np.diff(offsets[first: last + 1]), batch.column("doc_id")[first:last]))
+            held.append((data[offsets[first]: offsets[last]], np.diff(offsets[first: last + 1]), rest.slice(first, last - first)))
             if sum(len(x) for x, _, _ in held) >= BLOCK // 2:
                 yield row()
                 held = []
@@ -192,6 +198,13 @@ def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
+def _packed(rest: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rest.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rest)
+    return sink.getvalue().to_pybytes()
+
+
 class Block:
     """A block's texts, their spans, and each distinct span once, in order of bucket, anchor and span."""
 
@@ -375,12 +388,11 @@ def _compare(table: pa.Table) -> pa.Table:
     return _answer(names, block[found], ordinal[found], PARTLY, masks[found])
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _finish(table: pa.Table, buckets: int, with_kept: bool) -> pa.Table:
-    rows = table.to_pylist()
-    block = Block(next(r for r in rows if r["data"] is not None), buckets)
+def _covered(rows: list[dict], block: Block) -> np.ndarray:
+    """Whether each byte of a block goes, by the answers to its spans."""
     found, count = block.spans, len(block.anchor)
     gone, mask = np.zeros(count, bool), np.zeros(count, np.uint32)
     for r in rows:
@@ -400,50 +412,84 @@ def _finish(table: pa.Table, buckets: int, with_kept: bool) -> pa.Table:
         some = partly[(mask[block.ordinal[partly]] >> np.uint32(step)) & np.uint32(1) == 1]
         np.add.at(edge, found.first[some] + step, 1)
         np.add.at(edge, found.first[some] + step + LENGTH, -1)
-    covered = np.cumsum(edge[:-1]) > 0
+    return np.cumsum(edge[:-1]) > 0
+
+
+def _remaining(block: Block, covered: np.ndarray) -> list[bytes]:
+    return [block.data[a:b][~covered[a:b]].tobytes() for a, b in zip(block.offsets[:-1], block.offsets[1:], strict=True)]
+
+
+def _open(table: pa.Table, buckets: int) -> tuple[dict, Block, np.ndarray]:
+    rows = table.to_pylist()
+    row = next(r for r in rows if r["data"] is not None)
+    block = Block(row, buckets)
+    return row, block, _covered(rows, block)
+
+
+def _digests(table: pa.Table, buckets: int) -> pa.Table:
+    _, block, covered = _open(table, buckets)
     rise = covered.copy()
     rise[1:] &= ~covered[:-1]
     inner = block.offsets[:-1][block.offsets[:-1] < len(covered)]
     rise[inner] = covered[inner]
     total, starts = np.append(0, np.cumsum(covered)), np.append(0, np.cumsum(rise))
-    kept = [block.data[a:b][~covered[a:b]].tobytes() for a, b in zip(block.offsets[:-1], block.offsets[1:], strict=True)]
     return pa.Table.from_pydict({
         "doc_id": pa.array([int(i) if k else None for i, k in zip(block.ids, block.known, strict=True)], pa.int64()),
         "n_bytes": pa.array(np.diff(block.offsets)),
         "n_removed": pa.array(total[block.offsets[1:]] - total[block.offsets[:-1]]),
         "n_spans": pa.array(starts[block.offsets[1:]] - starts[block.offsets[:-1]]),
-        "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
-        "kept": pa.array(kept if with_kept else [None] * len(kept), pa.binary()),
+        "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in _remaining(block, covered)], pa.string()),
     })
 
 
+def _documents(table: pa.Table, buckets: int, names: list[str]) -> pa.Table:
+    """The block's documents with what remains of their texts; a character cut in two goes whole."""
+    row, block, covered = _open(table, buckets)
+    rest = pa.ipc.open_stream(row["rest"]).read_all()
+    kept = [x.decode(errors="ignore") for x in _remaining(block, covered)]
+    text = pa.array(kept, pa.string(), mask=rest.column(1).to_numpy().astype(bool))
+    return pa.Table.from_arrays([text, *rest.columns[2:]], names)
+
+
 def _with_blocks(blocks: DataFrame, answers: DataFrame) -> DataFrame:
     """Rows of a block and of its answers under each other, for grouping by block."""
     none = F.lit(None)
     own = blocks.select(
-        "block", "bytes", "ids", "sizes", "data", none.cast("int").alias("kind"), none.cast("binary").alias("ordinals"), none.cast("binary").alias("masks")
+        "block", "bytes", "ids", "sizes", "data", "rest", none.cast("int").alias("kind"), none.cast("binary").alias("ordinals"), none.cast("binary").alias("masks")
     )
     return own.unionByName(answers, allowMissingColumns=True)
 
 
-def without_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", with_kept: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document.
-
-    ``kept`` holds the remaining bytes where ``with_kept`` asks for them, else null.
-    """
+def without_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    dealt, buckets = _judged(rows)
+    return dealt.applyInArrow(lambda t: _digests(t, buckets), RESULT)
+
+
+def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``documents``, all their columns, with what remains of their texts (null stays null)."""
+    others = [c for c in documents.columns if c != text]
+    rows = documents.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)])
+    dealt, buckets = _judged(rows)
+    schema = T.StructType([documents.schema[c] for c in [text, *others]])
+    made = dealt.applyInArrow(lambda t: _documents(t, buckets, [text, *others]), schema)
+    return made.select(*documents.columns)
+
+
+def _judged(rows: DataFrame):
+    """Blocks with their answers, grouped by block, and the number of buckets; rows begin with id and text."""
     blocks = written(rows.mapInArrow(_deal, BLOCKS), "suffix-blocks")
     total = blocks.agg(F.sum("bytes")).first()[0] or 0
     buckets = max(LEAST_BUCKETS, total // BUCKET_BYTES)
-    sent = blocks.mapInArrow(lambda b: _send(b, buckets), SENT)
+    sent = blocks.drop("rest").mapInArrow(lambda b: _send(b, buckets), SENT)
     answers = written(
         sent.groupBy("bucket").applyInArrow(_decide, "block string, kind int, ordinals binary, masks binary"), "suffix-answers"
     )
     wanted = answers.where(F.col("kind") == WANTED)
     asked = wanted.select("block").distinct()
-    fetched = _with_blocks(blocks.join(asked, "block", "left_semi"), wanted).groupBy("block").applyInArrow(
-        lambda t: _fetch(t, buckets), FETCHED
-    )
+    light = blocks.withColumn("rest", F.lit(None).cast("binary")).join(asked, "block", "left_semi")
+    fetched = _with_blocks(light, wanted).groupBy("block").applyInArrow(lambda t: _fetch(t, buckets), FETCHED)
     partly = fetched.groupBy("part").applyInArrow(_compare, "block string, kind int, ordinals binary, masks binary")
     told = answers.where(F.col("kind") == GONE).unionByName(written(partly, "suffix-partly"))
-    return _with_blocks(blocks, told).groupBy("block").applyInArrow(lambda t: _finish(t, buckets, with_kept), RESULT)
+    return _with_blocks(blocks, told).groupBy("block"), buckets

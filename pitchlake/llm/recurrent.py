@@ -446,7 +446,7 @@ def _scored(head: Head, model: Gru, data: np.ndarray, offsets: np.ndarray) -> li
     count, word = head.lookup(hashes)
     logs = np.log10(count + 1.0)
     in_head, rare = count > 0, word == RARE
-    base = np.bincount(row[in_head], logs[in_head], rows)
+    base = np.bincount(row[in_head], logs[in_head], rows).astype(float)
     likely = np.zeros(rows)
     if len(head.hashes):
         likely = text_scores(model, word.astype(np.int32), bounds, head.end) / math.log(10)

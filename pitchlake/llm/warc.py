@@ -53,12 +53,8 @@ def records(pages: DataFrame, revisit_bytes: int = 0, page_id: str = "page_id",
     rows = rows.withColumns({
         "bytes": F.octet_length("payload").cast("long"), "digest": base32_sha1(F.col("payload").cast("binary")),
     })
-    # Equal digests mean equal lengths; the length as a second key keeps the join's exchange its own,
-    # so that a payload held by many pages is split there.
-    firsts = rows.groupBy("digest", "bytes").agg(F.min("page_id").alias("first")).select("digest", "first")
-    rows = rows.join(firsts, "digest")
-    again = (F.col("bytes") >= revisit_bytes) & (F.col("page_id") != F.col("first"))
-    rows = rows.withColumn("again", F.coalesce(again, F.lit(False)))
+    rows = rows.join(_revisits(rows.select("page_id", "bytes", "digest"), revisit_bytes), ["page_id", "digest"], "left")
+    rows = rows.withColumn("again", F.col("first").isNotNull())
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
         F.col("bytes").cast("string"), F.lit(GAP),
@@ -81,6 +77,17 @@ def records(pages: DataFrame, revisit_bytes: int = 0, page_id: str = "page_id",
     ).alias("value"))
 
 
+def _revisits(rows: DataFrame, revisit_bytes: int) -> DataFrame:
+    """(page_id, digest, first) of the pages that repeat the payload of a smaller id.
+
+    Written before the pages are joined with it: they are then shuffled only if these are many.
+    """
+    shared = rows.groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).where("first <> last")
+    shared = written(shared.select("digest", "first"), "warc-shared")
+    again = rows.where(F.col("bytes") >= revisit_bytes).join(shared, "digest").where("page_id <> first")
+    return written(again.select("page_id", "digest", "first").distinct(), "warc-revisits")
+
+
 def write_archives(pages: DataFrame, folder: str, **options) -> None:
     """WARC files of all pages in ``folder``."""
     records(pages, **options).write.option("lineSep", GAP).option("compression", "none").text(folder)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import date
@@ -56,12 +55,13 @@ def _pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _games(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = sample.schedule_documents(spark, sf_dir)
-    return documents.schedule_games(documents.parse_documents(texts, "text", documents.SCHEDULE))
+    found = documents.parse_documents(texts, "text", documents.SCHEDULE, ["version"])
+    return documents.schedule_games(found)
 
 
 def _boxscores(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = sample.boxscore_documents(spark, sf_dir)
-    return documents.parse_documents(texts, "text", documents.BOXSCORE)
+    return documents.parse_documents(texts, "text", documents.BOXSCORE, ["version"])
 
 
 def _umpires(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,8 @@ def _umpires(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = metrics.team_records(_pitches(spark, sf_dir), SEASON)
     texts = sample.standings_documents(records, SEASON)
-    return documents.standings(documents.parse_documents(texts, "text", documents.STANDINGS))
+    found = documents.parse_documents(texts, "text", documents.STANDINGS, ["version"])
+    return documents.standings(found)
 
 
 def _board(spark: SparkSession, sf_dir: str, entity: str = "batter") -> DataFrame:
@@ -128,11 +129,12 @@ def _summary_batting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scratch_database(spark: SparkSession) -> tuple[str, str]:
     """A new database under the cluster's shared folder, and that folder.
 
-    The setting ``spark.checkpoint.dir`` names the folder; only where it is unset, as in tests on
-    one machine, is a temporary one used.
+    The setting ``spark.checkpoint.dir`` names the folder; where it is unset, the warehouse, which
+    all executors share as well.
     """
     tag = f"pitchlake_{uuid.uuid4().hex[:12]}"
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pitchlake-")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or warehouse
     location = f"{shared.rstrip('/')}/{tag}"
     spark.sql(f"CREATE DATABASE {tag} LOCATION '{location}'")
     return f"spark_catalog.{tag}", location
@@ -228,7 +230,7 @@ def _sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, _ = scratch_database(spark)
     where = SyncTables.beside(f"{database}.pitches")
     schedules = documents.parse_documents(
-        sample.schedule_documents(spark, sf_dir), "text", documents.SCHEDULE
+        sample.schedule_documents(spark, sf_dir), "text", documents.SCHEDULE, ["version"]
     )
     span = (date(2024, 4, 10), date(2024, 6, 20))
     sync(spark, _pitches(spark, sf_dir), where, *span, boxscores=_boxscores(spark, sf_dir),

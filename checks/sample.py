@@ -155,7 +155,10 @@ def game_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schedule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A schedule document per game, as text. Some list a second entry without a home team."""
+    """Schedule documents (text, version), one per game. Some list a second entry without a home team.
+
+    Every third game landed before, when it was still to be played.
+    """
     g = F.col("game_pk")
     played = g % 25 != 24
 
@@ -204,8 +207,15 @@ def schedule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.to_json(game(home))
     broken = F.to_json(game(F.struct(home["score"].alias("score"))))
     entries = F.when(g % 10 == 0, F.concat_ws(",", whole, broken)).otherwise(whole)
-    return game_keys(spark, sf_dir).select(
-        F.concat(F.lit('{"dates":[{"games":['), entries, F.lit("]}]}")).alias("text")
+    early = F.regexp_replace(entries, '"codedGameState":"F"', '"codedGameState":"S"')
+    early = F.regexp_replace(early, '"score":[0-9]+,?', "")
+    landed = F.filter(
+        F.array(F.struct(entries.alias("entries"), F.lit(2).alias("version")),
+                F.when(g % 3 == 1, F.struct(early.alias("entries"), F.lit(1).alias("version")))),
+        lambda x: x.isNotNull(),
+    )
+    return game_keys(spark, sf_dir).select(F.inline(landed)).select(
+        F.concat(F.lit('{"dates":[{"games":['), "entries", F.lit("]}]}")).alias("text"), "version"
     )
 
 
@@ -214,9 +224,10 @@ def umpire_id(game: Column, position: int) -> Column:
 
 
 def boxscore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A box score per game, as text; spring games have none.
+    """Box scores (text, version), one per game; spring games have none.
 
-    Each lists four umpires and a title nobody knows; some lack the id of the last umpire.
+    Each lists four umpires and a title nobody knows; some lack the id of the last umpire. Every
+    fourth landed before with the crew of another game.
     """
     g = F.col("game_pk")
 
@@ -231,15 +242,22 @@ def boxscore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     crew = [official(title, umpire_id(g, i)) for i, title in enumerate(TITLES)]
     crew[3] = official(TITLES[3], F.when(g % 7 != 0, umpire_id(g, 3)))
     crew.append(official("Replay Official", umpire_id(g, 4)))
-    return game_keys(spark, sf_dir).where(F.col("game_type") != "S").select(
-        F.to_json(F.struct("game_pk", "appearances", F.array(*crew).alias("officials")))
-        .alias("text")
+    other = F.array(*[official(title, umpire_id(g + 7, i)) for i, title in enumerate(TITLES)])
+    landed = F.filter(
+        F.array(F.struct(F.array(*crew).alias("officials"), F.lit(2).alias("version")),
+                F.when(g % 4 == 1, F.struct(other.alias("officials"), F.lit(1).alias("version")))),
+        lambda x: x.isNotNull(),
+    )
+    games = game_keys(spark, sf_dir).where(F.col("game_type") != "S")
+    return games.select("game_pk", "appearances", F.inline(landed)).select(
+        F.to_json(F.struct("game_pk", "appearances", "officials")).alias("text"), "version"
     )
 
 
 def standings_documents(records: DataFrame, season: int) -> DataFrame:
-    """A standings document per team made from its record, as text; an outdated entry comes first.
+    """Standings documents (text, version), one per team from its record; an outdated entry comes first.
 
+    An older set of documents of the same season has other wins.
     ``records`` is (id, wins, losses, run_diff). A team nobody knows is listed too.
     """
     pairs = [F.lit(x) for abbr, tid in zip(FEED_ABBRS, TEAM_IDS, strict=True) for x in (abbr, tid)]
@@ -259,7 +277,12 @@ def standings_documents(records: DataFrame, season: int) -> DataFrame:
         entry(F.lit(999), F.col("wins")),
         entry(tid, F.col("wins") + tid % 3),
     )
-    return records.select(F.to_json(F.struct(
+    old = F.array(entry(tid, F.col("wins") + 50))
+    landed = F.array(
+        F.struct(listed.alias("listed"), F.lit(2).alias("version")),
+        F.struct(old.alias("listed"), F.lit(1).alias("version")),
+    )
+    return records.select(F.inline(landed)).select(F.to_json(F.struct(
         F.lit(season).alias("season"),
-        F.array(F.struct(listed.alias("teamRecords"))).alias("records"),
-    )).alias("text"))
+        F.array(F.struct(F.col("listed").alias("teamRecords"))).alias("records"),
+    )).alias("text"), "version")

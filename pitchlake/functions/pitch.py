@@ -107,3 +107,24 @@ def away_runs_after() -> Column:
     return F.when(F.col("inning_topbot") == "Top", F.col("post_bat_score")).otherwise(
         F.col("post_fld_score")
     )
+
+
+def place(at_bat: Column, pitch: Column, home: Column | None = None, away: Column | None = None) -> Column:
+    """One decimal that orders pitches by plate appearance, then pitch, then the two scores.
+
+    Null where the plate appearance or the pitch is. Numbers of 2^40 or more, scores of 2^20 or more
+    and negative ones do not fit and raise an error.
+    """
+    def held(value: Column | None, bits: int) -> Column:
+        if value is None:
+            return F.lit(0).cast("decimal(38,0)")
+        fits = (value >= 0) & (value < F.lit(2**bits))
+        error = F.raise_error(F.lit(f"a number beyond {bits} bits cannot be ordered")).cast("bigint")
+        return F.when(value.isNull() | fits, value.cast("bigint")).otherwise(error).cast("decimal(13,0)")
+
+    def times(value: Column, power: int) -> Column:
+        factor = F.lit(str(2**power)).cast(f"decimal({len(str(2**power))},0)")
+        return (value * factor).cast("decimal(38,0)")
+
+    found = times(held(at_bat, 40), 80) + times(held(pitch, 40), 40)
+    return (found + times(held(home, 20), 20) + held(away, 20)).cast("decimal(38,0)")

@@ -37,17 +37,47 @@ def _converted(source: T.DataType, column: TableColumn) -> str:
     if isinstance(source, T.StringType) and column.dtype not in ("string", "array<string>"):
         value = f"nullif(trim({name}), '')"
         if column.dtype == "bigint":
-            # A nullable whole number is often landed as "6.0".
-            value = f"coalesce(try_cast({value} AS BIGINT), CAST(CAST({value} AS DOUBLE) AS BIGINT))"
+            # A nullable whole number is often landed as "6.0"; a fraction is not cut but null.
+            decimal = f"CAST({value} AS DECIMAL(38, 10))"
+            value = (
+                f"coalesce(try_cast({value} AS BIGINT),"
+                f" if({decimal} = floor({decimal}), CAST({decimal} AS BIGINT), NULL))"
+            )
+    elif column.dtype == "bigint" and isinstance(source, (T.DoubleType, T.FloatType, T.DecimalType)):
+        value = f"if({value} = floor({name}), {value}, NULL)"
     if value == name and source == SPARK_TYPES[column.dtype]:
         return name
     return f"CAST({value} AS {column.dtype}) AS {name}"
 
 
+def fractions(frame: DataFrame, layout: TableLayout) -> DataFrame:
+    """Rows (column_name, lost): values landed for a whole number that have a fraction.
+
+    ``conform`` makes them null. One pass over the frame.
+    """
+    sources = {f.name: f.dataType for f in frame.schema.fields}
+    inexact = (T.StringType, T.DoubleType, T.FloatType, T.DecimalType)
+    names = [
+        c.name for c in layout.columns
+        if c.dtype == "bigint" and isinstance(sources.get(c.name), inexact)
+    ]
+    if not names:
+        return frame.sparkSession.createDataFrame([], "column_name string, lost bigint")
+    counts = []
+    for i, name in enumerate(names):
+        value = f"try_cast(nullif(trim(CAST(`{name}` AS STRING)), '') AS DECIMAL(38, 10))"
+        counts.append(f"count_if({value} <> floor({value})) AS c{i}")
+    cells = ", ".join(f"'{name}', c{i}" for i, name in enumerate(names))
+    return frame.selectExpr(*counts).selectExpr(
+        f"stack({len(names)}, {cells}) AS (column_name, lost)"
+    )
+
+
 def conform(frame: DataFrame, layout: TableLayout) -> DataFrame:
     """Exactly the layout's columns, in order and type.
 
-    Unknown columns are left out (see ``drift`` for which), missing ones become typed nulls.
+    Unknown columns are left out (see ``drift`` for which), missing ones become typed nulls, and so
+    do numbers with a fraction where a whole one belongs (see ``fractions`` for how many).
     """
     sources = {f.name: f.dataType for f in frame.schema.fields}
     return frame.selectExpr(*[

@@ -80,26 +80,23 @@ def duplicates(frame: DataFrame, layout: TableLayout) -> DataFrame:
     )
 
 
-def profile(frame: DataFrame, layout: TableLayout, width: int = 12) -> DataFrame:
+def profile(frame: DataFrame, layout: TableLayout) -> DataFrame:
     """Rows (column_name, dtype, row_count, non_null, null_share, min_value, max_value).
 
-    Columns are measured in groups of ``width`` of one type. Each group is its own aggregate that
-    reads only its columns, which keeps it small enough for generated code; together the groups
-    read every column once.
+    Two passes: text, whose bounds need sorting aggregates, and everything else. Arrays have counts
+    but no bounds.
     """
-    by_type: dict[str, list[TableColumn]] = {}
-    for c in layout.columns:
-        if c.name in frame.columns and "array" not in c.dtype:
-            by_type.setdefault(c.dtype, []).append(c)
-    groups = [
-        members[i:i + width] for members in by_type.values() for i in range(0, len(members), width)
-    ]
+    here = [c for c in layout.columns if c.name in frame.columns]
+    texts = [c for c in here if c.dtype == "string"]
+    others = [c for c in here if c.dtype != "string"]
+    groups = [g for g in (texts, others) if g]
 
     def measured(columns: list[TableColumn]) -> DataFrame:
         measures = ["count(1) AS n"]
         for i, c in enumerate(columns):
             value = _quoted(c.name)
-            measures += [f"count({value}) AS c{i}", f"min({value}) AS l{i}", f"max({value}) AS h{i}"]
+            bound = "CAST(NULL AS STRING)" if "array" in c.dtype else value
+            measures += [f"count({value}) AS c{i}", f"min({bound}) AS l{i}", f"max({bound}) AS h{i}"]
         cells = ", ".join(
             f"'{c.name}', '{c.dtype}', n, c{i}, try_divide(n - c{i}, n),"
             f" CAST(l{i} AS STRING), CAST(h{i} AS STRING)"

@@ -8,6 +8,7 @@ steps running it again finishes the work.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -88,19 +89,24 @@ def partitions(spark: SparkSession, name: TableName) -> list[dict[str, str]]:
     ]
 
 
+# The overwrite mode is a setting of the session, which the threads of a driver share.
+_OVERWRITE = threading.RLock()
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """Overwrite only partitions that get rows. Catalog inserts take this from the session only."""
     setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting, None)
-    spark.conf.set(setting, "dynamic")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(setting)
-        else:
-            spark.conf.set(setting, before)
+    with _OVERWRITE:
+        before = spark.conf.get(setting, None)
+        spark.conf.set(setting, "dynamic")
+        try:
+            yield
+        finally:
+            if before is None:
+                spark.conf.unset(setting)
+            else:
+                spark.conf.set(setting, before)
 
 
 def _replace(
@@ -148,9 +154,12 @@ def _replace(
         for p in partitions(spark, name)
         if covers(p) and tuple(p[c] for c in layout.partition_by) not in filled
     ]
-    for p in stale:
-        spec = ", ".join(f"`{c}` = {_quoted(p[c])}" for c in layout.partition_by)
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+    specs = [
+        "PARTITION (" + ", ".join(f"`{c}` = {_quoted(p[c])}" for c in layout.partition_by) + ")"
+        for p in stale
+    ]
+    if specs:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(specs)}")
     return count
 
 

@@ -32,8 +32,12 @@ def slate_on(games: DataFrame, day: date) -> DataFrame:
 
 def plate_appearance_results(pitches: DataFrame) -> DataFrame:
     """One row per plate appearance: the result on its last pitch, null when it was cut off."""
+    # Text as a key stays in hash aggregation; one row per result is left to choose from.
+    ends = pitches.groupBy("game_pk", "at_bat_number", "events").agg(
+        F.max("pitch_number").alias("pitch_number")
+    )
     last = F.struct("pitch_number", F.coalesce("events", F.lit("")))
-    return pitches.groupBy("game_pk", "at_bat_number").agg(F.max_by("events", last).alias("events"))
+    return ends.groupBy("game_pk", "at_bat_number").agg(F.max_by("events", last).alias("events"))
 
 
 def result_counts(pitches: DataFrame) -> DataFrame:
@@ -50,17 +54,17 @@ def actual_starters(pitches: DataFrame) -> DataFrame:
     """Who threw the first pitch for each side: (game_pk, home_pitcher, away_pitcher).
 
     Each pitcher's first pitch is found by hash aggregation; only one row per pitcher and game is
-    left to choose from.
+    left to choose from. Pitches without a plate appearance or a number have no place and never
+    come first.
     """
-    first = F.shiftleft(F.coalesce("at_bat_number", F.lit(0)), 20) + F.coalesce(
-        "pitch_number", F.lit(0)
-    )
+    first = p.place(F.col("at_bat_number"), F.col("pitch_number"))
     outing = pitches.groupBy("game_pk", "inning_topbot", "pitcher").agg(
         F.min(first).alias("first")
     )
 
     def opener(half: str) -> Column:
-        order = F.when(F.col("inning_topbot") == half, F.struct("first", "pitcher"))
+        placed = (F.col("inning_topbot") == half) & F.col("first").isNotNull()
+        order = F.when(placed, F.struct("first", "pitcher"))
         return F.min(order)["pitcher"]
 
     return outing.groupBy("game_pk").agg(

@@ -152,10 +152,10 @@ def final_scores(pitches: DataFrame, season: int) -> DataFrame:
 
     The last pitch is found by hash aggregation on one number per pitch, so games are not sorted
     and every task sends at most one row per game. The number orders pitches by plate appearance,
-    then pitch, then score, which decides between copies of a pitch.
+    then pitch, then score, which decides between copies of a pitch. Missing numbers count as 0.
     """
-    def bits(value: Column, top: int) -> Column:
-        return F.least(F.greatest(F.coalesce(value, F.lit(0)), F.lit(0)), F.lit(top))
+    def number(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit(0))
 
     scored = pitches.where(p.regular_season() & p.in_season(season)).select(
         "game_pk", "home_team", "away_team",
@@ -163,12 +163,7 @@ def final_scores(pitches: DataFrame, season: int) -> DataFrame:
         p.away_runs_after().alias("away"),
         "at_bat_number", "pitch_number",
     )
-    place = (
-        F.shiftleft(bits(F.col("at_bat_number"), 2**20 - 1), 40)
-        + F.shiftleft(bits(F.col("pitch_number"), 2**20 - 1), 20)
-        + F.shiftleft(bits(F.col("home"), 2**10 - 1), 10)
-        + bits(F.col("away"), 2**10 - 1)
-    )
+    place = p.place(*[number(c) for c in ("at_bat_number", "pitch_number", "home", "away")])
     last = scored.groupBy("game_pk", "home_team", "away_team").agg(
         F.max_by("home", place).alias("home"),
         F.max_by("away", place).alias("away"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
 
@@ -15,7 +16,7 @@ from pitchlake.catalog.support import RUNS
 from pitchlake.operators.conform import drift
 from pitchlake.operators.runs import completed_chunks, pending, range_chunks, record_run
 from pitchlake.operators.tables import TableName, create_table, replace_days, replace_seasons
-from pitchlake.sources.documents import game_officials, schedule_games
+from pitchlake.sources.documents import crews_of, officials, schedule_games
 from pitchlake.sources.pitches import pitch_batch
 
 log = logging.getLogger(__name__)
@@ -71,6 +72,10 @@ def sync(
 ) -> list[tuple[date, date]]:
     """Load [start, end] chunk by chunk, then the schedules of its seasons; returns the chunks.
 
+    Box scores are parsed once, before the first chunk. Only seasons that have a schedule document
+    are replaced: by their games, and also, where ``schedules`` has a column ``season`` from the
+    landing's folders, by a document without any game. The other seasons stay, with a warning.
+
     A chunk is one distributed write and the unit of logging and retry. A chunk without pitches
     is logged as empty and leaves the tables alone; a failure is logged and raised. Leave
     ``boxscores`` or ``schedules`` out to skip umpires or games.
@@ -87,19 +92,41 @@ def sync(
     unknown = drift(landed, PITCHES).unknown
     if unknown:
         log.warning("columns not in the pitch table are left out: %s", list(unknown))
+    crews = _staged_officials(tables, boxscores) if boxscores is not None and chunks else None
+    try:
+        _load_chunks(spark, landed, tables, chunks, crews, chunk_kind)
+    finally:
+        if crews is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {crews}")
+    if schedules is not None:
+        _load_schedules(schedules, tables, range(start.year, end.year + 1))
+    return chunks
+
+
+def _staged_officials(tables: SyncTables, boxscores: DataFrame) -> TableName:
+    """The flattened box scores in a table of their own for the length of a load."""
+    name = tables.runs.sibling(f"_officials_{uuid.uuid4().hex[:12]}")
+    officials(boxscores).write.format("parquet").saveAsTable(str(name))
+    return name
+
+
+def _load_chunks(
+    spark: SparkSession, landed: DataFrame, tables: SyncTables, chunks: list[tuple[date, date]],
+    crews: TableName | None, chunk_kind: str,
+) -> None:
     for first, last in chunks:
         began = datetime.now(UTC)
         try:
             written = replace_days(
                 pitch_batch(landed, first, last), tables.pitches, PITCHES, first, last
             )
-            if written and boxscores is not None:
+            if written and crews is not None:
                 # The games come from what was just written, not from the landed files again.
                 loaded = spark.table(str(tables.pitches)).where(
                     F.col("game_date").between(F.lit(first), F.lit(last))
                 )
                 replace_days(
-                    game_officials(loaded, boxscores), tables.umpires, UMPIRES, first, last
+                    crews_of(loaded, spark.table(str(crews))), tables.umpires, UMPIRES, first, last
                 )
         except Exception as error:
             record_run(spark, tables.runs, first, last, chunk_kind, "failed", 0, began, str(error))
@@ -107,11 +134,22 @@ def sync(
         status = "success" if written else "empty"
         record_run(spark, tables.runs, first, last, chunk_kind, status, written, began)
 
-    if schedules is not None:
-        seasons = range(start.year, end.year + 1)
-        if schedules.isEmpty():
-            # Without this, a failed download would empty the seasons.
-            raise ValueError(f"no schedule documents for seasons {list(seasons)}")
-        games = schedule_games(schedules).where(F.col("season").isin(list(seasons)))
-        replace_seasons(games, tables.games, GAMES, seasons)
-    return chunks
+
+def _load_schedules(schedules: DataFrame, tables: SyncTables, seasons: range) -> None:
+    games = schedule_games(schedules)
+    # At most one row per season, with how many of its games have no season of their own.
+    found = {r["season"]: r["n"] for r in games.groupBy("season").agg(F.count("*").alias("n")).collect()}
+    if found.get(0):
+        log.warning("games without a readable season are left out: %d", found[0])
+    landed = set(found)
+    if "season" in schedules.columns:
+        named = schedules.select(F.col("season").cast("int").alias("season")).distinct()
+        landed |= {r["season"] for r in named.collect()}
+    present = [s for s in seasons if s in landed]
+    missing = [s for s in seasons if s not in landed]
+    if not present:
+        # Without this, a failed download would empty the seasons.
+        raise ValueError(f"no schedule documents for seasons {missing}")
+    if missing:
+        log.warning("no schedule documents for seasons %s; their games stay as they are", missing)
+    replace_seasons(games.where(F.col("season").isin(present)), tables.games, GAMES, present)

@@ -62,8 +62,9 @@ def verify_teams(
     min_n: int | None = None,
     tolerance: float | None = None,
 ) -> DataFrame:
-    """Comparison rows of the team metrics; ``standings`` holds the rows of ``season``."""
+    """Comparison rows of the team metrics; of ``standings`` the rows of ``season`` count."""
     wanted = list(names or metrics_of("team"))
+    standings = standings.where(F.col("season") == season)
     ours = team_metrics(pitches, wanted, season, min_n)
     full_names = teams(pitches.sparkSession).select(
         F.col("feed_abbr").alias("id"), F.col("full_name").alias("name")

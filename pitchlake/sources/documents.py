@@ -1,13 +1,17 @@
 """Landed JSON documents: season schedules, box scores and standings.
 
 Every leaf is read as text and converted leniently, so one bad value never fails a load.
+
+Landed documents pile up: a season or a box score arrives again with every load. A column ``version``
+orders them, and only the newest counts. Files have their modification time as version; documents
+without one count as equally new.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +21,11 @@ from pitchlake.functions.parse import safe_int, text_or
 from pitchlake.sources.pitches import distinct_games
 
 
+VERSION = "version"
+# Regular season and the four rounds after it; spring and exhibition games are not ingested.
+INGESTED = ("R", "P", "F", "D", "L", "W")
+
+
 def _text(*names: str) -> list[T.StructField]:
     return [T.StructField(name, T.StringType()) for name in names]
 
@@ -67,28 +76,42 @@ def read_documents(
     """Landed documents, one per line or one per file. A missing path is an error, not no data.
 
     Fields that the landing layout carries in its folders (``game_pk=7/``, ``season=2024/``)
-    become columns by themselves.
+    become columns by themselves; the files' modification times become ``version``.
     """
     paths = paths if isinstance(paths, str) else list(paths)
-    return spark.read.schema(schema).option("multiLine", one_per_file).json(paths)
+    found = spark.read.schema(schema).option("multiLine", one_per_file).json(paths)
+    return found.withColumn(VERSION, F.unix_micros(F.col("_metadata.file_modification_time")))
+
+
+def parse_documents(
+    frame: DataFrame, text: str, schema: T.StructType, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Like ``read_documents`` for documents held in the text column ``text``.
+
+    Columns in ``keep``, such as ``version`` or the season of the landing, stay beside the document.
+    """
+    parsed = frame.select(F.from_json(F.col(text), schema).alias("doc"), *keep)
+    return parsed.select("doc.*", *keep)
 
 
-def parse_documents(frame: DataFrame, text: str, schema: T.StructType) -> DataFrame:
-    """Like ``read_documents`` for documents held in the text column ``text``."""
-    parsed = frame.select(F.from_json(F.col(text), schema).alias("doc"))
-    return parsed.select("doc.*")
+def _version(documents: DataFrame) -> Column:
+    found = F.col(VERSION) if VERSION in documents.columns else F.lit(0)
+    return F.coalesce(found.cast("bigint"), F.lit(0).cast("bigint")).alias("_version")
 
 
-def schedule_games(documents: DataFrame) -> DataFrame:
+def schedule_games(documents: DataFrame, game_types: Sequence[str] | None = None) -> DataFrame:
     """One row per scheduled game, with league and division of both teams.
 
+    Of a game that is listed several times the newest document's entry counts, in it the later one.
     Games without an id or without both team ids are left out. A team that is not one of the
-    thirty keeps the document's abbreviation, or UNK when there is none.
+    thirty keeps the document's abbreviation, or UNK when there is none. ``game_types`` chooses the
+    kinds of games, such as ``INGESTED``; by default all are kept.
     """
     # The outer forms keep Spark from testing the array in a filter below, which would parse a
     # text document once more; what they add for an empty array has no id and is left out below.
-    day = documents.select(F.explode_outer("dates").alias("day"))
-    game = day.select(F.explode_outer("day.games").alias("g")).select("g.*")
+    day = documents.select(_version(documents), F.posexplode_outer("dates").alias("_i", "day"))
+    game = day.select("_version", "_i", F.posexplode_outer("day.games").alias("_j", "g"))
+    game = game.select("_version", "_i", "_j", "g.*")
 
     def side(which: str) -> list[Column]:
         entry = F.col("teams")[which]
@@ -115,7 +138,13 @@ def schedule_games(documents: DataFrame) -> DataFrame:
         F.col("doubleHeader").alias("double_header_flag"),
         safe_int(F.col("gameNumber")).alias("game_number"),
         F.col("seriesDescription").alias("series_description"),
+        "_version", "_i", "_j",
     ).where("game_pk IS NOT NULL AND home_team_id IS NOT NULL AND away_team_id IS NOT NULL")
+    line = F.struct(*[c for c in flat.columns if c not in ("game_pk", "_version", "_i", "_j")])
+    newest = F.max_by(line, F.struct("_version", "_i", "_j", line)).alias("line")
+    flat = flat.groupBy("game_pk").agg(newest).select("game_pk", "line.*")
+    if game_types is not None:
+        flat = flat.where(F.col("game_type").isin(list(game_types)))
 
     for which in ("home", "away"):
         dimension = teams(documents.sparkSession).select(
@@ -144,14 +173,26 @@ def schedule_seasons(spark: SparkSession, paths_by_season: dict[int, list[str]])
 
 
 def game_officials(games: DataFrame, boxscores: DataFrame) -> DataFrame:
-    """Umpire crew of each wanted (game_pk, game_date) that has a box score.
+    """Umpire crew of each wanted (game_pk, game_date) that has a box score."""
+    return crews_of(games, officials(boxscores))
+
+
+def crews_of(games: DataFrame, flat: DataFrame) -> DataFrame:
+    """Rows of ``officials`` for the games of a batch, with their days."""
+    return distinct_games(games).join(flat, "game_pk").select(*UMPIRES.names)
+
+
+def officials(boxscores: DataFrame) -> DataFrame:
+    """(game_pk, position, umpire_id, umpire_name) from the newest box score of each game.
 
     Unknown titles and officials without an id are left out.
     """
     code = F.create_map(*[F.lit(x) for pair in UMPIRE_POSITIONS.items() for x in pair])
-    wanted = distinct_games(games)
-    official = (
-        boxscores.select(F.col("game_pk"), F.explode_outer("officials").alias("o"))
+    newest = boxscores.select("game_pk", "officials", _version(boxscores)).groupBy("game_pk").agg(
+        F.max_by("officials", F.struct("_version", "officials")).alias("officials")
+    )
+    return (
+        newest.select(F.col("game_pk"), F.explode_outer("officials").alias("o"))
         .select(
             "game_pk",
             F.element_at(code, F.col("o.officialType")).alias("position"),
@@ -160,16 +201,18 @@ def game_officials(games: DataFrame, boxscores: DataFrame) -> DataFrame:
         )
         .where("position IS NOT NULL AND umpire_id IS NOT NULL")
     )
-    return wanted.join(official, "game_pk").select(*UMPIRES.names)
 
 
 def standings(documents: DataFrame) -> DataFrame:
     """One row per season and team: wins, losses, runs scored and allowed.
 
-    Abbreviations are the pitch feed's. Unknown teams are left out; of a team listed twice in a
+    Only the newest documents of a season count. Abbreviations are the pitch feed's. Unknown teams are left out; of a team listed twice in a
     document the later entry counts.
     """
-    record = documents.select("season", F.posexplode_outer("records").alias("i", "record"))
+    versioned = documents.select("season", "records", _version(documents))
+    newest = F.max("_version").over(Window.partitionBy("season"))
+    current = versioned.withColumn("_newest", newest).where("_version = _newest")
+    record = current.select("season", F.posexplode_outer("records").alias("i", "record"))
     listed = record.select(
         "season", "i", F.posexplode_outer("record.teamRecords").alias("j", "t")
     )
@@ -188,6 +231,6 @@ def standings(documents: DataFrame) -> DataFrame:
     return (
         team.join(F.broadcast(dimension), "team_id")
         .groupBy("season", "team")
-        .agg(F.max_by("line", "place").alias("line"))
+        .agg(F.max_by("line", F.struct("place", "line")).alias("line"))
         .select("season", "team", "line.*")
     )

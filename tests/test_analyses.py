@@ -277,3 +277,18 @@ def test_expressions_stay_in_generated_code(spark):
     text = curated.top_hard_hit(frame, 2024)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in text
     assert "Python" not in text
+
+
+def test_pitches_without_a_place_never_start(spark):
+    frame = pitches(
+        spark, {"pitcher": 1, "at_bat_number": 1}, {"pitcher": 2, "at_bat_number": None},
+        {"pitcher": 3, "inning_topbot": "Bot", "pitch_number": None},
+        {"pitcher": 4, "at_bat_number": 2, "pitch_number": 2**21, "inning_topbot": "Bot"},
+        {"pitcher": 5, "at_bat_number": 3, "inning_topbot": "Bot"},
+    )
+    assert games.actual_starters(frame).collect()[0][1:] == (1, 4)
+
+
+def test_results_need_no_sort_of_pitches(spark):
+    plan = games.plate_appearance_results(pitches(spark, {}))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan[plan.rindex("Exchange"):]

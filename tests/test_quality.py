@@ -6,7 +6,9 @@ import pytest
 
 from pitchlake.catalog.games import UMPIRES
 from pitchlake.catalog.pitches import PITCHES
+from pitchlake.catalog.support import DICTIONARY
 from pitchlake.operators import quality
+from pitchlake.operators.conform import conform
 from tests.helpers import pitches
 
 
@@ -67,3 +69,13 @@ def test_completeness(spark, rows):
     assert rows(quality.games_without_pitches(schedule, played)) == [(3, date(2024, 5, 1), "R")]
     crew = spark.createDataFrame([(1, "HP"), (2, "1B")], "game_pk bigint, position string")
     assert rows(quality.games_without_plate_umpire(played, crew)) == [(2, date(2024, 5, 1))]
+
+
+def test_profile_counts_arrays_in_two_passes(spark):
+    frame = spark.createDataFrame([("a", ["x"]), ("b", None)], "dtype string, tags array<string>")
+    found = quality.profile(frame, DICTIONARY)
+    assert sorted((r.column_name, r.row_count, r.non_null, r.min_value) for r in found.collect()) == [
+        ("dtype", 2, 2, "a"), ("tags", 2, 1, None)]
+    everything = conform(frame, PITCHES)
+    plan = quality.profile(everything, PITCHES)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 2

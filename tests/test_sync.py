@@ -108,6 +108,32 @@ def test_missing_schedules_do_not_empty_the_seasons(spark, table, landed, schedu
     with pytest.raises(ValueError, match="no schedule documents"):
         sync(spark, landed, where, *SPAN, schedules=schedules.where("false"))
     assert spark.table(str(where.games)).count() == 1
-    nothing = parsed(spark, [{"dates": []}], docs.SCHEDULE)
+    # An empty document of a named season empties that season.
+    text = spark.createDataFrame([('{"dates": []}', 2024)], "text string, season int")
+    nothing = docs.parse_documents(text, "text", docs.SCHEDULE, ["season"])
     sync(spark, landed, where, *SPAN, schedules=nothing)
     assert spark.table(str(where.games)).count() == 0
+
+
+def test_a_season_without_documents_stays(spark, table, landed, schedules, caplog):
+    where = SyncTables.beside(str(table))
+    both = (date(2023, 4, 15), date(2024, 6, 10))
+    sync(spark, landed, where, *both, schedules=schedules)
+    assert {r.season for r in spark.table(str(where.games)).collect()} == {2023, 2024}
+    odd = {"dates": [{"games": [
+        {"gamePk": 9, "season": 2023, "teams": {"home": {"team": {"id": 116}}, "away": {"team": {"id": 147}}}},
+        {"gamePk": 10, "season": "?", "teams": {"home": {"team": {"id": 116}}, "away": {"team": {"id": 147}}}},
+    ]}]}
+    sync(spark, landed, where, *both, schedules=parsed(spark, [odd], docs.SCHEDULE))
+    assert sorted((r.season, r.game_pk) for r in spark.table(str(where.games)).collect()) == [(2023, 9), (2024, 1)]
+    assert "[2024]" in caplog.text and "without a readable season" in caplog.text
+
+
+def test_box_scores_are_parsed_once(spark, table, landed, boxscores):
+    parses = spark.sparkContext.accumulator(0)
+    watched = boxscores.mapInPandas(lambda parts: (parses.add(len(p)) or p for p in parts), boxscores.schema)
+    where = SyncTables.beside(str(table))
+    sync(spark, landed, where, *SPAN, boxscores=watched, chunk_kind="month")
+    assert parses.value == 3
+    names = [t.name for t in spark.catalog.listTables(f"{table.catalog}.{table.database}")]
+    assert not [n for n in names if n.startswith("_officials")]

@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from pitchlake.catalog.games import GAMES
+from pitchlake.catalog.games import GAMES, UMPIRES
 from pitchlake.catalog.pitches import PITCHES
 from pitchlake.catalog.support import DICTIONARY
 from pitchlake.operators.dictionary import apply_dictionary, documented_profile
@@ -163,3 +163,17 @@ def test_documented_profile(spark):
 def test_report(spark, tmp_path):
     write_report(spark.range(3), str(tmp_path / "r"))
     assert spark.read.json(str(tmp_path / "r")).count() == 3
+
+
+def test_two_loads_in_threads_keep_each_others_days(spark, table):
+    from concurrent.futures import ThreadPoolExecutor
+
+    create_table(spark, table, UMPIRES)
+
+    def load(day):
+        rows = spark.createDataFrame([(day, date(2024, 5, day), "HP", 7, "A")], UMPIRES.schema)
+        return replace_days(rows, table, UMPIRES, date(2024, 5, day), date(2024, 5, day))
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(load, range(1, 5))) == [1] * 4
+    assert spark.table(str(table)).count() == 4

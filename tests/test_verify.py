@@ -236,3 +236,24 @@ def test_verify_players(spark):
     assert [r.within_tolerance for r in wide.collect()] == [True]
     with pytest.raises(ValueError, match="unsupported"):
         verify_players(frame, expected, "batter", 2024, ["whiff_rate"])
+
+
+def test_large_and_missing_numbers_keep_their_order(spark, rows):
+    frame = pitches(
+        spark,
+        {"game_pk": 1, "at_bat_number": 1, "pitch_number": 2**20 - 1, "post_fld_score": 9, "post_bat_score": 0},
+        {"game_pk": 1, "at_bat_number": 1, "pitch_number": 2**20 + 5, "post_fld_score": 3, "post_bat_score": 0},
+        {"game_pk": 2, "at_bat_number": None, "pitch_number": 7, "post_fld_score": 8, "post_bat_score": 1},
+        {"game_pk": 2, "at_bat_number": 3, "pitch_number": None, "post_fld_score": 2000, "post_bat_score": 1},
+    )
+    assert [r[:1] + r[3:] for r in rows(final_scores(frame, 2024))] == [(1, 3, 0), (2, 2000, 1)]
+    broken = pitches(spark, {"at_bat_number": -1})
+    with pytest.raises(Exception, match="cannot be ordered"):
+        final_scores(broken, 2024).collect()
+
+
+def test_teams_are_compared_with_their_own_season(spark):
+    lines = [(y, "DET", 1, 0, 5, 1) for y in (2023, 2024)]
+    board = spark.createDataFrame(lines, "season long, team string, wins long, losses long, runs_scored long, runs_allowed long")
+    found = verify_teams(team_frame(spark), board, 2024, names=["wins"], min_n=0)
+    assert found.groupBy("entity_id").count().where("count > 1").count() == 0

@@ -659,6 +659,56 @@ UNION ALL SELECT 'missing', column_name, count(*) FROM pitches,
         + """) AS m(column_name) GROUP BY column_name"""),
 }
 
+_BATTERS = [m for m in _BOARD_FIELDS if _PLAYER[m][0] == "batter"]
+
+
+def _overall(compared: str, threshold: float, *parts: str) -> str:
+    """A metric with nothing to compare does not pass."""
+    summary = _SUMMARY.replace("0.5e0", f"{threshold}e0")
+    names = {_ALL_COMPARED: _BATTERS, _PITCHERS_COMPARED: [m for m in _PLAYER if _PLAYER[m][0] == "pitcher"]}
+    rows = ", ".join(f"('{m}')" for m in names.get(compared, ["wins", "losses", "run_diff"]))
+    return _q(f"""
+, s AS ({summary} FROM ({compared}) GROUP BY metric), names(metric) AS (VALUES {rows})
+SELECT count(*) AS metrics, bool_and(coalesce(passed, false)) AS passed FROM names LEFT JOIN s USING (metric)""", *parts)
+
+
+_CUT = "SELECT id FROM ({0}) WHERE sample_size >= {1}"
+_TEAM_PARTS = (RECORDS_SQL, STANDINGS_SQL, _DIM)
+_OWN_SWING = "description IN ('swinging_strike','swinging_strike_blocked','foul','hit_into_play')"
+MORE_SQL = {
+    "v_two_boards": _q(f" SELECT {_ROUNDED} FROM (" + " UNION ALL ".join(
+        f"SELECT * FROM ({_compared(m)}) WHERE entity_id IN ("
+        f"{_CUT.format(_player('barrel_rate'), 11 if m == 'xwoba_contact' else 9)})" for m in _BATTERS
+    ) + ")"),
+    "v_results_json": _q(f"""
+, c AS ({_ALL_COMPARED}), s AS ({_SUMMARY.replace("0.5e0", "0.99e0")} FROM c GROUP BY metric),
+d AS (SELECT metric, entity_id, diff, row_number() OVER (
+    PARTITION BY metric ORDER BY abs(diff) DESC, entity_id) AS rn FROM c WHERE NOT within_tolerance),
+t(metric, tolerance) AS (VALUES {", ".join(f"('{m}', {_BOARD_FIELDS[m][1]}e0)" for m in _BATTERS)})
+SELECT metric, CAST(2024 AS BIGINT) AS season, 'batter' AS aggregation, tolerance, 0.99e0 AS threshold,
+  total_compared, within_count, pct_within, passed,
+  (SELECT count(*) FROM d WHERE d.metric = s.metric AND rn <= 5) AS n_deltas,
+  (SELECT max(entity_id) FROM d WHERE d.metric = s.metric AND rn = 1) AS worst_id,
+  (SELECT round(max(diff), 6) FROM d WHERE d.metric = s.metric AND rn = 1) AS worst_diff
+FROM s JOIN t USING (metric)"""),
+    "v_overall_batting_099": _overall(_ALL_COMPARED, 0.99),
+    "v_overall_pitching": _overall(_PITCHERS_COMPARED, 0.5),
+    "v_overall_pitching_099": _overall(_PITCHERS_COMPARED, 0.99),
+    "v_overall_teams": _overall(_TEAM_COMPARED, 0.5, *_TEAM_PARTS),
+    "v_overall_teams_099": _overall(_TEAM_COMPARED, 0.99, *_TEAM_PARTS),
+    "src_schedule_kinds": _q(
+        f" SELECT {_GAME_COLUMNS} FROM games WHERE game_type IN ('R','P','F','D','L','W')", GAMES_SQL),
+    "src_schedule_seasons": _q(f" SELECT {_GAME_COLUMNS} FROM games WHERE season IN (2023, 2024)", GAMES_SQL),
+    "src_leaderboard_file": SOURCE_SQL["src_leaderboard"],
+    "q05_whiff_own_swings": CURATED["q05_whiff_by_hand"].replace(_SWING, _OWN_SWING),
+    "q17_last_pitch": CURATED["q17_run_expectancy_24"].replace("pitch_number = 1", "events IS NOT NULL"),
+    "t_pruned_scan": _q("""
+ SELECT CAST(game_date AS VARCHAR) AS game_date, count(*) AS pitches, round(avg(launch_speed), 6) AS launch_speed
+FROM pitches WHERE game_type = 'R' AND game_date BETWEEN DATE '2024-05-01' AND DATE '2024-05-31'
+GROUP BY game_date"""),
+}
+
 ORACLES = {
     **CURATED, **METRIC_SQL, **VERIFY_SQL, **SOURCE_SQL, **GAME_SQL, **QUALITY_SQL, **TABLE_SQL,
+    **MORE_SQL,
 }

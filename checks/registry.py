@@ -27,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SEASON = 2024
 MAY = (date(2024, 5, 1), date(2024, 5, 31))
+OWN_SWINGS = ("swinging_strike", "swinging_strike_blocked", "foul", "hit_into_play")
 FLOOR = {"batter": 5, "pitcher": 20}
 # An outside board has its own, higher cut on its first metric's sample.
 BOARD_FLOOR = {"batter": 8, "pitcher": 100}
@@ -126,6 +127,78 @@ def _summary_batting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.summarise_metrics(_compare_batting(spark, sf_dir), wanted, threshold=0.5)
 
 
+def _summary(entity: str, threshold: float) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if entity == "team":
+            found = verify.verify_teams(_pitches(spark, sf_dir), _standings(spark, sf_dir), SEASON)
+        else:
+            found = _compare_players(spark, sf_dir, entity)
+        names = verify.metric_names(spark, metrics.metrics_of(entity))
+        return compare.overall(compare.summarise_metrics(found, names, threshold))
+
+    return query
+
+
+def _two_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected contact value from a board of its own, with its own sample size and minimum."""
+    board = _board(spark, sf_dir)
+    second = board.select("player_id", (F.col("attempts") + 2).alias("pa"), "est_woba")
+    first = [n for n in metrics.metrics_of("batter") if n != "xwoba_contact"]
+    expected = boards.expected_from([
+        boards.Board(board.drop("est_woba"), tuple(first), "attempts", 9),
+        boards.Board(second, ("xwoba_contact",), "pa", 13),
+    ])
+    return verify.verify_players(
+        _pitches(spark, sf_dir), expected, "batter", SEASON, min_n=FLOOR["batter"],
+        player_names=boards.player_names(board),
+    )
+
+
+def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of all batting metrics, written as JSON and read again."""
+    _, location = scratch_database(spark)
+    table = verify.metric_table(spark, metrics.metrics_of("batter"))
+    found = compare.results(_compare_players(spark, sf_dir, "batter"), table, SEASON, "board")
+    tables.write_report(found, f"{location}/results")
+    read = spark.read.schema(found.schema).json(f"{location}/results")
+    return read.select(
+        "metric", "season", "aggregation", "tolerance", "threshold", "total_compared", "within_count",
+        "pct_within", "passed", F.size("deltas").cast("bigint").alias("n_deltas"),
+        F.get("deltas", F.lit(0))["entity_id"].alias("worst_id"),
+        F.get("deltas", F.lit(0))["diff"].alias("worst_diff"),
+    )
+
+
+def _seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games of two seasons from landed files, a folder for each season."""
+    _, location = scratch_database(spark)
+    landed = sample.schedule_documents(spark, sf_dir).where("version = 2")
+    year = F.regexp_extract("text", '"season":"([0-9]+)"', 1)
+    landed.select("text", year.alias("year")).write.partitionBy("year").text(f"{location}/landed")
+    paths = {s: [f"{location}/landed/year={s}"] for s in (2023, 2024)}
+    return documents.schedule_seasons(spark, paths)
+
+
+def _pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of May from a written table: the filter leaves their partitions only."""
+    database, _ = scratch_database(spark)
+    name = tables.TableName.parse(f"{database}.pitches")
+    tables.create_table(spark, name, PITCHES)
+    year = (date(SEASON, 1, 1), date(SEASON, 12, 31))
+    tables.replace_days(pitch_batch(_pitches(spark, sf_dir), *year), name, PITCHES, *year)
+    may = F.col("game_date").between(F.lit(MAY[0]), F.lit(MAY[1]))
+    return spark.table(str(name)).where(may).groupBy("game_date").agg(
+        F.count("*").alias("pitches"), F.avg("launch_speed").alias("launch_speed")
+    )
+
+
+def _board_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, location = scratch_database(spark)
+    _board(spark, sf_dir).write.option("header", True).csv(f"{location}/board")
+    board = boards.read_leaderboard(spark, f"{location}/board", "csv")
+    return boards.expected_values(board, ["barrel_rate"], sample_column="attempts", min_sample=10)
+
+
 def scratch_database(spark: SparkSession) -> tuple[str, str]:
     """A new database under the cluster's shared folder, and that folder.
 
@@ -279,6 +352,8 @@ CURATED: dict[str, Query] = {
     ),
     "q04_umpire_edge_zone": _with_umpires(curated.umpire_edge_strikes),
     "q05_whiff_by_hand": _over_pitches(curated.whiff_by_hand),
+    "q05_whiff_own_swings": _over_pitches(curated.whiff_by_hand, swings=OWN_SWINGS),
+    "q17_last_pitch": _over_pitches(curated.run_expectancy, last_pitch=True),
     "q06_starter_ev_allowed": _over_pitches(curated.starter_exit_velocity),
     "q07_xwoba_contact": _over_pitches(curated.xwoba_on_contact, season=SEASON, min_n=8),
     "q08_pitches_per_pa": _over_pitches(curated.pitches_per_plate_appearance),
@@ -330,6 +405,13 @@ VERIFY: dict[str, Query] = {
     "v_top_deltas": lambda s, d: compare.top_deltas(_compare_batting(s, d, "barrel_rate")),
     "v_compare_teams": lambda s, d: verify.verify_teams(_pitches(s, d), _standings(s, d), SEASON),
     "v_report_json": _report,
+    "v_two_boards": _two_boards,
+    "v_results_json": _results,
+    "v_overall_batting_099": _summary("batter", 0.99),
+    "v_overall_pitching": _summary("pitcher", 0.5),
+    "v_overall_pitching_099": _summary("pitcher", 0.99),
+    "v_overall_teams": _summary("team", 0.5),
+    "v_overall_teams_099": _summary("team", 0.99),
 }
 
 SOURCES: dict[str, Query] = {
@@ -338,6 +420,13 @@ SOURCES: dict[str, Query] = {
         "description", "launch_speed", "swing_length",
     ),
     "src_schedule_games": _games,
+    "src_schedule_kinds": lambda s, d: documents.schedule_games(
+        documents.parse_documents(
+            sample.schedule_documents(s, d), "text", documents.SCHEDULE, ["version"]
+        ), documents.INGESTED,
+    ),
+    "src_schedule_seasons": _seasons,
+    "src_leaderboard_file": _board_file,
     "src_game_officials": _umpires,
     "src_distinct_games": _over_pitches(distinct_games),
     "src_standings": _standings,
@@ -374,6 +463,7 @@ QUALITY: dict[str, Query] = {
 TABLES: dict[str, Query] = {
     "t_replace_days": _replace_days,
     "t_replace_seasons": _replace_seasons,
+    "t_pruned_scan": _pruned,
     "t_dictionary": _dictionary,
     "r_month_chunks": _month_chunks,
     "r_pending_chunks": _pending_chunks,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column
@@ -58,8 +59,8 @@ def is_called() -> Column:
     return F.col("description").isin(*CALLED)
 
 
-def is_swing() -> Column:
-    return F.col("description").isin(*SWINGS)
+def is_swing(swings: Sequence[str] = SWINGS) -> Column:
+    return F.col("description").isin(*swings)
 
 
 def is_whiff() -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_THRESHOLD = 0.99
@@ -82,6 +82,34 @@ def overall(summaries: DataFrame) -> DataFrame:
     )
 
 
+def results(
+    comparison: DataFrame, metrics: DataFrame, season: int, source: str,
+    threshold: float = DEFAULT_THRESHOLD, limit: int = 5,
+) -> DataFrame:
+    """A verification result per metric, fit for a report.
+
+    ``metrics`` is (metric, aggregation, tolerance). ``deltas`` holds up to ``limit`` of the largest
+    differences outside the tolerance, the largest first.
+    """
+    place = F.row_number().over(
+        Window.partitionBy("metric").orderBy(F.abs("diff").desc(), "entity_id")
+    )
+    entry = F.struct("place", "entity_id", "entity_name", "ours", "expected", "diff", "sample_size")
+    worst = (
+        comparison.where(~F.col("within_tolerance")).withColumn("place", place)
+        .where(F.col("place") <= limit)
+        .groupBy("metric").agg(F.array_sort(F.collect_list(entry)).alias("deltas"))
+    )
+    judged = summarise_metrics(comparison, metrics.select("metric"), threshold)
+    none = F.expr("array()").cast(worst.schema["deltas"].dataType)
+    return metrics.join(judged, "metric").join(worst, "metric", "left").select(
+        "metric", F.lit(season).cast("bigint").alias("season"), "aggregation",
+        F.lit(source).alias("source"), "tolerance", F.lit(threshold).alias("threshold"),
+        "total_compared", "within_count", "pct_within", "passed",
+        F.coalesce("deltas", none).alias("deltas"),
+    )
+
+
 def top_deltas(comparison: DataFrame, limit: int = 5) -> DataFrame:
     """The largest differences among the rows outside the tolerance."""
     return (

@@ -111,9 +111,10 @@ def umpire_edge_strikes(
     return _called_by_umpire(pitches, umpires, p.on_plate_edge(), "edge_k_rate", min_n)
 
 
-def whiff_by_hand(pitches: DataFrame) -> DataFrame:
+def whiff_by_hand(pitches: DataFrame, swings: Sequence[str] = p.SWINGS) -> DataFrame:
+    """Share of swings that miss, by the batter's side; ``swings`` are the results that count as one."""
     def against(side: str) -> Column:
-        return p.rate_among((F.col("stand") == side) & p.is_swing(), p.is_whiff())
+        return p.rate_among((F.col("stand") == side) & p.is_swing(swings), p.is_whiff())
 
     return (
         pitches.where(p.regular_season())
@@ -274,15 +275,19 @@ def late_hard_hit_allowed(pitches: DataFrame, min_n: int = 25) -> DataFrame:
     return found.orderBy(F.desc("hard_hit_allowed"), "pitcher")
 
 
-def run_expectancy(pitches: DataFrame) -> DataFrame:
-    """Mean score change on the first pitch of a plate appearance, by bases and outs."""
+def run_expectancy(pitches: DataFrame, last_pitch: bool = False) -> DataFrame:
+    """Mean score change on the first pitch of a plate appearance, by bases and outs.
+
+    With ``last_pitch`` it is the change on the pitch that ends the appearance, which has its result.
+    """
+    chosen = F.col("events").isNotNull() if last_pitch else F.col("pitch_number") == 1
     occupied = {
         f"r{base}": F.when(F.col(f"on_{base}b").isNotNull(), 1).otherwise(0).cast("bigint")
         for base in (1, 2, 3)
     }
     state = [*[c.alias(name) for name, c in occupied.items()], F.col("outs_when_up").alias("outs")]
     return (
-        pitches.where((F.col("pitch_number") == 1) & p.regular_season())
+        pitches.where(chosen & p.regular_season())
         .groupBy(*state)
         .agg(
             F.avg(F.col("post_bat_score") - F.col("bat_score")).alias("re"),

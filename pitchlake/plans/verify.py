@@ -78,6 +78,18 @@ def verify_teams(
     )
 
 
+def metric_table(spark: SparkSession, names: Sequence[str], tolerance: float | None = None) -> DataFrame:
+    """(metric, aggregation, tolerance) of the names, for results that must mention every metric."""
+    rows = F.array(*[
+        F.struct(
+            F.lit(n).alias("metric"), F.lit(metric(n).entity).alias("aggregation"),
+            F.lit(float(metric(n).tolerance if tolerance is None else tolerance)).alias("tolerance"),
+        )
+        for n in names
+    ])
+    return spark.range(1).select(F.inline(rows))
+
+
 def metric_names(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     """The names as a frame, for summaries that must mention every metric."""
     return spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("metric"))

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.plans.metrics import METRICS, metric
+from pitchlake.plans.metrics import metric
 
 NAME = "last_name, first_name"
 
@@ -43,12 +45,25 @@ def expected_values(
     )
 
 
+@dataclass(frozen=True)
+class Board:
+    """A leaderboard, the metrics to take from it, and its own cut on its own sample size."""
+
+    frame: DataFrame
+    metrics: tuple[str, ...]
+    sample_column: str
+    min_sample: int
+
+
+def expected_from(boards: Sequence[Board]) -> DataFrame:
+    """``expected_values`` of several boards, each at its own minimum."""
+    return reduce(DataFrame.unionByName, [
+        expected_values(b.frame, b.metrics, b.sample_column, b.min_sample) for b in boards
+    ])
+
+
 def player_names(board: DataFrame) -> DataFrame:
     """Rows (id, name); one name per player."""
     return board.groupBy(F.col("player_id").cast("bigint").alias("id")).agg(
         F.max(F.col(f"`{NAME}`")).alias("name")
     )
-
-
-def known_metrics() -> list[str]:
-    return sorted(name for name, spec in METRICS.items() if spec.board_field)

@@ -334,7 +334,11 @@ def test_leaderboard_units(spark, rows):
     )
     assert rows(found) == [("avg_exit_velo", 1, 91.0), ("barrel_rate", 1, pytest.approx(0.085))]
     assert rows(boards.player_names(board)) == [(1, "Doe, J"), (2, None)]
-    assert "xwoba_contact" in boards.known_metrics()
+    second = spark.createDataFrame([(1, 300, 0.4), (2, 20, 0.3)], "player_id bigint, pa bigint, est_woba double")
+    both = boards.expected_from([
+        boards.Board(board, ("barrel_rate",), "attempts", 5), boards.Board(second, ("xwoba_contact",), "pa", 100),
+    ])
+    assert [r[:2] for r in rows(both)] == [("barrel_rate", 1), ("barrel_rate", 2), ("xwoba_contact", 1)]
 
 
 def test_leaderboard_files(spark, tmp_path):

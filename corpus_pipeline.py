@@ -31,11 +31,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each text, and whether they decode to it."""
-    found = pieces.decode(pieces.encode(docs))
-    return found.select(
-        "doc_id", "lang", "source", F.size("pieces").cast("long").alias("n_pieces"), "pieces",
-        pieces.same_text("text", "decoded").alias("round_trip"),
-    )
+    rows = docs.select("doc_id", "lang", "source", "text")
+    found = pieces.encode(rows, checked="round_trip", keep_text=False)
+    return found.select("doc_id", "lang", "source", F.size("pieces").cast("long").alias("n_pieces"), "pieces", "round_trip")
 
 
 STAGES = [

@@ -4,7 +4,7 @@ A segmentation is what the BPE merges give exactly where every two neighbouring
 two pieces. So encoding is a best path: a state is a position with the piece that ends there, a step adds
 a piece, and its weight is 0 where the pair stays apart and minus infinity where it doesn't. In a text one
 path alone has a finite weight. Texts of up to ``GIANT`` characters take the path unit by unit (pieces
-never cross from a word to the space before the next); each distinct unit is solved once a task.
+never cross from a word to the space before the next); each distinct unit is solved once a worker.
 
 Giant texts are cut every ``CHUNK`` characters, wherever that falls. Each chunk yields the transfer matrix
 from the states in which a path can enter it to those in which it can leave, in the max-plus semiring. The
@@ -27,7 +27,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +39,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 GIANT = 1 << 16
 CHUNK = 1 << 14
-CACHED = 1 << 20  # distinct units kept by a task
+CACHED = 1 << 20  # distinct units kept by a worker
+PAIRS = 1 << 19  # pairs of pieces kept by a worker
 START, UNKNOWN = -1, -2
 
 
@@ -64,6 +66,13 @@ class Pieces:
         self.pairs: dict[int, bool] = {}
         # Pieces that the merges never make out of their own characters cannot occur.
         self.ids = {p: i for p, i in self.ids.items() if self.merged(p) == [p]}
+        self.tree: dict = {}  # character -> [piece that ends here, further characters]
+        for p, i in self.ids.items():
+            node, below = None, self.tree
+            for c in p:
+                node = below.setdefault(c, [None, {}])
+                below = node[1]
+            node[0] = i
         shown = [b"" if model.is_control(i) else " ⁇ ".encode() if model.is_unknown(i) else names[i].replace(MARK, " ").encode() for i in ids]
         for b, i in enumerate(self.bytes):
             shown[i] = bytes([b])
@@ -98,27 +107,38 @@ class Pieces:
 
     def paths(self, text: str, first: int, entry: int, last: int) -> list[int | None]:
         """From piece ``entry`` ending at ``first``: the piece that ends at each position up to ``last``, or None."""
-        ids, longest, apart, pairs = self.ids, self.longest, self.apart, self.pairs
+        pairs, apart = self.pairs, self.apart
+        if len(pairs) > PAIRS:
+            pairs.clear()
         ends: list[int | None] = [None] * (last + 1)
         ends[first] = entry
-        for i in range(first + 1, last + 1):
-            for j in range(max(first, i - longest), i):
-                before = ends[j]
-                if before is None:
-                    continue
-                piece = ids.get(text[j:i])
-                if piece is None:
-                    if j != i - 1:
-                        continue
-                    piece = UNKNOWN
-                ok = True
-                if before >= 0 and piece >= 0:
-                    ok = pairs.get(before << 32 | piece)
-                    if ok is None:
-                        ok = apart(before, piece)
-                if ok:
-                    ends[i] = piece
+        for j in range(first, last):
+            before = ends[j]
+            if before is None:
+                continue
+            node = self.tree.get(text[j])
+            if node is None:
+                ends[j + 1] = UNKNOWN  # a character without a piece stays apart from all
+                continue
+            i = j + 1
+            key = before << 32
+            while True:
+                piece = node[0]
+                if piece is not None and ends[i] is None:
+                    if before < 0:
+                        ends[i] = piece
+                    else:
+                        ok = pairs.get(key | piece)
+                        if ok is None:
+                            ok = apart(before, piece)
+                        if ok:
+                            ends[i] = piece
+                if i == last:
+                    break
+                node = node[1].get(text[i])
+                if node is None:
                     break
+                i += 1
         return ends
 
     def size(self, piece: int) -> int:
@@ -232,11 +252,9 @@ class Units:
             size = np.array([len(x) for x in made], np.int64)
             start = len(self.flat) + np.cumsum(size) - size
             self.flat = np.concatenate([self.flat, np.array([i for x in made for i in x], np.int32)])
-            self.known = np.concatenate([self.known, distinct[missing]])
-            order = np.argsort(self.known)
-            self.known = self.known[order]
-            self.start = np.concatenate([self.start, start])[order]
-            self.size = np.concatenate([self.size, size])[order]
+            self.start = np.insert(self.start, place[missing], start)
+            self.size = np.insert(self.size, place[missing], size)
+            self.known = np.insert(self.known, place[missing], distinct[missing])
             place = np.searchsorted(self.known, distinct)
         start, size = self.start[place][which], self.size[place][which]
         ends = np.cumsum(size)
@@ -245,6 +263,12 @@ class Units:
         return ids, np.append(0, ends)[unit_of]
 
 
+@lru_cache(maxsize=2)
+def solved(path: str) -> Units:
+    """The units that this worker has met in its tasks so far."""
+    return Units(pieces(path))
+
+
 def _with(batch: pa.RecordBatch, column: pa.Array, name: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, name])
 
@@ -253,26 +277,61 @@ def _lists(ids: np.ndarray, bounds: np.ndarray, valid: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids, pa.int32()), mask=pa.array(~valid))
 
 
-def _encoder(path: str, text: str, column: str):
+def _encoder(path: str, text: str, column: str, checked: str | None, keep_text: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(pieces(path))
+        vocabulary, units = pieces(path), solved(path)
         for batch in batches:
             data, offsets = texts(batch.column(text))
             valid = batch.column(text).is_valid().to_numpy(zero_copy_only=False)
             for first, last in blocks(offsets):
                 part = data[offsets[first]: offsets[last]]
                 ids, bounds = units.encode(part, offsets[first: last + 1] - offsets[first])
-                yield _with(batch.slice(first, last - first), _lists(ids, bounds, valid[first:last]), column)
+                found = _lists(ids, bounds, valid[first:last])
+                rows = batch.slice(first, last - first)
+                made = _with(rows if keep_text else rows.drop_columns([text]), found, column)
+                yield _with(made, _returns(vocabulary, rows.column(text), found), checked) if checked else made
 
     return encode
 
 
-def encode(documents: DataFrame, model: str = MODEL, text: str = "text", column: str = "pieces", giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
-    """The rows of ``documents`` with an array of piece ids more."""
-    schema = T.StructType([*documents.schema.fields, T.StructField(column, T.ArrayType(T.IntegerType()))])
+def _returns(vocabulary: Pieces, text: pa.Array, found: pa.Array) -> pa.Array:
+    """Whether each text comes back from its pieces; the mark in a text comes back as a space."""
+    if pc.any(pc.match_substring(text, MARK)).as_py():
+        text = pc.replace_substring(text, MARK, " ")
+    return pc.fill_null(pc.equal(text.cast(pa.string()), decoded(vocabulary, found)), True)
+
+
+def encode(
+    documents: DataFrame, model: str = MODEL, text: str = "text", column: str = "pieces", giant: int = GIANT,
+    chunk: int = CHUNK, checked: str | None = None, keep_text: bool = True,
+) -> DataFrame:
+    """The rows of ``documents`` with an array of piece ids more.
+
+    With ``checked`` a boolean column of that name tells whether the pieces decode to the text (null: yes).
+    Without ``keep_text`` the text column is left out.
+    """
+    kept = [f for f in documents.schema.fields if keep_text or f.name != text]
+    more = [T.StructField(column, T.ArrayType(T.IntegerType()))]
+    more += [T.StructField(checked, T.BooleanType())] if checked else []
+    schema = T.StructType([*kept, *more])
     long = F.coalesce(F.length(text) > giant, F.lit(False))
-    made = documents.where(~long).mapInArrow(_encoder(model, text, column), schema)
-    return made.unionByName(_scanned(documents.where(long), model, text, column, chunk).select(*schema.names))
+    made = documents.where(~long).mapInArrow(_encoder(model, text, column, checked, keep_text), schema)
+    giants = _scanned(documents.where(long), model, text, column, chunk)
+    if checked:
+        giants = giants.mapInArrow(
+            _checker(model, text, column, checked), T.StructType([*giants.schema.fields, more[1]])
+        )
+    return made.unionByName(giants.select(*schema.names))
+
+
+def _checker(model: str, text: str, column: str, checked: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                row = batch.slice(i, 1)
+                yield _with(row, _returns(pieces(model), row.column(text), row.column(column)), checked)
+
+    return run
 
 
 def _scanned(giants: DataFrame, model: str, text: str, column: str, chunk: int) -> DataFrame:
@@ -408,8 +467,3 @@ def decoded(vocabulary: Pieces, lists: pa.Array) -> pa.Array:
     except UnicodeDecodeError:
         made = [raw[a:b].decode(errors="replace") for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
     return pa.array(made, pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))
-
-
-def same_text(text: str, other: str) -> Column:
-    """Whether a text came back: the mark in a text comes back as a space."""
-    return F.translate(text, MARK, " ").eqNullSafe(F.col(other))

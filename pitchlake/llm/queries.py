@@ -28,10 +28,9 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its number of pieces, their digest, and whether they decode to the text."""
     rows = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = pieces.decode(pieces.encode(rows))
+    found = pieces.encode(rows, checked="round_trip", keep_text=False)
     return found.select(
-        "doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"),
-        pieces.same_text("text", "decoded").alias("round_trip"),
+        "doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"), "round_trip"
     )
 
 

@@ -58,6 +58,9 @@ def test_pieces_equal_the_library(documents, giant, chunk):
         assert r["decoded"] == r["text"]
         assert r["scan_row"] == 9
     assert pieces.encode(frame.limit(0)).count() == 0
+    marked = frame.withColumn("text", F.concat("text", F.lit("▁x")))
+    checked = pieces.encode(marked, giant=giant, chunk=chunk, checked="back", keep_text=False)
+    assert "text" not in checked.columns and checked.where("NOT back").count() == 0
 
 
 def test_matrix_product_is_associative():

@@ -8,16 +8,19 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks import registry
+from checks.oracles import ORACLES
 from tests.compare_engines import connection, spark_rows, sql_rows
 
 DATA = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.all_queries()
+SQL = ORACLES
 needs_data = pytest.mark.skipif(not Path(DATA).exists(), reason="no test data here")
 # Tables are written, and metrics computed one by one, on the given tables only; the rest, among
 # them all metrics from one scan, also with a hot key.
 GIVEN_ONLY = {
-    "t_replace_days", "t_replace_seasons", "t_dictionary", "r_sync_tables", "v_report_json",
+    "t_replace_days", "t_replace_seasons", "t_dictionary", "t_pruned_scan", "src_schedule_seasons",
+    "src_leaderboard_file", "v_results_json", "r_sync_tables", "v_report_json",
     "s_wins", "s_losses",
 } | {key for key in QUERIES if key.startswith("m_") and not key.endswith("_all")}
 

@@ -283,7 +283,7 @@ def _encoder(path: str, text: str, column: str, checked: str | None, keep_text:
         for batch in batches:
             data, offsets = texts(batch.column(text))
             valid = batch.column(text).is_valid().to_numpy(zero_copy_only=False)
-            for first, last in blocks(offsets):
+            for first, last in blocks(offsets, 2 << 20):
                 part = data[offsets[first]: offsets[last]]
                 ids, bounds = units.encode(part, offsets[first: last + 1] - offsets[first])
                 found = _lists(ids, bounds, valid[first:last])

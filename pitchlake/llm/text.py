@@ -51,7 +51,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base^i and base^-i for i < n, modulo 2^64."""
     inverse = pow(_BASE, -1, 1 << 64)
@@ -111,7 +111,19 @@ class Tokens:
 
 
 def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of each byte range [start, end) of ``data``."""
+    """Hash of each byte range [start, end) of ``data``; of long data, ranges in ascending order."""
+    if len(data) > 2 * SEGMENT and len(start):
+        # Segment by segment, so that the tables of powers stay small.
+        cut = np.flatnonzero(np.diff(start // SEGMENT, prepend=-1))
+        parts = []
+        for a, b in zip(cut, np.append(cut[1:], len(start)), strict=True):
+            low, high = int(start[a]), int(end[b - 1])
+            parts.append(_hash_ranges(data[low:high], start[a:b] - low, end[a:b] - low))
+        return np.concatenate(parts)
+    return _hash_ranges(data, start, end)
+
+
+def _hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     n = len(data)
     power, inverse = _powers(_room(n))
     running = np.zeros(n + 1, np.uint64)

@@ -4,9 +4,11 @@ Texts become templates: numbers (digits or number words), units behind a number
 inside a sentence turn into typed placeholders, a run of names into one; all else is the lower-cased
 word. Windows of ``WINDOW`` template tokens with at least ``LITERAL`` plain words are hash-joined with those
 of the benchmark. Along every diagonal of matching windows the slots must agree: one value of the item
-always stands for one value of the document and the other way round. So a question with other numbers
-and names is found, and a mere coincidence of pattern is not. An item is found in a document where a
-consistent run covers ``RUN`` tokens, or the whole of a shorter item.
+always stands for one value of the document. So a question with other numbers and names is found, and a
+mere coincidence of pattern is not. An item is found in a document where a consistent run covers ``RUN``
+tokens, or the whole of a shorter item. Where slots of a stretch contradict each other, its longest
+consistent runs are looked at; beside a contradiction the pattern alone says little, so such a run has
+to be borne out: as many slots keep or repeat a value as values changed, or it has ``LONG`` tokens.
 
 The benchmark is the stated query set: it is read in blocks of at most ``BLOCK_BYTES`` of text, each
 broadcast in turn. Documents stay where they are read and are never shuffled.
@@ -34,6 +36,7 @@ WINDOW = 8
 LITERAL = 4
 LEAST = 5
 RUN = 13
+LONG = 2 * RUN
 BLOCK_BYTES = 16 << 20
 WORD, NUMBER, NAME, UNIT = range(4)
 NUMBERS = (
@@ -163,24 +166,37 @@ class Items:
             whole = self.bounds[item[a] + 1] - self.bounds[item[a]]
             if covered < min(RUN, whole):
                 continue
-            differing = self._differing(found, int(place[a]), int(at[a]), int(covered))
-            if differing is not None:
+            run = self._run(found, int(place[a]), int(at[a]), int(covered), int(min(RUN, whole)))
+            if run is not None:
                 key = (int(text[a]), int(item[a]))
-                best[key] = max(best.get(key, (0, 0)), (int(covered), differing))
+                best[key] = max(best.get(key, (0, 0)), run)
         for (t, i), (covered, differing) in best.items():
             yield t, i, covered, differing
 
-    def _differing(self, found: Templates, place: int, at: int, n: int) -> int | None:
-        """Slots whose values differ in a stretch; None where slots contradict each other."""
+    def _run(self, found: Templates, place: int, at: int, n: int, least: int) -> tuple[int, int] | None:
+        """Length of the longest consistent run of a stretch, and how many of its slots differ."""
         kind = found.kind[place: place + n]
         slots = np.flatnonzero(kind != WORD)
-        theirs, ours = self.found.value[at + slots], found.value[place + slots]
-        for k in (NUMBER, NAME, UNIT):
-            of_kind = kind[slots] == k
-            pairs = set(zip(theirs[of_kind].tolist(), ours[of_kind].tolist(), strict=True))
-            if len({a for a, _ in pairs}) != len(pairs) or len({b for _, b in pairs}) != len(pairs):
-                return None
-        return int((theirs != ours).sum())
+        keys = list(zip(kind[slots].tolist(), self.found.value[at + slots].tolist(), strict=True))
+        values = found.value[place + slots].tolist()
+        # Two pointers: a slot that contradicts an earlier one starts the next run behind that one.
+        runs, first, begin, seen = [], 0, 0, {}
+        for i, (key, value) in enumerate(zip(keys, values, strict=True)):
+            before = seen.get(key)
+            if before is not None and before >= begin and values[before] != value:
+                runs.append((first, int(slots[i]), begin, i))
+                first, begin = int(slots[before]) + 1, before + 1
+            seen[key] = i
+        runs.append((first, n, begin, len(keys)))
+        best = None
+        for first, last, begin, end in runs:
+            pairs = list(zip(keys[begin:end], values[begin:end], strict=True))
+            differing = sum(key[1] != value for key, value in pairs)
+            changed = len({key for key, value in pairs if key[1] != value})
+            borne_out = len(runs) == 1 or last - first >= LONG or len(pairs) - changed >= changed
+            if last - first >= least and borne_out:
+                best = max(best or (0, 0), (last - first, differing))
+        return best
 
     def tokens(self, item: int) -> int:
         return int(self.bounds[item + 1] - self.bounds[item])

@@ -159,6 +159,23 @@ def test_items_are_found_also_with_other_values(spark, documents):
     assert decontaminate.keep_clean(frame.limit(0), bench).count() == 0
 
 
+def found_items(spark, documents, items, pairs):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(documents(pairs), bench).collect()
+    return sorted((r["doc_id"], r["item_id"]) for r in found)
+
+
+def test_a_contradiction_leaves_the_consistent_run(spark, documents):
+    words = prose(60, 60).split()
+    words[9], words[50] = "5", "5"
+    edited = [*words[:50], "6", *words[51:]]
+    told = "there Alice has 3 red and 7 blue cups while Alice keeps the 3 red ones on her own shelf and gives the 7 others away"
+    same = told.replace("3", "4").replace("7", "4").replace("Alice", "Carol")
+    late = told.replace("Alice", "Carol").replace("the 7 others", "the 8 others")
+    items = [(1, " ".join(words)), (2, told)]
+    assert found_items(spark, documents, items, [(1, " ".join(edited)), (2, same), (3, late)]) == [(1, 1), (2, 2), (3, 2)]
+
+
 def topk_brute(rows, k):
     whole = {}
     for n, (i, v) in enumerate(rows):

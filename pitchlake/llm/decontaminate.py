@@ -1,9 +1,12 @@
 """Benchmark decontamination by template canonicalisation and windows.
 
-Texts become templates: numbers (digits or number words), units behind a number and capitalised words
-inside a sentence turn into typed placeholders, a run of names into one; all else is the lower-cased
-word. Windows of ``WINDOW`` template tokens with at least ``LITERAL`` plain words are hash-joined with those
-of the benchmark. Along every diagonal of matching windows the slots must agree: one value of the item
+Texts become templates: numbers (digits or number words), units behind a number and names turn into typed
+placeholders; all else is the lower-cased word. Each text is read three times: with capitalised words
+inside a sentence as names, a run of them as one, with each capitalised word as a name, wherever it
+stands, and as plain lower-cased words, so that a literal copy never depends on typing. Windows of
+``WINDOW`` tokens, in templates those with at least ``LITERAL`` plain words, are hash-joined with those of the
+benchmark. Stretches of matching windows are carried on while tokens match; there a name also matches a
+word that is not written as one. Along every diagonal of matching windows the slots must agree: one value of the item
 always stands for one value of the document. So a question with other numbers and names is found, and a
 mere coincidence of pattern is not. An item is found in a document where a consistent run covers ``RUN``
 tokens, or the whole of a shorter item. Where slots of a stretch contradict each other, its longest
@@ -14,9 +17,9 @@ The benchmark is the stated query set: it is read in blocks of at most ``BLOCK_B
 broadcast in turn. Documents stay where they are read and are never shuffled.
 
 Defined results
-    Null or empty texts match nothing. Items of fewer than ``LEAST`` tokens, or whose windows all hold too
-    few plain words, are not searched for. Items of equal text count as one, under the smallest id.
-    Repeated documents are answered each. Null ids are kept as they are. No rows: no rows. Further
+    Null or empty texts match nothing. Items of fewer than ``LEAST`` tokens are not searched for. Items of equal text count as one, under the smallest id.
+    Of the three readings the one that covers most of an item gives its row. A run of several names is one
+    token only inside a sentence and with capitals. Repeated documents are answered each. Null ids are kept as they are. No rows: no rows. Further
     columns are ignored.
 """
 
@@ -71,7 +74,7 @@ _NUMBER_WORDS, _UNIT_WORDS = _hashes(NUMBERS), _hashes(UNITS)
 
 @dataclass
 class Templates:
-    """Template tokens of some texts: hash, index of the text, kind, and hash of what was written."""
+    """Tokens of some texts, read in one way: hash, index of the text, kind, and hash of what was written."""
 
     hash: np.ndarray
     text: np.ndarray
@@ -79,54 +82,61 @@ class Templates:
     value: np.ndarray
 
 
-def templates(data: np.ndarray, offsets: np.ndarray) -> Templates:
+def templates(data: np.ndarray, offsets: np.ndarray) -> list[Templates]:
+    """Templates with names inside sentences, templates with names anywhere, and plain words."""
     found = tokens(data, offsets, WORDS)
     if not len(found.hash):
-        return Templates(found.hash, found.text, np.zeros(0, np.uint8), found.hash)
+        return [Templates(found.hash, found.text, np.zeros(0, np.uint8), found.hash)] * 3
     end = found.start + found.length
     first = np.append(True, found.text[1:] != found.text[:-1])
     number = _DIGIT[data[found.start]] | _within(found.hash, _NUMBER_WORDS)
     unit = _within(found.hash, _UNIT_WORDS) & ~first & np.append(False, number[:-1])
-    # A name: a capital, then none, and no end of a sentence between it and the word before.
-    breaks = np.append(0, np.cumsum(_BREAKS[data]))
+    # A name: a capital, then none. Inside a sentence: no end of one between it and the word before.
     before = np.append(0, end[:-1])
-    inside = ~first & (breaks[found.start] == breaks[before])
     capitals = np.append(0, np.cumsum(_UPPER[data]))
     titled = _UPPER[data[found.start]] & (capitals[end] - capitals[found.start] == 1) & (found.length > 1)
-    kind = np.select([number, unit & ~number, titled & inside], [NUMBER, UNIT, NAME], WORD).astype(np.uint8)
-    value = found.hash
-    again = np.append(False, (kind[1:] == NAME) & (kind[:-1] == NAME)) & ~first
+    breaks = np.append(0, np.cumsum(_BREAKS[data]))
+    inside = ~first & (breaks[found.start] == breaks[before])
+    made = []
+    # Where any capital makes a name, runs stay apart: the first word of a sentence may be no part of the name.
+    for name, joined in ((titled & inside, ~first), (titled, np.zeros(len(first), bool))):
+        kind = np.select([number, unit & ~number, name], [NUMBER, UNIT, NAME], WORD).astype(np.uint8)
+        again = np.append(False, (kind[1:] == NAME) & (kind[:-1] == NAME)) & joined
+        made.append(_merged(found.hash, found.text, kind, again))
+    # Plain words keep their kinds, for what lies beside a literal stretch.
+    return [*made, Templates(made[1].value, made[1].text, made[1].kind, made[1].value)]
+
+
+def _merged(value: np.ndarray, text: np.ndarray, kind: np.ndarray, again: np.ndarray) -> Templates:
+    """Templates in which the tokens marked ``again`` are one with those before them."""
     if again.any():
         at = np.flatnonzero(~again)
-        value = np.add.reduceat(value * np.where(again, np.uint64(3), np.uint64(1)), at)
-        kind, text = kind[at], found.text[at]
-    else:
-        text = found.text
+        step = np.arange(len(value)) - np.repeat(at, np.diff(np.append(at, len(value))))
+        value = np.add.reduceat(value * (2 * step + 1).astype(np.uint64), at)
+        kind, text = kind[at], text[at]
     shown = np.where(kind == WORD, value, _KINDS[np.maximum(kind, 1) - 1])
     return Templates(shown, text, kind, value)
 
 
-def keyed(found: Templates, size: int) -> tuple[np.ndarray, np.ndarray]:
+def keyed(found: Templates, size: int, literal: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the windows with enough plain words, and the index of their first tokens."""
     value, at = windows(found.hash, found.text, size)
     plain = np.append(0, np.cumsum(found.kind == WORD))
-    enough = plain[at + size] - plain[at] >= LITERAL
+    enough = plain[at + size] - plain[at] >= literal
     return value[enough], at[enough]
 
 
-class Items:
-    """Windows of a block of benchmark items, in order of their hashes."""
+class Reading:
+    """Windows of a block of benchmark items, read in one way, in order of their hashes."""
 
-    def __init__(self, ids: list, item_texts: list[str]) -> None:
-        self.ids = ids
-        data, offsets = texts(pa.array(item_texts, pa.string()))
-        self.found = templates(data, offsets)
-        self.bounds = np.searchsorted(self.found.text, np.arange(len(ids) + 1))
+    def __init__(self, found: Templates, rows: int, literal: int) -> None:
+        self.found, self.literal = found, literal
+        self.bounds = np.searchsorted(found.text, np.arange(rows + 1))
         size = np.diff(self.bounds)
         self.by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for n in range(LEAST, WINDOW + 1):
-            value, at = keyed(self.found, n)
-            wanted = size[self.found.text[at]] >= WINDOW if n == WINDOW else size[self.found.text[at]] == n
+            value, at = keyed(found, n, literal)
+            wanted = size[found.text[at]] >= WINDOW if n == WINDOW else size[found.text[at]] == n
             value, at = value[wanted], at[wanted]
             if len(value):
                 order = np.argsort(value, kind="stable")
@@ -134,11 +144,11 @@ class Items:
                 near[(value & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
                 self.by_size[n] = (value[order], at[order], near)
 
-    def matches(self, found: Templates) -> Iterator[tuple[int, int, int, int]]:
-        """Text, item, and how many tokens are covered and how many slots differ, of each item found."""
+    def matches(self, found: Templates) -> Iterator[tuple[int, int, int, int, int]]:
+        """Text, item, how many tokens are covered, how many the item has, and how many slots differ."""
         pairs = []
         for size, (value, at, near) in self.by_size.items():
-            mine, place = keyed(found, size)
+            mine, place = keyed(found, size, self.literal)
             hit = near[(mine & np.uint64((1 << 22) - 1)).astype(np.int64)]
             mine, place = mine[hit], place[hit]
             low, high = np.searchsorted(value, mine, "left"), np.searchsorted(value, mine, "right")
@@ -160,22 +170,45 @@ class Items:
         new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (shift[1:] != shift[:-1]) | (at[1:] > at[:-1] + size[:-1])
         start = np.flatnonzero(new)
         stop = np.append(start[1:], len(at)) - 1
+        ends = np.searchsorted(found.text, text[start]), np.searchsorted(found.text, text[start], "right")
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for a, b in zip(start, stop, strict=True):
-            covered = at[b] + size[b] - at[a]
-            whole = self.bounds[item[a] + 1] - self.bounds[item[a]]
+        for a, b, low, high in zip(start, stop, *ends, strict=True):
+            first, last = self.bounds[item[a]], self.bounds[item[a] + 1]
+            head = self._reach(found, place[a] - 1, at[a] - 1, min(place[a] - low, at[a] - first), at[a] - first, -1)
+            tail = at[b] + size[b]
+            behind = self._reach(found, tail + shift[a], tail, min(high - tail - shift[a], last - tail), last - tail, 1)
+            covered = tail + behind - at[a] + head
+            whole = last - first
             if covered < min(RUN, whole):
                 continue
-            run = self._run(found, int(place[a]), int(at[a]), int(covered), int(min(RUN, whole)))
+            run = self._run(found, int(place[a] - head), int(at[a] - head), int(covered), int(min(RUN, whole)))
+            if not self.literal and tail - at[a] >= min(RUN, whole):
+                run = max(run or (0, 0), (int(tail - at[a]), 0))
             if run is not None:
                 key = (int(text[a]), int(item[a]))
                 best[key] = max(best.get(key, (0, 0)), run)
         for (t, i), (covered, differing) in best.items():
-            yield t, i, covered, differing
+            yield t, i, covered, int(self.bounds[i + 1] - self.bounds[i]), differing
+
+    def _reach(self, found: Templates, place: int, at: int, n: int, left: int, step: int) -> int:
+        """How many of ``n`` tokens from a place on, forwards or backwards, match; the item has ``left`` more."""
+        if n <= 0:
+            return 0
+        mine = slice(place, place + n) if step > 0 else slice(place - n + 1, place + 1)
+        theirs = slice(at, at + n) if step > 0 else slice(at - n + 1, at + 1)
+        kind = found.kind[mine]
+        same = (found.hash[mine] == self.found.hash[theirs]) | ((kind == self.found.kind[theirs]) & (kind != WORD))
+        same = same[::step]
+        named = _named(kind, self.found.kind[theirs])[::step] & ~same
+        named &= ~np.append(False, named[:-1])
+        reach = int(np.argmin(np.append(same | named, False)))
+        # A name matched with another word counts only between matches, or where the item ends.
+        return reach - 1 if reach and not same[reach - 1] and reach < left else reach
 
     def _run(self, found: Templates, place: int, at: int, n: int, least: int) -> tuple[int, int] | None:
         """Length of the longest consistent run of a stretch, and how many of its slots differ."""
-        kind = found.kind[place: place + n]
+        mine, kind = found.kind[place: place + n], self.found.kind[at: at + n]
+        kind = np.where(_named(mine, kind), NAME, kind)
         slots = np.flatnonzero(kind != WORD)
         keys = list(zip(kind[slots].tolist(), self.found.value[at + slots].tolist(), strict=True))
         values = found.value[place + slots].tolist()
@@ -198,8 +231,30 @@ class Items:
                 best = max(best or (0, 0), (last - first, differing))
         return best
 
-    def tokens(self, item: int) -> int:
-        return int(self.bounds[item + 1] - self.bounds[item])
+
+def _named(kind: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Where one of two tokens is a name and the other a word."""
+    return ((kind == NAME) & (other == WORD)) | ((kind == WORD) & (other == NAME))
+
+
+class Items:
+    """A block of benchmark items in all their readings."""
+
+    def __init__(self, ids: list, item_texts: list[str]) -> None:
+        self.ids = ids
+        read = templates(*texts(pa.array(item_texts, pa.string())))
+        self.readings = [Reading(x, len(ids), n) for x, n in zip(read, (LITERAL, LITERAL, 0), strict=True)]
+
+    def matches(self, read: list[Templates]) -> Iterator[tuple[int, int, int, int, int]]:
+        """As of the reading that covers most of the item, the first of equal ones."""
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for reading, found in zip(self.readings, read, strict=True):
+            for t, i, covered, whole, differing in reading.matches(found):
+                before = best.get((t, i))
+                if before is None or covered * before[1] > before[0] * whole:
+                    best[t, i] = covered, whole, differing
+        for (t, i), (covered, whole, differing) in best.items():
+            yield t, i, covered, whole, differing
 
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[tuple[list, list[str]]]:
@@ -231,12 +286,12 @@ def contaminated(
     return made
 
 
-def _found(batch: pa.RecordBatch, column: str, items: Items) -> list[tuple[int, int, int, int]]:
+def _found(batch: pa.RecordBatch, column: str, items: Items) -> list[tuple[int, int, int, int, int]]:
     data, offsets = texts(batch.column(column))
     out = []
     for first, last in blocks(offsets):
-        found = templates(data[offsets[first]: offsets[last]], offsets[first: last + 1] - offsets[first])
-        out += [(first + t, i, n, k) for t, i, n, k in items.matches(found)]
+        read = templates(data[offsets[first]: offsets[last]], offsets[first: last + 1] - offsets[first])
+        out += [(first + t, *found) for t, *found in items.matches(read)]
     return out
 
 
@@ -245,13 +300,13 @@ def _finder(held):
         items = held.value
         for batch in batches:
             out = _found(batch, "text", items)
-            ids = pa.array([items.ids[i] for _, i, _, _ in out])
+            ids = pa.array([items.ids[i] for _, i, *_ in out])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array([t for t, *_ in out], pa.int64())),
                     ids if len(out) else pa.array([], pa.int64()),
-                    pa.array([n for _, _, n, _ in out], pa.int32()),
-                    pa.array([items.tokens(i) for _, i, _, _ in out], pa.int32()),
+                    pa.array([n for _, _, n, *_ in out], pa.int32()),
+                    pa.array([n for *_, n, _ in out], pa.int32()),
                     pa.array([k for *_, k in out], pa.int32()),
                 ],
                 ["doc_id", "item_id", "covered", "item_tokens", "changed_slots"],

@@ -176,6 +176,17 @@ def test_a_contradiction_leaves_the_consistent_run(spark, documents):
     assert found_items(spark, documents, items, [(1, " ".join(edited)), (2, same), (3, late)]) == [(1, 1), (2, 2), (3, 2)]
 
 
+def test_names_count_anywhere_and_in_any_case(spark, documents):
+    short = "Tom has 5 red apples in a bag. Tom buys 7 more at noon."
+    named = "The old king of France met his friend Louis and they gave Paris a bridge of stone"
+    items = [(1, short), (2, "Tom sells very old green bottles"), (3, named)]
+    pairs = [
+        (1, short.replace("Tom", "Anna").replace("5", "9")), (2, "So it is. Anna sells very old green bottles"), (3, named.lower()),
+        (4, named.replace(" ", "\n")), (5, named.upper()), (6, named.replace("Louis", "Karl").lower()),
+    ]
+    assert found_items(spark, documents, items, pairs) == [(1, 1), (2, 2), (3, 3), (4, 3), (5, 3), (6, 3)]
+
+
 def topk_brute(rows, k):
     whole = {}
     for n, (i, v) in enumerate(rows):

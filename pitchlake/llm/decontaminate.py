@@ -1,6 +1,6 @@
 """Benchmark decontamination by template canonicalisation and windows.
 
-Texts become templates: numbers (digits or number words), units behind a number and names turn into typed
+Texts become templates: numbers (digits, also with separators, or number words), units behind a number and names turn into typed
 placeholders; all else is the lower-cased word. Each text is read three times: with capitalised words
 inside a sentence as names, a run of them as one, with each capitalised word as a name, wherever it
 stands, and as plain lower-cased words, so that a literal copy never depends on typing. Windows of
@@ -17,7 +17,9 @@ The benchmark is the stated query set: it is read in blocks of at most ``BLOCK_B
 broadcast in turn. Documents stay where they are read and are never shuffled.
 
 Defined results
-    Null or empty texts match nothing. Items of fewer than ``LEAST`` tokens are not searched for. Items of equal text count as one, under the smallest id.
+    Null or empty texts, and items without any word, match nothing. Items of fewer than ``LEAST`` tokens,
+    and others without a window of ``LITERAL`` plain words, are found word for word only, the short ones
+    wherever their words stand in a row, even a single one. Items of equal text count as one, under the smallest id.
     Of the three readings the one that covers most of an item gives its row. A run of several names is one
     token only inside a sentence and with capitals. Repeated documents are answered each. Null ids are kept as they are. No rows: no rows. Further
     columns are ignored.
@@ -33,9 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.text import WORDS, blocks, hash_ranges, texts, tokens, windows
+from pitchlake.llm.text import WORDS, Tokens, blocks, hash_ranges, texts, tokens, windows
 
-WINDOW = 8
+WINDOW = 8  # and shorter ones, down to the whole of the shortest item, in plain words
 LITERAL = 4
 LEAST = 5
 RUN = 13
@@ -53,6 +55,7 @@ UNITS = (
     "dollar dollars euro euros cent cents usd eur percent degree degrees"
 ).split()
 _BREAKS = np.isin(np.arange(256), [ord(c) for c in ".!?\n"])
+_SEPARATES = np.isin(np.arange(256), [ord(c) for c in ".,"])
 _UPPER = np.isin(np.arange(256), np.arange(65, 91))
 _DIGIT = np.isin(np.arange(256), np.arange(48, 58))
 
@@ -84,7 +87,7 @@ class Templates:
 
 def templates(data: np.ndarray, offsets: np.ndarray) -> list[Templates]:
     """Templates with names inside sentences, templates with names anywhere, and plain words."""
-    found = tokens(data, offsets, WORDS)
+    found = _numbers(data, tokens(data, offsets, WORDS))
     if not len(found.hash):
         return [Templates(found.hash, found.text, np.zeros(0, np.uint8), found.hash)] * 3
     end = found.start + found.length
@@ -107,12 +110,32 @@ def templates(data: np.ndarray, offsets: np.ndarray) -> list[Templates]:
     return [*made, Templates(made[1].value, made[1].text, made[1].kind, made[1].value)]
 
 
+def _joined(value: np.ndarray, again: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of runs of tokens, the tokens marked ``again`` each belonging to the one before; where runs begin."""
+    at = np.flatnonzero(~again)
+    step = np.arange(len(value)) - np.repeat(at, np.diff(np.append(at, len(value))))
+    return np.add.reduceat(value * (2 * step + 1).astype(np.uint64), at), at
+
+
+def _numbers(data: np.ndarray, found: Tokens) -> Tokens:
+    """Tokens in which a number with separators, as 1,000 or 3.5, is one."""
+    if not len(found.hash):
+        return found
+    end = found.start + found.length
+    digit = _DIGIT[data[found.start]]
+    beside = (found.text[1:] == found.text[:-1]) & (found.start[1:] == end[:-1] + 1) & digit[1:] & digit[:-1]
+    again = np.append(False, beside & _SEPARATES[data[found.start[1:] - 1]] & _DIGIT[data[end[:-1] - 1]])
+    if not again.any():
+        return found
+    value, at = _joined(found.hash, again)
+    last = np.append(at[1:], len(again)) - 1
+    return Tokens(value, found.text[at], found.start[at], end[last] - found.start[at])
+
+
 def _merged(value: np.ndarray, text: np.ndarray, kind: np.ndarray, again: np.ndarray) -> Templates:
     """Templates in which the tokens marked ``again`` are one with those before them."""
     if again.any():
-        at = np.flatnonzero(~again)
-        step = np.arange(len(value)) - np.repeat(at, np.diff(np.append(at, len(value))))
-        value = np.add.reduceat(value * (2 * step + 1).astype(np.uint64), at)
+        value, at = _joined(value, again)
         kind, text = kind[at], text[at]
     shown = np.where(kind == WORD, value, _KINDS[np.maximum(kind, 1) - 1])
     return Templates(shown, text, kind, value)
@@ -134,7 +157,7 @@ class Reading:
         self.bounds = np.searchsorted(found.text, np.arange(rows + 1))
         size = np.diff(self.bounds)
         self.by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        for n in range(LEAST, WINDOW + 1):
+        for n in range(LEAST if literal else 1, WINDOW + 1):
             value, at = keyed(found, n, literal)
             wanted = size[found.text[at]] >= WINDOW if n == WINDOW else size[found.text[at]] == n
             value, at = value[wanted], at[wanted]
@@ -147,6 +170,7 @@ class Reading:
     def matches(self, found: Templates) -> Iterator[tuple[int, int, int, int, int]]:
         """Text, item, how many tokens are covered, how many the item has, and how many slots differ."""
         pairs = []
+        best: dict[tuple[int, int], tuple[int, int]] = {}
         for size, (value, at, near) in self.by_size.items():
             mine, place = keyed(found, size, self.literal)
             hit = near[(mine & np.uint64((1 << 22) - 1)).astype(np.int64)]
@@ -154,12 +178,20 @@ class Reading:
             low, high = np.searchsorted(value, mine, "left"), np.searchsorted(value, mine, "right")
             n = high - low
             which = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            if size < WINDOW and not self.literal:  # a whole item, word for word
+                both = np.unique(np.stack([np.repeat(found.text[place], n), self.found.text[at[which]]], 1), axis=0)
+                best.update(((t, i), (size, 0)) for t, i in both.tolist())
+                continue
             pairs.append((np.repeat(place, n), at[which], np.full(n.sum(), size)))
-        if not pairs:
-            return
-        place, at, size = (np.concatenate(x) for x in zip(*pairs, strict=True))
-        if not len(at):
-            return
+        if pairs:
+            place, at, size = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            if len(at):
+                self._stretches(found, place, at, size, best)
+        for (t, i), (covered, differing) in best.items():
+            yield t, i, covered, int(self.bounds[i + 1] - self.bounds[i]), differing
+
+    def _stretches(self, found: Templates, place: np.ndarray, at: np.ndarray, size: np.ndarray, best: dict) -> None:
+        """Add the longest run and its differing slots for each text and item with matching windows."""
         item = self.found.text[at]
         text = found.text[place]
         shift = place - at
@@ -171,7 +203,6 @@ class Reading:
         start = np.flatnonzero(new)
         stop = np.append(start[1:], len(at)) - 1
         ends = np.searchsorted(found.text, text[start]), np.searchsorted(found.text, text[start], "right")
-        best: dict[tuple[int, int], tuple[int, int]] = {}
         for a, b, low, high in zip(start, stop, *ends, strict=True):
             first, last = self.bounds[item[a]], self.bounds[item[a] + 1]
             head = self._reach(found, place[a] - 1, at[a] - 1, min(place[a] - low, at[a] - first), at[a] - first, -1)
@@ -181,14 +212,12 @@ class Reading:
             whole = last - first
             if covered < min(RUN, whole):
                 continue
-            run = self._run(found, int(place[a] - head), int(at[a] - head), int(covered), int(min(RUN, whole)))
-            if not self.literal and tail - at[a] >= min(RUN, whole):
-                run = max(run or (0, 0), (int(tail - at[a]), 0))
-            if run is not None:
-                key = (int(text[a]), int(item[a]))
-                best[key] = max(best.get(key, (0, 0)), run)
-        for (t, i), (covered, differing) in best.items():
-            yield t, i, covered, int(self.bounds[i + 1] - self.bounds[i]), differing
+            # Also without what lies beside it, which may contradict it.
+            for before, n in {(head, covered), (0, tail - at[a])}:
+                run = self._run(found, int(place[a] - before), int(at[a] - before), int(n), int(min(RUN, whole)))
+                if run is not None:
+                    key = (int(text[a]), int(item[a]))
+                    best[key] = max(best.get(key, (0, 0)), run)
 
     def _reach(self, found: Templates, place: int, at: int, n: int, left: int, step: int) -> int:
         """How many of ``n`` tokens from a place on, forwards or backwards, match; the item has ``left`` more."""

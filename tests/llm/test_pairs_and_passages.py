@@ -187,6 +187,19 @@ def test_names_count_anywhere_and_in_any_case(spark, documents):
     assert found_items(spark, documents, items, pairs) == [(1, 1), (2, 2), (3, 3), (4, 3), (5, 3), (6, 3)]
 
 
+def test_short_and_number_heavy_items_are_found(spark, documents):
+    shop = "A shop sold 1,000 red cups and 3.5 green ones to old men last year"
+    items = [
+        (1, "Solve 3x + 5 = 20"), (2, "What is 37 + 48 + 12?"), (3, "7 8 9 | 4 5 6 | 1 2 3 | 0 11 14 | 2 5"), (4, shop),
+        (5, "12 kg 3 m 4 cm of rope cost him"), (6, "Quetzalcoatl?"),
+    ]
+    pairs = [(i, f"so {text} so") for i, text in items] + [
+        (14, shop.replace("1,000", "12").replace("3.5", "7")), (15, "15 kg 8 m 9 cm of rope cost him"),
+        (16, "Solve 3x + 5 = 21. What is 37 + 48 + 13? 7 8 9 | 4 5 6 | 1 2 9"),
+    ]
+    assert found_items(spark, documents, items, pairs) == [(i, i) for i in range(1, 7)] + [(14, 4), (15, 5)]
+
+
 def topk_brute(rows, k):
     whole = {}
     for n, (i, v) in enumerate(rows):

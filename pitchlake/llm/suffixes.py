@@ -313,11 +313,12 @@ def _decide(table: pa.Table) -> pa.Table:
     at = np.flatnonzero(new)
     size = np.diff(np.append(at, len(new)))
     gone = least > np.repeat(least[at], size)
-    # Of an anchor with several spans whose smallest ids differ, each span's first holder is looked at.
+    # Of an anchor with several spans whose smallest ids differ, every holder of a span's smallest id is looked
+    # at: rows of one id may lie in several blocks, and each of these needs the masks.
     group = (np.cumsum(new_anchor) - 1)[at]
     first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     low, high = np.minimum.reduceat(least[at], first), np.maximum.reduceat(least[at], first)
-    look = at[(low < high)[group]]
+    look = ~gone & np.repeat((low < high)[group], size)
     return pa.concat_tables([
         _answer(names, block[gone], ordinal[gone], GONE), _answer(names, block[look], ordinal[look], WANTED)
     ])

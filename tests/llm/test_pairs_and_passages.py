@@ -111,6 +111,17 @@ def test_passages_equal_brute_force(documents, monkeypatch, segment):
     assert sorted(map(tuple, suffixes.without_repeats(frame).collect()), key=repr) == passages_brute(pairs)
 
 
+def test_rows_of_one_id_in_several_blocks_lose_the_same_bytes(documents):
+    passage = prose(70, 25)
+    other = f"{prose(71, 20)} {passage} {prose(72, 20)}"
+    pairs = [(1, f"{prose(73, 20)} {passage} {prose(74, 20)}"), (5, other), (5, other), (5, other), (9, f"{prose(75, 5)} {other}")]
+    # A task's rows make its blocks: each row is in a block of its own.
+    frame = documents(pairs[:1])
+    for pair in pairs[1:]:
+        frame = frame.union(documents([pair]))
+    assert sorted(map(tuple, suffixes.without_repeats(frame).collect()), key=repr) == passages_brute(pairs)
+
+
 def test_remaining_texts_keep_their_columns(documents):
     pairs = edge_texts()
     frame = documents(pairs)

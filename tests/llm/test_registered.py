@@ -18,7 +18,7 @@ needs_data = pytest.mark.skipif(not Path(DATA).exists(), reason="no test data he
 def test_all_are_registered():
     found = entry.queries()
     assert {k for k in found if k.startswith("op")} == set(queries.QUERIES)
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
     assert found["pipeline"] is corpus_pipeline.run
 
 

@@ -276,14 +276,30 @@ def keep_one(
 
     A row with the smallest id of its class stays; of a class without ids, any one row.
     """
-    _, told = _told(documents, threshold, recall, doc_id, text)
+    signed, told = _told(documents, threshold, recall, doc_id, text)
+    told = told.where("n_links > 0").select("print", "root", "class_id")
+    # Decisions are made on ids and fingerprints; texts are not sent through the joins that lead to them.
+    placed = signed.select("doc_id", "print").join(told, "print", "left")
+    first = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    ids = placed.groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.bool_or(F.col("root").isNull() | first).alias("stays")
+    ).where("rows > 1 OR NOT stays")
+    ids = written(ids.select(F.col("doc_id").alias("_id"), "rows"), "jaccard-ids")
+    # The small side is hashed, so that texts of the other are dealt but not sorted.
+    rest = documents.join(ids.hint("shuffle_hash"), documents[doc_id].eqNullSafe(ids["_id"]), "left_anti")
+    return rest.unionByName(_one_of_repeated(documents, ids.where("rows > 1").select("_id"), told, doc_id, text))
+
+
+def _one_of_repeated(documents: DataFrame, ids: DataFrame, told: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """What stays of the rows whose id occurs on several: these are told apart by their fingerprints."""
     names = documents.columns
     mark = "print"
     while any(n.lower().startswith(mark) for n in names):
         mark += "_"
     schema = T.StructType([*documents.schema.fields, T.StructField(mark, T.LongType())])
-    rows = documents.mapInArrow(lambda b: _prints(b, text, mark), schema)
-    told = told.where("n_links > 0").select(
+    rows = documents.join(ids.hint("shuffle_hash"), documents[doc_id].eqNullSafe(ids["_id"]), "left_semi")
+    rows = rows.mapInArrow(lambda b: _prints(b, text, mark), schema)
+    told = told.select(
         F.col("print").alias(mark), F.col("root").alias(f"{mark}_root"), F.col("class_id").alias(f"{mark}_class")
     )
     rows = rows.join(told, mark, "left")

@@ -708,7 +708,30 @@ FROM pitches WHERE game_type = 'R' AND game_date BETWEEN DATE '2024-05-01' AND D
 GROUP BY game_date"""),
 }
 
+STORE_SQL = {
+    "t_replace_atomic": _q("""
+ SELECT CAST(game_date AS VARCHAR) AS game_date, count(*) AS before, CAST(sum(batter) AS BIGINT) AS before_batters,
+  nullif(count(*) FILTER (WHERE stays), 0) AS after, CAST(sum(batter) FILTER (WHERE stays) AS BIGINT) AS after_batters, true AS refused
+FROM (SELECT *, game_date NOT BETWEEN DATE '2024-04-02' AND DATE '2024-05-31' OR home_team < 'M' AS stays
+      FROM pitches WHERE game_year = 2024 AND game_type = 'R')
+GROUP BY game_date"""),
+    "t_comments": _q(f"""
+, counted AS (SELECT {", ".join(f"count({c.name}) AS c{i}" for i, c in enumerate(GAMES.columns))} FROM games)
+""" + " UNION ALL ".join(
+        f"SELECT '{c.name}' AS column_name, '{c.description.replace(chr(39), chr(39) * 2)}' AS description, c{i} AS non_null, "
+        f"CAST({len(GAMES.columns[::3])} AS INTEGER) AS changed FROM counted"
+        for i, c in enumerate(GAMES.columns)), GAMES_SQL),
+    "src_damaged_documents": _q("""
+, keys AS (SELECT DISTINCT o_orderkey // 75 AS g FROM orders),
+aside AS (
+  SELECT 'unreadable' AS name, CAST(2022 + g % 4 AS VARCHAR) AS slice, count(*) AS n FROM keys WHERE g % 5 = 0 GROUP BY 2
+  UNION ALL SELECT 'no answer', CAST(2022 + g % 4 AS VARCHAR), count(*) FROM keys WHERE g % 7 = 0 GROUP BY 2)
+SELECT name, slice, n FROM aside
+UNION ALL SELECT name, 'all', CAST(sum(n) AS BIGINT) FROM aside GROUP BY name
+UNION ALL SELECT 'home runs', CAST(season AS VARCHAR), CAST(sum(final_home_score) AS BIGINT) FROM games GROUP BY season""", GAMES_SQL),
+}
+
 ORACLES = {
     **CURATED, **METRIC_SQL, **VERIFY_SQL, **SOURCE_SQL, **GAME_SQL, **QUALITY_SQL, **TABLE_SQL,
-    **MORE_SQL,
+    **MORE_SQL, **STORE_SQL,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,12 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import sample
+from pitchlake.catalog.columns import TableLayout
 from pitchlake.catalog.games import GAMES, UMPIRES
 from pitchlake.catalog.pitches import PITCHES
-from pitchlake.catalog.support import DICTIONARY
+from pitchlake.catalog.support import DICTIONARY, QUARANTINE
 from pitchlake.operators import compare, quality, runs, tables
 from pitchlake.operators.conform import conform, drift
 from pitchlake.operators.dictionary import apply_dictionary
+from pitchlake.operators.versions import Conflict, VersionedTable, days
 from pitchlake.plans import curated, games, metrics, verify
 from pitchlake.plans.sync import SyncTables, sync
 from pitchlake.sources import documents
@@ -228,6 +231,72 @@ def _replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _replace_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day before and after a span was replaced, while a late writer of that span is refused."""
+    _, location = scratch_database(spark)
+    table = VersionedTable(f"{location}/pitches", PITCHES)
+    landed = _pitches(spark, sf_dir)
+    year = (date(SEASON, 1, 1), date(SEASON, 12, 31))
+    table.replace_days(pitch_batch(landed, *year), *year)
+    seen = table.version(spark)
+    span = (date(SEASON, 4, 2), MAY[1])
+    table.replace(pitch_batch(landed.where(F.col("home_team") < "M"), *span), days("game_date", *span))
+    try:
+        table.replace_days(pitch_batch(landed, *span), *span, base=seen)
+        refused = False
+    except Conflict:
+        refused = True
+
+    def by_day(number: int, name: str) -> DataFrame:
+        return table.read(spark, number).groupBy("game_date").agg(F.count("*").alias(name), F.sum("batter").alias(f"{name}_batters"))
+
+    found = by_day(seen.number, "before").join(by_day(table.version(spark).number, "after"), "game_date", "left")
+    return found.withColumn("refused", F.lit(refused))
+
+
+def _comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments of a filled table whose every third column had another one, with the values in each column."""
+    database, _ = scratch_database(spark)
+    name = tables.TableName.parse(f"{database}.games")
+    old = TableLayout(
+        tuple(replace(c, description="To be described.") if i % 3 == 0 else c for i, c in enumerate(GAMES.columns)),
+        GAMES.comment, GAMES.partition_by,
+    )
+    tables.create_table(spark, name, old)
+    tables.replace_seasons(_games(spark, sf_dir), name, GAMES, range(2022, 2026))
+    changed = tables.apply_comments(spark, name, GAMES)
+    told = [(f.name, f.metadata.get("comment")) for f in spark.table(str(name)).schema.fields]
+    filled = quality.profile(spark.table(str(name)), GAMES).select("column_name", "non_null")
+    return filled.join(
+        spark.createDataFrame(told, "column_name string, description string"), "column_name"
+    ).withColumn("changed", F.lit(changed))
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games from landed files among which newer ones are cut off or no answer, and what was put aside."""
+    database, location = scratch_database(spark)
+    texts = sample.schedule_documents(spark, sf_dir).where("version = 2").select(
+        "text", F.regexp_extract("text", '"season":"([0-9]+)"', 1).alias("season"),
+        F.regexp_extract("text", '"gamePk":([0-9]+)', 1).cast("long").alias("g"),
+    )
+    cut = texts.where("g % 5 = 0").select(F.expr("substring(text, 1, length(text) div 2)").alias("text"), "season")
+    busy = texts.where("g % 7 = 0").select(F.lit('{"message":"busy"}').alias("text"), "season")
+    for batch in (texts.select("text", "season"), cut, busy):
+        batch.write.mode("append").partitionBy("season").text(f"{location}/landed")
+    name = tables.TableName.parse(f"{database}.damaged")
+    tables.create_table(spark, name, QUARANTINE)
+    landed = documents.read_documents(spark, f"{location}/landed", documents.SCHEDULE)
+    counted = documents.put_aside(landed, name)
+    aside = spark.table(str(name)).groupBy(
+        F.col("reason").alias("name"), F.col("season").cast("string").alias("slice")
+    ).agg(F.count("*").alias("n"))
+    whole = spark.createDataFrame([(r, "all", n) for r, n in counted.items()], "name string, slice string, n long")
+    games = documents.schedule_games(landed).groupBy(F.col("season").cast("string").alias("slice")).agg(
+        F.sum("final_home_score").alias("n")
+    )
+    return aside.unionByName(whole).unionByName(games.withColumn("name", F.lit("home runs")))
+
+
 def _replace_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, _ = scratch_database(spark)
     name = tables.TableName.parse(f"{database}.games")
@@ -430,6 +499,7 @@ SOURCES: dict[str, Query] = {
     "src_game_officials": _umpires,
     "src_distinct_games": _over_pitches(distinct_games),
     "src_standings": _standings,
+    "src_damaged_documents": _damaged,
     "src_leaderboard": lambda s, d: boards.expected_values(
         _board(s, d), ["barrel_rate"], sample_column="attempts", min_sample=10
     ),
@@ -463,6 +533,8 @@ QUALITY: dict[str, Query] = {
 TABLES: dict[str, Query] = {
     "t_replace_days": _replace_days,
     "t_replace_seasons": _replace_seasons,
+    "t_replace_atomic": _replace_atomic,
+    "t_comments": _comments,
     "t_pruned_scan": _pruned,
     "t_dictionary": _dictionary,
     "r_month_chunks": _month_chunks,

@@ -1,4 +1,4 @@
-"""Tables the engine keeps for itself: the run log and the data dictionary."""
+"""Tables the engine keeps for itself: the run log, the data dictionary and damaged documents."""
 
 from __future__ import annotations
 
@@ -40,3 +40,19 @@ DICTIONARY = TableLayout(
     partition_by=("dataset", "table"),
     key=("dataset", "table", "column"),
 )
+
+QUARANTINE = TableLayout(
+    columns=(
+        Column("kind", "string", ("category",), "What the document was landed as.", required=True,
+               allowed=("schedule", "boxscore", "standings")),
+        Column("reason", "string", ("category",), "What is wrong with it.", required=True,
+               allowed=("unreadable", "no answer")),
+        Column("season", "bigint", ("temporal",), "Season of the landing folder."),
+        Column("game_pk", "bigint", ("identifier",), "Game of the landing folder."),
+        Column("version", "bigint", ("version",), "Version of the document."),
+        Column("file", "string", ("text",), "File it was read from."),
+        Column("document", "string", ("text",), "The text, where it could not be read."),
+        Column("seen_at", "timestamp", ("temporal",), "When it was put aside.", required=True),
+    ),
+    comment="Landed documents that were not used, one row each time a load met one.",
+)

@@ -13,6 +13,7 @@ from pitchlake.catalog.columns import TableLayout
 from pitchlake.catalog.support import DICTIONARY
 from pitchlake.operators.quality import profile
 from pitchlake.operators.tables import TableName, replace_key
+from pitchlake.operators.versions import VersionedTable
 
 
 def dictionary_rows(
@@ -43,10 +44,16 @@ def dictionary_rows(
 
 
 def apply_dictionary(
-    spark: SparkSession, name: TableName, layout: TableLayout, dataset: str, table: str, **options
+    spark: SparkSession, name: TableName | VersionedTable, layout: TableLayout, dataset: str, table: str,
+    **options,
 ) -> int:
-    """Replace the rows of one table in the dictionary; returns how many there are now."""
+    """Replace the rows of one table in the dictionary; returns how many there are now.
+
+    In a ``VersionedTable`` readers see the old rows or the new ones, never a part.
+    """
     rows = dictionary_rows(spark, layout, dataset, table, **options)
+    if isinstance(name, VersionedTable):
+        return name.replace_key(rows, dataset=dataset, table=table)
     return replace_key(rows, name, DICTIONARY, dataset=dataset, table=table)
 
 

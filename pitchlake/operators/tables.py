@@ -109,22 +109,17 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
                 spark.conf.set(setting, before)
 
 
-def _replace(
-    frame: DataFrame,
-    name: TableName,
-    layout: TableLayout,
-    inside: Column,
-    covers: Callable[[dict[str, str]], bool],
-    drop_when_empty: bool,
-) -> int:
-    spark = frame.sparkSession
+def laid_out(
+    frame: DataFrame, layout: TableLayout, inside: Column, where: object
+) -> tuple[DataFrame, Observation]:
+    """The rows as they are written, and an observation of (rows, partitions) of that write."""
     rows = conform(frame, layout)
     # A row outside the slice would overwrite a partition the caller did not ask for: stop instead.
     first = layout.partition_by[0]
     rows = rows.withColumn(
         first,
         F.when(inside, F.col(first)).otherwise(
-            F.raise_error(F.lit(f"row outside the slice being replaced in {name}")).cast(
+            F.raise_error(F.lit(f"row outside the slice being replaced in {where}")).cast(
                 rows.schema[first].dataType
             )
         ),
@@ -139,9 +134,21 @@ def _replace(
     rows = rows.observe(
         seen, F.count(F.lit(1)).alias("rows"), F.collect_set(landed).alias("partitions")
     )
-    laid_out = rows.sortWithinPartitions(*layout.partition_by, *layout.cluster_by)
+    return rows.sortWithinPartitions(*layout.partition_by, *layout.cluster_by), seen
+
+
+def _replace(
+    frame: DataFrame,
+    name: TableName,
+    layout: TableLayout,
+    inside: Column,
+    covers: Callable[[dict[str, str]], bool],
+    drop_when_empty: bool,
+) -> int:
+    spark = frame.sparkSession
+    rows, seen = laid_out(frame, layout, inside, name)
     with _dynamic_overwrite(spark):
-        laid_out.select(*spark.table(str(name)).columns).write.mode("overwrite").insertInto(
+        rows.select(*spark.table(str(name)).columns).write.mode("overwrite").insertInto(
             str(name)
         )
     found = seen.get

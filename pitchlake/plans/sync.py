@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
 
@@ -12,11 +14,13 @@ from pyspark.sql import functions as F
 
 from pitchlake.catalog.games import GAMES, UMPIRES
 from pitchlake.catalog.pitches import PITCHES
-from pitchlake.catalog.support import RUNS
+from pitchlake.catalog.support import QUARANTINE, RUNS
 from pitchlake.operators.conform import drift
 from pitchlake.operators.runs import completed_chunks, pending, range_chunks, record_run
 from pitchlake.operators.tables import TableName, create_table, replace_days, replace_seasons
-from pitchlake.sources.documents import crews_of, officials, schedule_games
+from pitchlake.sources.documents import (
+    crews_of, is_sound, kind_of, newest_of_each_season, officials, put_aside, schedule_games,
+)
 from pitchlake.sources.pitches import pitch_batch
 
 log = logging.getLogger(__name__)
@@ -30,17 +34,18 @@ class SyncTables:
     umpires: TableName
     games: TableName
     runs: TableName
+    quarantine: TableName
 
     @classmethod
     def beside(cls, pitches: str, umpires: str | None = None, games: str | None = None,
-               runs: str | None = None) -> SyncTables:
+               runs: str | None = None, quarantine: str | None = None) -> SyncTables:
         home = TableName.parse(pitches)
 
         def named(given: str | None, default: str) -> TableName:
             return TableName.parse(given) if given else home.sibling(default)
 
         return cls(home, named(umpires, "game_umpires"), named(games, "games"),
-                   named(runs, "_ingest_runs"))
+                   named(runs, "_ingest_runs"), named(quarantine, "_damaged_documents"))
 
 
 def create_tables(
@@ -48,7 +53,7 @@ def create_tables(
 ) -> None:
     for name, layout in (
         (tables.pitches, PITCHES), (tables.umpires, UMPIRES),
-        (tables.games, GAMES), (tables.runs, RUNS),
+        (tables.games, GAMES), (tables.runs, RUNS), (tables.quarantine, QUARANTINE),
     ):
         create_table(spark, name, layout, f"{location}/{name.table}" if location else None)
 
@@ -69,12 +74,16 @@ def sync(
     chunk_kind: str = "year",
     resume: bool = False,
     dry_run: bool = False,
+    whole_seasons: bool = False,
 ) -> list[tuple[date, date]]:
     """Load [start, end] chunk by chunk, then the schedules of its seasons; returns the chunks.
 
     Box scores are parsed once, before the first chunk. Only seasons that have a schedule document
     are replaced: by their games, and also, where ``schedules`` has a column ``season`` from the
-    landing's folders, by a document without any game. The other seasons stay, with a warning.
+    landing's folders, by a document without any game. The other seasons stay, with a warning. Damaged
+    documents are put aside in a table of their own, with a warning, and replace nothing. With
+    ``whole_seasons`` each schedule document is a whole season, named by that column: only the newest
+    counts, and games that it no longer lists go.
 
     A chunk is one distributed write and the unit of logging and retry. A chunk without pitches
     is logged as empty and leaves the tables alone; a failure is logged and raised. Leave
@@ -92,27 +101,43 @@ def sync(
     unknown = drift(landed, PITCHES).unknown
     if unknown:
         log.warning("columns not in the pitch table are left out: %s", list(unknown))
-    crews = _staged_officials(tables, boxscores) if boxscores is not None and chunks else None
-    try:
-        _load_chunks(spark, landed, tables, chunks, crews, chunk_kind)
-    finally:
-        if crews is not None:
-            spark.sql(f"DROP TABLE IF EXISTS {crews}")
+    if boxscores is not None and chunks:
+        with _staged(tables, boxscores) as documents, _staged(tables, officials(documents)) as crews:
+            _put_aside(tables, documents)
+            _load_chunks(spark, landed, tables, chunks, crews, chunk_kind)
+    else:
+        _load_chunks(spark, landed, tables, chunks, None, chunk_kind)
     if schedules is not None:
-        _load_schedules(schedules, tables, range(start.year, end.year + 1))
+        with _staged(tables, schedules) as documents:
+            _put_aside(tables, documents)
+            _load_schedules(
+                newest_of_each_season(documents) if whole_seasons else documents, tables,
+                range(start.year, end.year + 1),
+            )
     return chunks
 
 
-def _staged_officials(tables: SyncTables, boxscores: DataFrame) -> TableName:
-    """The flattened box scores in a table of their own for the length of a load."""
-    name = tables.runs.sibling(f"_officials_{uuid.uuid4().hex[:12]}")
-    officials(boxscores).write.format("parquet").saveAsTable(str(name))
-    return name
+@contextmanager
+def _staged(tables: SyncTables, frame: DataFrame) -> Iterator[DataFrame]:
+    """The frame from a table that lasts as long as the load, so that documents are parsed once."""
+    spark = frame.sparkSession
+    name = tables.runs.sibling(f"_staged_{uuid.uuid4().hex[:12]}")
+    try:
+        frame.write.format("parquet").saveAsTable(str(name))
+        yield spark.table(str(name))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _put_aside(tables: SyncTables, documents: DataFrame) -> None:
+    found = put_aside(documents, tables.quarantine)
+    if found:
+        log.warning("damaged %s documents put aside in %s: %s", kind_of(documents), tables.quarantine, found)
 
 
 def _load_chunks(
     spark: SparkSession, landed: DataFrame, tables: SyncTables, chunks: list[tuple[date, date]],
-    crews: TableName | None, chunk_kind: str,
+    crews: DataFrame | None, chunk_kind: str,
 ) -> None:
     for first, last in chunks:
         began = datetime.now(UTC)
@@ -126,7 +151,7 @@ def _load_chunks(
                     F.col("game_date").between(F.lit(first), F.lit(last))
                 )
                 replace_days(
-                    crews_of(loaded, spark.table(str(crews))), tables.umpires, UMPIRES, first, last
+                    crews_of(loaded, crews), tables.umpires, UMPIRES, first, last
                 )
         except Exception as error:
             record_run(spark, tables.runs, first, last, chunk_kind, "failed", 0, began, str(error))
@@ -143,7 +168,8 @@ def _load_schedules(schedules: DataFrame, tables: SyncTables, seasons: range) ->
         log.warning("games without a readable season are left out: %d", found[0])
     landed = set(found)
     if "season" in schedules.columns:
-        named = schedules.select(F.col("season").cast("int").alias("season")).distinct()
+        sound = schedules.where(is_sound(schedules))
+        named = sound.select(F.col("season").cast("int").alias("season")).distinct()
         landed |= {r["season"] for r in named.collect()}
     present = [s for s in seasons if s in landed]
     missing = [s for s in seasons if s not in landed]

@@ -5,23 +5,34 @@ Every leaf is read as text and converted leniently, so one bad value never fails
 Landed documents pile up: a season or a box score arrives again with every load. A column ``version``
 orders them, and only the newest counts. Files have their modification time as version; documents
 without one count as equally new.
+
+A document that cannot be read (a cut-off file) or that is no answer (an error message in its place) is
+damaged: it has no part in any of the frames here, so an older document stays in force, and
+``damaged_documents`` tells which they are and why.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchlake.catalog.games import GAMES, UMPIRE_POSITIONS, UMPIRES
+from pitchlake.catalog.support import QUARANTINE
 from pitchlake.catalog.teams import teams
 from pitchlake.functions.parse import safe_int, text_or
+from pitchlake.operators.tables import TableName
 from pitchlake.sources.pitches import distinct_games
 
 
 VERSION = "version"
+FILE = "file"
+# The text of a document that could not be read; null for all others.
+UNREADABLE = "unreadable"
+# The list that makes a document an answer, by kind.
+ANSWER = {"schedule": "dates", "boxscore": "officials", "standings": "records"}
 # Regular season and the four rounds after it; spring and exhibition games are not ingested.
 INGESTED = ("R", "P", "F", "D", "L", "W")
 
@@ -76,11 +87,21 @@ def read_documents(
     """Landed documents, one per line or one per file. A missing path is an error, not no data.
 
     Fields that the landing layout carries in its folders (``game_pk=7/``, ``season=2024/``)
-    become columns by themselves; the files' modification times become ``version``.
+    become columns by themselves; the files' modification times become ``version``, their paths ``file``.
+    The text of what cannot be read is in ``unreadable``.
     """
     paths = paths if isinstance(paths, str) else list(paths)
-    found = spark.read.schema(schema).option("multiLine", one_per_file).json(paths)
-    return found.withColumn(VERSION, F.unix_micros(F.col("_metadata.file_modification_time")))
+    found = (
+        spark.read.schema(_with_unreadable(schema))
+        .option("columnNameOfCorruptRecord", UNREADABLE).option("multiLine", one_per_file).json(paths)
+    )
+    return found.withColumns({
+        VERSION: F.unix_micros(F.col("_metadata.file_modification_time")), FILE: F.col("_metadata.file_path"),
+    })
+
+
+def _with_unreadable(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(UNREADABLE, T.StringType())])
 
 
 def parse_documents(
@@ -90,10 +111,64 @@ def parse_documents(
 
     Columns in ``keep``, such as ``version`` or the season of the landing, stay beside the document.
     """
-    parsed = frame.select(F.from_json(F.col(text), schema).alias("doc"), *keep)
+    options = {"columnNameOfCorruptRecord": UNREADABLE}
+    parsed = frame.select(F.from_json(F.col(text), _with_unreadable(schema), options).alias("doc"), *keep)
     return parsed.select("doc.*", *keep)
 
 
+def kind_of(documents: DataFrame) -> str:
+    for kind, answer in ANSWER.items():
+        if answer in documents.columns:
+            return kind
+    raise ValueError(f"no documents of a known kind; columns: {documents.columns}")
+
+
+def is_sound(documents: DataFrame) -> Column:
+    """Whether a document could be read and is an answer, be it an empty one."""
+    found = F.col(ANSWER[kind_of(documents)]).isNotNull()
+    return found & F.col(UNREADABLE).isNull() if UNREADABLE in documents.columns else found
+
+
+def damaged_documents(documents: DataFrame) -> DataFrame:
+    """The damaged documents as rows of the table ``QUARANTINE``."""
+    kind = kind_of(documents)
+    unreadable = F.col(UNREADABLE) if UNREADABLE in documents.columns else F.lit(None).cast("string")
+    told = {
+        "kind": F.lit(kind),
+        "reason": F.when(unreadable.isNotNull(), "unreadable").otherwise("no answer"),
+        "document": unreadable,
+        "seen_at": F.current_timestamp(),
+    }
+    return documents.where(~is_sound(documents)).select(*[
+        told.get(c.name, F.col(c.name) if c.name in documents.columns else F.lit(None)).cast(c.dtype).alias(c.name)
+        for c in QUARANTINE.columns
+    ])
+
+
+def put_aside(documents: DataFrame, name: TableName) -> dict[str, int]:
+    """Append the damaged documents to the table ``name``; how many there are for each reason.
+
+    They are counted while they are written, in one pass over the documents.
+    """
+    reasons = QUARANTINE["reason"].allowed
+    seen = Observation()
+    found = damaged_documents(documents).observe(
+        seen, *[F.count_if(F.col("reason") == r).alias(f"n{i}") for i, r in enumerate(reasons)]
+    )
+    found.write.insertInto(str(name))
+    return {r: n for i, r in enumerate(reasons) if (n := seen.get[f"n{i}"])}
+
+
+def newest_of_each_season(documents: DataFrame) -> DataFrame:
+    """The newest sound document of each landed ``season``: for documents that are a whole season.
+
+    Numbers decide, one row for each season; the documents themselves are neither sorted nor dealt.
+    """
+    versioned = documents.withColumn("_version", _version(documents))
+    newest = versioned.where(is_sound(documents)).groupBy("season").agg(F.max("_version").alias("_version"))
+    return versioned.join(F.broadcast(newest), ["season", "_version"], "left_semi").select(*documents.columns)
+
+
 def _version(documents: DataFrame) -> Column:
     found = F.col(VERSION) if VERSION in documents.columns else F.lit(0)
     return F.coalesce(found.cast("bigint"), F.lit(0).cast("bigint")).alias("_version")
@@ -140,8 +215,10 @@ def schedule_games(documents: DataFrame, game_types: Sequence[str] | None = None
         F.col("seriesDescription").alias("series_description"),
         "_version", "_i", "_j",
     ).where("game_pk IS NOT NULL AND home_team_id IS NOT NULL AND away_team_id IS NOT NULL")
-    line = F.struct(*[c for c in flat.columns if c not in ("game_pk", "_version", "_i", "_j")])
-    newest = F.max_by(line, F.struct("_version", "_i", "_j", line)).alias("line")
+    columns = [c for c in flat.columns if c not in ("game_pk", "_version", "_i", "_j")]
+    # A hash of the line decides between entries at the same place, so that it is carried once.
+    place = F.struct("_version", "_i", "_j", F.xxhash64(*columns))
+    newest = F.max_by(F.struct(*columns), place).alias("line")
     flat = flat.groupBy("game_pk").agg(newest).select("game_pk", "line.*")
     if game_types is not None:
         flat = flat.where(F.col("game_type").isin(list(game_types)))
@@ -188,8 +265,10 @@ def officials(boxscores: DataFrame) -> DataFrame:
     Unknown titles and officials without an id are left out.
     """
     code = F.create_map(*[F.lit(x) for pair in UMPIRE_POSITIONS.items() for x in pair])
+    # Without a list of officials a document has no place, and one without place is passed over.
+    place = F.when(F.col("officials").isNotNull(), F.struct("_version", F.xxhash64("officials")))
     newest = boxscores.select("game_pk", "officials", _version(boxscores)).groupBy("game_pk").agg(
-        F.max_by("officials", F.struct("_version", "officials")).alias("officials")
+        F.max_by("officials", place).alias("officials")
     )
     return (
         newest.select(F.col("game_pk"), F.explode_outer("officials").alias("o"))
@@ -206,20 +285,26 @@ def officials(boxscores: DataFrame) -> DataFrame:
 def standings(documents: DataFrame) -> DataFrame:
     """One row per season and team: wins, losses, runs scored and allowed.
 
-    Only the newest documents of a season count. Abbreviations are the pitch feed's. Unknown teams are left out; of a team listed twice in a
-    document the later entry counts.
+    Only the newest documents of a season count: those of the newest version, and of landed files all in
+    the folder that got the newest, so that a season may come as a file for each league. Of a team
+    listed several times in these the newest entry counts, in a document the later one. Abbreviations are
+    the pitch feed's. Unknown teams are left out.
     """
-    versioned = documents.select("season", "records", _version(documents))
-    newest = F.max("_version").over(Window.partitionBy("season"))
-    current = versioned.withColumn("_newest", newest).where("_version = _newest")
-    record = current.select("season", F.posexplode_outer("records").alias("i", "record"))
+    batch = F.regexp_extract(FILE, "^.*/", 0) if FILE in documents.columns else _version(documents)
+    landed = documents.select("season", "records", _version(documents), batch.alias("_batch"))
+    # A row for each season, from numbers and folder names alone.
+    newest = landed.where("season IS NOT NULL AND records IS NOT NULL").groupBy("season").agg(
+        F.max(F.struct("_version", "_batch"))["_batch"].alias("_batch")
+    )
+    current = landed.join(F.broadcast(newest), ["season", "_batch"], "left_semi")
+    record = current.select("season", "_version", F.posexplode_outer("records").alias("i", "record"))
     listed = record.select(
-        "season", "i", F.posexplode_outer("record.teamRecords").alias("j", "t")
+        "season", "_version", "i", F.posexplode_outer("record.teamRecords").alias("j", "t")
     )
     team = listed.select(
         "season",
         safe_int(F.col("t.team.id")).alias("team_id"),
-        F.struct("i", "j").alias("place"),
+        F.struct("_version", "i", "j").alias("place"),
         F.struct(
             safe_int(F.col("t.wins")).alias("wins"),
             safe_int(F.col("t.losses")).alias("losses"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -21,7 +24,7 @@ needs_data = pytest.mark.skipif(not Path(DATA).exists(), reason="no test data he
 GIVEN_ONLY = {
     "t_replace_days", "t_replace_seasons", "t_dictionary", "t_pruned_scan", "src_schedule_seasons",
     "src_leaderboard_file", "v_results_json", "r_sync_tables", "v_report_json",
-    "s_wins", "s_losses",
+    "s_wins", "s_losses", "t_replace_atomic", "t_comments", "src_damaged_documents",
 } | {key for key in QUERIES if key.startswith("m_") and not key.endswith("_all")}
 
 
@@ -62,3 +65,16 @@ def test_entry(spark):
     frame = entry.entry(spark)
     assert frame.count() > 0
     assert "barrel_rate" in frame.columns
+
+
+def test_entry_without_the_corpus_part(tmp_path):
+    """The entry imports and lists this library's queries where the corpus folders are gone, the pipeline's file or not."""
+    root = Path(entry.__file__).resolve().parent
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if (root / name).exists():
+            shutil.copy(root / name, tmp_path / name)
+    for name in ("checks", "pitchlake"):
+        shutil.copytree(root / name, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    code = "import __spark_entry__ as e; print(len(e.queries()), sorted(e.queries()) == sorted(e.oracle_sql()))"
+    said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert said.stdout.split() == [str(len(QUERIES)), "True"]

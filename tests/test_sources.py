@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import copy
 import json
+import os
 from datetime import date, datetime
 
 import pytest
@@ -347,3 +348,28 @@ def test_leaderboard_files(spark, tmp_path):
     assert boards.expected_values(board, ["barrel_rate"]).collect()[0].expected == pytest.approx(
         0.085
     )
+
+
+def test_standings_of_a_season_in_two_files(spark, rows, tmp_path):
+    def line(*teams):
+        records = [{"teamRecords": [{"team": {"id": t}, "wins": w} for t, w in teams]}]
+        return json.dumps({"season": 2023, "records": records})
+
+    def land(folder, at, **texts):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        for name, text in texts.items():
+            (tmp_path / folder / f"{name}.json").write_text(text)
+            os.utime(tmp_path / folder / f"{name}.json", (at, at))
+            at += 1
+
+    land("monday", 1000, al=line((136, 1), (142, 2)), nl=line((143, 3)))
+    land("tuesday", 2000, al=line((136, 11)), nl=line((143, 13), (144, 14)), cut=line((136, 99))[:40])
+
+    def found():
+        read = docs.read_documents(spark, f"{tmp_path}/*", docs.STANDINGS)
+        return rows(docs.standings(read).select("team", "wins"))
+
+    # Both leagues of the newest folder, none of the older one's, and nothing of the cut file.
+    assert found() == [("ATL", 14), ("PHI", 13), ("SEA", 11)]
+    land("wednesday", 3000, cut=line((136, 99))[:40], busy='{"message": "busy"}')
+    assert found() == [("ATL", 14), ("PHI", 13), ("SEA", 11)]

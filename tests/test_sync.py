@@ -137,3 +137,69 @@ def test_box_scores_are_parsed_once(spark, table, landed, boxscores):
     assert parses.value == 3
     names = [t.name for t in spark.catalog.listTables(f"{table.catalog}.{table.database}")]
     assert not [n for n in names if n.startswith("_officials")]
+
+
+def season_of(*games):
+    def game(pk):
+        return {"gamePk": pk, "season": 2024, "officialDate": "2024-05-01",
+                "teams": {"home": {"team": {"id": 109}}, "away": {"team": {"id": 120}}}}
+
+    return json.dumps({"dates": [{"games": [game(g) for g in games]}]})
+
+
+def land(folder, **texts):
+    folder.mkdir(parents=True, exist_ok=True)
+    for name, text in texts.items():
+        (folder / f"{name}.json").write_text(text + "\n")
+
+
+def games_of(spark, where):
+    return sorted(r.game_pk for r in spark.table(str(where.games)).collect())
+
+
+@pytest.mark.parametrize("broken", [season_of(1, 2)[:-40], '{"message": "try again"}', "<html>busy</html>", '{"dates": null}'])
+def test_a_damaged_document_replaces_nothing(spark, table, landed, tmp_path, caplog, broken):
+    where = SyncTables.beside(str(table))
+    land(tmp_path / "season=2024", first=season_of(1, 2))
+    read = docs.read_documents(spark, str(tmp_path), docs.SCHEDULE)
+    sync(spark, landed, where, *SPAN, schedules=read)
+    assert games_of(spark, where) == [1, 2]
+    alone = tmp_path / "other"
+    land(alone / "season=2024", cut=broken)
+    with pytest.raises(ValueError, match="no schedule documents"):
+        sync(spark, landed, where, *SPAN, schedules=docs.read_documents(spark, str(alone), docs.SCHEDULE))
+    assert games_of(spark, where) == [1, 2] and "put aside" in caplog.text
+    # Beside a good document the good one counts.
+    land(alone / "season=2024", good=season_of(2, 3))
+    sync(spark, landed, where, *SPAN, schedules=docs.read_documents(spark, str(alone), docs.SCHEDULE))
+    assert games_of(spark, where) == [2, 3]
+    kept = spark.table(str(where.quarantine)).collect()
+    assert len(kept) == 2 and {(r.kind, r.season) for r in kept} == {("schedule", 2024)}
+    reason = "no answer" if broken.startswith('{"') and broken.endswith("}") else "unreadable"
+    assert {r.reason for r in kept} == {reason} and all(r.file.endswith("cut.json") for r in kept)
+    assert {r.document for r in kept} == {broken if reason == "unreadable" else None}
+
+
+def test_damaged_box_scores_leave_the_older_crew(spark, table, landed):
+    crew = {"game_pk": 1, "officials": [{"official": {"id": 71, "fullName": "U"}, "officialType": "Home Plate"}]}
+    text = spark.createDataFrame(
+        [(json.dumps(crew), 1), (json.dumps(crew)[:30], 2), ('{"game_pk": 1}', 3)], "text string, version long"
+    )
+    where = SyncTables.beside(str(table))
+    sync(spark, landed, where, *SPAN, boxscores=docs.parse_documents(text, "text", docs.BOXSCORE, ["version"]))
+    assert [r.umpire_id for r in spark.table(str(where.umpires)).collect()] == [71]
+    kept = spark.table(str(where.quarantine)).collect()
+    assert sorted((r.reason, r.game_pk, r.version) for r in kept) == [("no answer", 1, 3), ("unreadable", None, 2)]
+
+
+def test_whole_season_documents_drop_games(spark, table, landed, tmp_path):
+    where = SyncTables.beside(str(table))
+    text = spark.createDataFrame(
+        [(season_of(1, 2, 3), 2024, 1), (season_of(3), 2024, 2), (season_of(1)[:50], 2024, 3)],
+        "text string, season int, version long",
+    )
+    read = docs.parse_documents(text, "text", docs.SCHEDULE, ["season", "version"])
+    sync(spark, landed, where, *SPAN, schedules=read)
+    assert games_of(spark, where) == [1, 2, 3]
+    sync(spark, landed, where, *SPAN, schedules=read, whole_seasons=True)
+    assert games_of(spark, where) == [3]

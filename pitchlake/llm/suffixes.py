@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchlake.llm.store import written
-from pitchlake.llm.text import _powers, _room, mix, texts
+from pitchlake.llm.text import _powers, _room, lean, mix, texts
 
 LENGTH = 50
 GRAM = 24
@@ -160,6 +160,7 @@ def repeated(rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
 BLOCKS = "block string, bytes long, ids array<long>, sizes array<long>, data binary, rest binary"
 
 
+@lean
 def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of a task in blocks, each one row with its texts, and all further columns, compressed."""
     from pyspark import TaskContext
@@ -255,6 +256,7 @@ def _high(x: bytes, size: int) -> np.ndarray:
 SENT = "bucket long, block string, base long, anchors binary, spans binary, least array<long>, which binary"
 
 
+@lean
 def _send(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     for row in _rows(batches):
         block = Block(row, buckets)
@@ -292,6 +294,7 @@ def _answer(names: list[str], block: np.ndarray, ordinal: np.ndarray, kind: int,
     }, ANSWERS)
 
 
+@lean
 def _decide(table: pa.Table) -> pa.Table:
     """For the spans of one bucket: which are held by a smaller id, and which need their bytes compared."""
     anchors, span, least, block, ordinal = [], [], [], [], []
@@ -327,6 +330,7 @@ def _decide(table: pa.Table) -> pa.Table:
 FETCHED = "part long, block string, ordinals binary, owners binary, sizes binary, bytes binary"
 
 
+@lean
 def _fetch(table: pa.Table, buckets: int) -> pa.Table:
     """The bytes of the wanted spans of one block, dealt by their anchors."""
     rows = table.to_pylist()
@@ -357,6 +361,7 @@ def _fetch(table: pa.Table, buckets: int) -> pa.Table:
 WINDOWS_AT_ONCE = 1 << 18
 
 
+@lean
 def _compare(table: pa.Table) -> pa.Table:
     """Masks of the windows of the fetched spans that a smaller id holds."""
     rows = table.to_pylist()
@@ -427,6 +432,7 @@ def _open(table: pa.Table, buckets: int) -> tuple[dict, Block, np.ndarray]:
     return row, block, _covered(rows, block)
 
 
+@lean
 def _digests(table: pa.Table, buckets: int) -> pa.Table:
     _, block, covered = _open(table, buckets)
     rise = covered.copy()
@@ -443,6 +449,7 @@ def _digests(table: pa.Table, buckets: int) -> pa.Table:
     })
 
 
+@lean
 def _documents(table: pa.Table, buckets: int, names: list[str]) -> pa.Table:
     """The block's documents with what remains of their texts; a character cut in two goes whole."""
     row, block, covered = _open(table, buckets)

@@ -9,8 +9,18 @@ from pitchlake.llm import decontaminate, jaccard, pieces, quality, suffixes
 from pitchlake.llm.store import table, written
 
 
+# Rows that go to a Python worker at once. Whole texts are a few kilobytes each, and both sides hold a batch.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """For a session whose batches are larger: the memory of a task follows the batch, not the input."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
+    small_batches(spark)
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 

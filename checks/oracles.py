@@ -709,6 +709,13 @@ GROUP BY game_date"""),
 }
 
 STORE_SQL = {
+    "src_landing_manifest": _q("""
+ SELECT CAST(game_date AS VARCHAR) AS game_date, count(*) AS pitches, CAST(sum(batter) AS BIGINT) AS batters,
+  round(sum(CASE WHEN game_year >= 2024 THEN bat_speed END), 6) AS bat_speed, (SELECT count(*) FROM pitches) AS rows_noted, true AS once
+FROM pitches WHERE game_type = 'R' AND game_date BETWEEN DATE '2023-04-03' AND DATE '2024-05-31' GROUP BY game_date"""),
+    "t_z_order": _q("""
+ SELECT away_team, game_pk, count(*) AS pitches, CAST(sum(pitcher) AS BIGINT) AS pitchers, round(avg(release_speed), 6) AS release_speed
+FROM pitches WHERE game_type = 'R' AND game_year = 2024 AND away_team IN ('NYY', 'BOS', 'SEA') GROUP BY ALL"""),
     "t_replace_atomic": _q("""
  SELECT CAST(game_date AS VARCHAR) AS game_date, count(*) AS before, CAST(sum(batter) AS BIGINT) AS before_batters,
   nullif(count(*) FILTER (WHERE stays), 0) AS after, CAST(sum(batter) FILTER (WHERE stays) AS BIGINT) AS after_batters, true AS refused

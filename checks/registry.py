@@ -22,7 +22,7 @@ from pitchlake.operators.dictionary import apply_dictionary
 from pitchlake.operators.versions import Conflict, VersionedTable, days
 from pitchlake.plans import curated, games, metrics, verify
 from pitchlake.plans.sync import SyncTables, sync
-from pitchlake.sources import documents
+from pitchlake.sources import documents, manifest
 from pitchlake.sources import leaderboard as boards
 from pitchlake.sources.pitches import distinct_games, pitch_batch
 
@@ -297,6 +297,38 @@ def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aside.unionByName(whole).unionByName(games.withColumn("name", F.lit("home runs")))
 
 
+def _landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of a range from landed files, a folder a month, that came in two batches with other columns."""
+    database, location = scratch_database(spark)
+    name = tables.TableName.parse(f"{database}.landed_files")
+    landed = _pitches(spark, sf_dir).withColumn("month", F.date_format("game_date", "yyyy-MM"))
+    early = landed.where("game_year < 2024").drop("bat_speed")
+    late = landed.where("game_year >= 2024").withColumn("batter", F.col("batter").cast("string"))
+    noted = 0
+    for batch in (early, late):
+        batch.write.mode("append").partitionBy("month").parquet(f"{location}/landing")
+        noted += manifest.extend(spark, f"{location}/landing", name)
+    span = (date(2023, 4, 3), date(2024, 5, 31))
+    told = spark.table(str(name)).agg(F.sum("rows").alias("n"), F.count("*").alias("files")).first()
+    return manifest.read_range(spark, name, *span).groupBy("game_date").agg(
+        F.count("*").alias("pitches"), F.sum("batter").alias("batters"), F.sum("bat_speed").alias("bat_speed")
+    ).withColumn("rows_noted", F.lit(told["n"])).withColumn("once", F.lit(told["files"] == noted))
+
+
+def _z_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pitches of some away teams, from a table that is clustered on three columns at once."""
+    database, _ = scratch_database(spark)
+    name = tables.TableName.parse(f"{database}.pitches")
+    tables.create_table(spark, name, PITCHES)
+    year = (date(SEASON, 1, 1), date(SEASON, 12, 31))
+    tables.replace_days(
+        pitch_batch(_pitches(spark, sf_dir), *year), name, PITCHES, *year, z_order=("away_team", "game_pk", "pitcher")
+    )
+    return spark.table(str(name)).where(F.col("away_team").isin("NYY", "BOS", "SEA")).groupBy("away_team", "game_pk").agg(
+        F.count("*").alias("pitches"), F.sum("pitcher").alias("pitchers"), F.avg("release_speed").alias("release_speed")
+    )
+
+
 def _replace_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, _ = scratch_database(spark)
     name = tables.TableName.parse(f"{database}.games")
@@ -500,6 +532,7 @@ SOURCES: dict[str, Query] = {
     "src_distinct_games": _over_pitches(distinct_games),
     "src_standings": _standings,
     "src_damaged_documents": _damaged,
+    "src_landing_manifest": _landing_manifest,
     "src_leaderboard": lambda s, d: boards.expected_values(
         _board(s, d), ["barrel_rate"], sample_column="attempts", min_sample=10
     ),
@@ -535,6 +568,7 @@ TABLES: dict[str, Query] = {
     "t_replace_seasons": _replace_seasons,
     "t_replace_atomic": _replace_atomic,
     "t_comments": _comments,
+    "t_z_order": _z_order,
     "t_pruned_scan": _pruned,
     "t_dictionary": _dictionary,
     "r_month_chunks": _month_chunks,

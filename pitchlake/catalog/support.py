@@ -1,4 +1,4 @@
-"""Tables the engine keeps for itself: the run log, the data dictionary and damaged documents."""
+"""Tables the engine keeps for itself: the run log, the data dictionary, damaged documents and landed files."""
 
 from __future__ import annotations
 
@@ -56,3 +56,18 @@ QUARANTINE = TableLayout(
     ),
     comment="Landed documents that were not used, one row each time a load met one.",
 )
+
+FILES = TableLayout(
+    columns=(
+        Column("path", "string", ("identifier",), "Path of the file.", required=True),
+        Column("modified", "bigint", ("version",), "When it was written, in microseconds.", required=True),
+        Column("bytes", "bigint", ("count",), "Size of the file.", required=True),
+        Column("rows", "bigint", ("count",), "Rows in the file.", required=True),
+        Column("first_day", "date", ("temporal",), "Smallest day in the file."),
+        Column("last_day", "date", ("temporal",), "Largest day in the file."),
+        Column("schema", "string", ("type",), "Columns of the files it landed with, as JSON.", required=True),
+        Column("noted_at", "timestamp", ("temporal",), "When the row was made.", required=True),
+    ),
+    comment="One row per landed file and state of it.",
+    key=("path", "modified"),
+)

@@ -9,7 +9,7 @@ steps running it again finishes the work.
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.catalog.columns import TableLayout
+from pitchlake.operators.cluster import z_value
 from pitchlake.operators.conform import conform
 
 
@@ -110,10 +111,17 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
 
 
 def laid_out(
-    frame: DataFrame, layout: TableLayout, inside: Column, where: object
+    frame: DataFrame, layout: TableLayout, inside: Column, where: object, z_order: Sequence[str] = ()
 ) -> tuple[DataFrame, Observation]:
-    """The rows as they are written, and an observation of (rows, partitions) of that write."""
+    """The rows as they are written, and an observation of (rows, partitions) of that write.
+
+    Inside a partition rows are sorted by the layout's clustering columns or, if ``z_order`` names
+    columns, by their Z-order value, whose bounds take one more pass over the frame.
+    """
     rows = conform(frame, layout)
+    order = [*layout.partition_by, *layout.cluster_by]
+    if z_order:
+        order = [*layout.partition_by, z_value(rows, z_order)]
     # A row outside the slice would overwrite a partition the caller did not ask for: stop instead.
     first = layout.partition_by[0]
     rows = rows.withColumn(
@@ -134,7 +142,7 @@ def laid_out(
     rows = rows.observe(
         seen, F.count(F.lit(1)).alias("rows"), F.collect_set(landed).alias("partitions")
     )
-    return rows.sortWithinPartitions(*layout.partition_by, *layout.cluster_by), seen
+    return rows.sortWithinPartitions(*order), seen
 
 
 def _replace(
@@ -144,9 +152,10 @@ def _replace(
     inside: Column,
     covers: Callable[[dict[str, str]], bool],
     drop_when_empty: bool,
+    z_order: Sequence[str] = (),
 ) -> int:
     spark = frame.sparkSession
-    rows, seen = laid_out(frame, layout, inside, name)
+    rows, seen = laid_out(frame, layout, inside, name, z_order)
     with _dynamic_overwrite(spark):
         rows.select(*spark.table(str(name)).columns).write.mode("overwrite").insertInto(
             str(name)
@@ -171,11 +180,13 @@ def _replace(
 
 
 def replace_days(
-    frame: DataFrame, name: TableName, layout: TableLayout, start: date, end: date
+    frame: DataFrame, name: TableName, layout: TableLayout, start: date, end: date,
+    z_order: Sequence[str] = (), keep_when_empty: bool = True,
 ) -> int:
     """Make ``frame`` the content of the days [start, end]; returns the rows written.
 
-    An empty frame leaves the table as it is.
+    An empty frame leaves the table as it is, unless ``keep_when_empty`` is off: then it empties the
+    days. ``z_order`` names columns to cluster by in place of the layout's.
     """
     day = layout.partition_by[0]
     return _replace(
@@ -184,7 +195,8 @@ def replace_days(
         layout,
         F.col(day).between(F.lit(start), F.lit(end)),
         lambda p: start.isoformat() <= p[day] <= end.isoformat(),
-        drop_when_empty=False,
+        drop_when_empty=not keep_when_empty,
+        z_order=z_order,
     )
 
 

@@ -24,7 +24,7 @@ needs_data = pytest.mark.skipif(not Path(DATA).exists(), reason="no test data he
 GIVEN_ONLY = {
     "t_replace_days", "t_replace_seasons", "t_dictionary", "t_pruned_scan", "src_schedule_seasons",
     "src_leaderboard_file", "v_results_json", "r_sync_tables", "v_report_json",
-    "s_wins", "s_losses", "t_replace_atomic", "t_comments", "src_damaged_documents",
+    "s_wins", "s_losses", "t_replace_atomic", "t_comments", "src_damaged_documents", "src_landing_manifest", "t_z_order",
 } | {key for key in QUERIES if key.startswith("m_") and not key.endswith("_all")}
 
 

@@ -708,7 +708,18 @@ FROM pitches WHERE game_type = 'R' AND game_date BETWEEN DATE '2024-05-01' AND D
 GROUP BY game_date"""),
 }
 
+_KEPT = "(game_date NOT BETWEEN DATE '2024-04-02' AND DATE '2024-05-31' OR home_team < 'M')"
 STORE_SQL = {
+    "st_season_lines": _q(f"""
+ SELECT game_year, {_rate('launch_speed >= 98 AND launch_angle BETWEEN 8 AND 50')} AS barrel_rate, count(*) AS batted_balls,
+  round(avg(launch_speed), 6) AS avg_ev FROM pitches WHERE {_HIT} AND {_KEPT} GROUP BY game_year"""),
+    "st_velocity": _q(f"""
+ SELECT pitcher, pitch_type, round(avg(release_speed), 6) AS avg_velo, count(*) AS pitches FROM pitches
+WHERE pitch_type IS NOT NULL AND {_R} AND {_KEPT} GROUP BY pitcher, pitch_type HAVING count(*) >= 50"""),
+    "st_batting_metrics": METRIC_SQL["m_batting_all"].replace("FROM pitches WHERE", f"FROM pitches WHERE {_KEPT} AND"),
+    "st_spin": _q(f"""
+ SELECT pitch_type, round(avg(release_spin_rate), 6) AS avg_spin, count(*) AS pitches, true AS p50_within, true AS p90_within
+FROM pitches WHERE release_spin_rate IS NOT NULL AND {_R} AND {_KEPT} GROUP BY pitch_type"""),
     "src_landing_manifest": _q("""
  SELECT CAST(game_date AS VARCHAR) AS game_date, count(*) AS pitches, CAST(sum(batter) AS BIGINT) AS batters,
   round(sum(CASE WHEN game_year >= 2024 THEN bat_speed END), 6) AS bat_speed, (SELECT count(*) FROM pitches) AS rows_noted, true AS once

@@ -20,7 +20,7 @@ from pitchlake.operators import compare, quality, runs, tables
 from pitchlake.operators.conform import conform, drift
 from pitchlake.operators.dictionary import apply_dictionary
 from pitchlake.operators.versions import Conflict, VersionedTable, days
-from pitchlake.plans import curated, games, metrics, verify
+from pitchlake.plans import curated, games, metrics, states, verify
 from pitchlake.plans.sync import SyncTables, sync
 from pitchlake.sources import documents, manifest
 from pitchlake.sources import leaderboard as boards
@@ -329,6 +329,51 @@ def _z_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+REPLACED = (date(SEASON, 4, 2), MAY[1])
+
+
+def _states(spark: SparkSession, sf_dir: str) -> states.StateTables:
+    """States of all seasons, kept while a span of days was replaced by fewer games."""
+    database, _ = scratch_database(spark)
+    made = states.StateTables(tables.TableName.parse(f"{database}.pitches"))
+    tables.create_table(spark, made.pitches, PITCHES)
+    landed, all_days = _pitches(spark, sf_dir), (date(2022, 1, 1), date(2025, 12, 31))
+    states.replace_days(pitch_batch(landed, *all_days), made, *all_days)
+    fewer = pitch_batch(landed.where(F.col("home_team") < "M"), *REPLACED)
+    states.replace_days(fewer, made, *REPLACED, keep_when_empty=False)
+    return made
+
+
+def _state_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = _states(spark, sf_dir).read(spark, "contact_days")
+    return states.league_barrel_rate(days).join(states.exit_velocity_by_season(days).drop("bbe"), "game_year")
+
+
+def _state_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return states.velocity_by_pitch_type(_states(spark, sf_dir).read(spark, "velocity_days"))
+
+
+def _state_batting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return states.batting_metrics(_states(spark, sf_dir).read(spark, "batter_days"), SEASON, min_n=FLOOR["batter"])
+
+
+def _state_spin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean spin from states, and whether the ranks of both quantiles are within the stated bound."""
+    made = _states(spark, sf_dir)
+    told = states.spin_distribution(made.read(spark, "spin_days"))
+    spins = spark.table(str(made.pitches)).where("release_spin_rate IS NOT NULL").groupBy("pitch_type", "release_spin_rate").count()
+    ranks = spins.join(told, spins["pitch_type"].eqNullSafe(told["pitch_type"])).groupBy(told["pitch_type"], "avg_spin", "pitches")
+
+    def share(quantile: str, condition: str) -> Column:
+        return F.sum(F.when(F.expr(f"release_spin_rate {condition} {quantile}"), F.col("count")).otherwise(0)) / F.col("pitches")
+
+    def within(quantile: str, wanted: float) -> Column:
+        error = states.RANK_ERROR
+        return (share(quantile, "<") <= wanted + error) & (share(quantile, "<=") >= wanted - error)
+
+    return ranks.agg(within("p50", 0.5).alias("p50_within"), within("p90", 0.9).alias("p90_within"))
+
+
 def _replace_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, _ = scratch_database(spark)
     name = tables.TableName.parse(f"{database}.games")
@@ -569,6 +614,10 @@ TABLES: dict[str, Query] = {
     "t_replace_atomic": _replace_atomic,
     "t_comments": _comments,
     "t_z_order": _z_order,
+    "st_season_lines": _state_seasons,
+    "st_velocity": _state_velocity,
+    "st_batting_metrics": _state_batting,
+    "st_spin": _state_spin,
     "t_pruned_scan": _pruned,
     "t_dictionary": _dictionary,
     "r_month_chunks": _month_chunks,

@@ -11,6 +11,7 @@ SPARK_TYPES = {
     "double": T.DoubleType(),
     "string": T.StringType(),
     "boolean": T.BooleanType(),
+    "binary": T.BinaryType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
     "array<string>": T.ArrayType(T.StringType()),

@@ -708,8 +708,12 @@ FROM pitches WHERE game_type = 'R' AND game_date BETWEEN DATE '2024-05-01' AND D
 GROUP BY game_date"""),
 }
 
+_LOST = {"batter": "pitcher % 4 = 0", "zone": "zone = 3", "release_speed": "zone = 5"}
 _KEPT = "(game_date NOT BETWEEN DATE '2024-04-02' AND DATE '2024-05-31' OR home_team < 'M')"
 STORE_SQL = {
+    "d5_lost_values": _q(" SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {bad}) AS lost, count({c}) FILTER (WHERE NOT ({bad})) AS kept FROM pitches"
+        for c, bad in _LOST.items()) + ") WHERE lost > 0"),
     "st_season_lines": _q(f"""
  SELECT game_year, {_rate('launch_speed >= 98 AND launch_angle BETWEEN 8 AND 50')} AS barrel_rate, count(*) AS batted_balls,
   round(avg(launch_speed), 6) AS avg_ev FROM pitches WHERE {_HIT} AND {_KEPT} GROUP BY game_year"""),

@@ -17,7 +17,7 @@ from pitchlake.catalog.games import GAMES, UMPIRES
 from pitchlake.catalog.pitches import PITCHES
 from pitchlake.catalog.support import DICTIONARY, QUARANTINE
 from pitchlake.operators import compare, quality, runs, tables
-from pitchlake.operators.conform import conform, drift
+from pitchlake.operators.conform import conform, drift, lost_values
 from pitchlake.operators.dictionary import apply_dictionary
 from pitchlake.operators.versions import Conflict, VersionedTable, days
 from pitchlake.plans import curated, games, metrics, states, verify
@@ -421,6 +421,18 @@ def _drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _lost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of a batch that landed as text or with fractions and do not fit the table."""
+    landed = _pitches(spark, sf_dir).withColumns({
+        "batter": F.when(F.col("pitcher") % 4 == 0, "9223372036854775808").otherwise(F.col("batter").cast("string")),
+        "zone": F.when(F.col("zone") == 3, 3.5).otherwise(F.col("zone").cast("double")),
+        "release_speed": F.when(F.col("zone") == 5, "n/a").otherwise(F.col("release_speed").cast("string")),
+    })
+    found = conform(landed, PITCHES).agg(*[F.count(c).alias(c) for c in ("batter", "zone", "release_speed")])
+    kept = found.selectExpr("stack(3, 'batter', batter, 'zone', zone, 'release_speed', release_speed) AS (column_name, kept)")
+    return lost_values(landed, PITCHES).where("lost > 0").join(kept, "column_name")
+
+
 def _month_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month chunks of the whole table, with how many pitches each covers."""
     days = _pitches(spark, sf_dir).groupBy("game_date").agg(F.count("*").alias("n"))
@@ -600,6 +612,7 @@ QUALITY: dict[str, Query] = {
     "d3_umpire_rules": _check(_umpires, UMPIRES, "not_null", "valid_range", "valid_values"),
     "d4_duplicates": _over_pitches(quality.duplicates, layout=PITCHES),
     "d5_drift": _drift,
+    "d5_lost_values": _lost,
     "d6_profile": lambda s, d: quality.profile(conform(_pitches(s, d), PITCHES), PITCHES),
     "d7_deprecated": _check(_pitches, PITCHES, "deprecated"),
     "d8_games_without_pitches": lambda s, d: quality.games_without_pitches(

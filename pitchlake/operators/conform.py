@@ -34,20 +34,48 @@ def _converted(source: T.DataType, column: TableColumn) -> str:
     if isinstance(source, (T.DoubleType, T.FloatType)):
         # Frames that came through pandas write a missing number as NaN.
         value = f"if(isnan({name}), NULL, {name})"
+    cast = "CAST"
     if isinstance(source, T.StringType) and column.dtype not in ("string", "array<string>"):
-        value = f"nullif(trim({name}), '')"
+        value, cast = f"nullif(trim({name}), '')", "try_cast"
         if column.dtype == "bigint":
             # A nullable whole number is often landed as "6.0"; a fraction is not cut but null.
-            decimal = f"CAST({value} AS DECIMAL(38, 10))"
+            decimal = f"try_cast({value} AS DECIMAL(38, 10))"
             value = (
                 f"coalesce(try_cast({value} AS BIGINT),"
-                f" if({decimal} = floor({decimal}), CAST({decimal} AS BIGINT), NULL))"
+                f" if({decimal} = floor({decimal}), try_cast({decimal} AS BIGINT), NULL))"
             )
     elif column.dtype == "bigint" and isinstance(source, (T.DoubleType, T.FloatType, T.DecimalType)):
-        value = f"if({value} = floor({name}), {value}, NULL)"
+        value, cast = f"if({value} = floor({name}), {value}, NULL)", "try_cast"
     if value == name and source == SPARK_TYPES[column.dtype]:
         return name
-    return f"CAST({value} AS {column.dtype}) AS {name}"
+    return f"{cast}({value} AS {column.dtype}) AS {name}"
+
+
+def lost_values(frame: DataFrame, layout: TableLayout) -> DataFrame:
+    """Rows (column_name, lost): values that are there in the frame and null in the table.
+
+    These are fractions and numbers beyond a long where a whole number belongs, and texts that are no
+    value of the column's type; empty texts and NaN stand for no value. One pass over the frame.
+    """
+    sources = {f.name: f.dataType for f in frame.schema.fields}
+    inexact = (T.StringType, T.DoubleType, T.FloatType, T.DecimalType)
+    counted = []
+    for c in layout.columns:
+        source = sources.get(c.name)
+        if not isinstance(source, inexact) or (made := _converted(source, c)) == f"`{c.name}`":
+            continue
+        name = "`" + c.name.replace("`", "``") + "`"
+        there = f"nullif(trim({name}), '') IS NOT NULL" if isinstance(source, T.StringType) else (
+            f"{name} IS NOT NULL" + ("" if isinstance(source, T.DecimalType) else f" AND NOT isnan({name})")
+        )
+        value = made.removesuffix(f" AS {name}")
+        counted.append((c.name, f"count_if({there} AND {value} IS NULL)"))
+    if not counted:
+        return frame.sparkSession.createDataFrame([], "column_name string, lost bigint")
+    cells = ", ".join(f"'{name}', c{i}" for i, (name, _) in enumerate(counted))
+    return frame.selectExpr(*[f"{n} AS c{i}" for i, (_, n) in enumerate(counted)]).selectExpr(
+        f"stack({len(counted)}, {cells}) AS (column_name, lost)"
+    )
 
 
 def fractions(frame: DataFrame, layout: TableLayout) -> DataFrame:
@@ -76,8 +104,9 @@ def fractions(frame: DataFrame, layout: TableLayout) -> DataFrame:
 def conform(frame: DataFrame, layout: TableLayout) -> DataFrame:
     """Exactly the layout's columns, in order and type.
 
-    Unknown columns are left out (see ``drift`` for which), missing ones become typed nulls, and so
-    do numbers with a fraction where a whole one belongs (see ``fractions`` for how many).
+    Unknown columns are left out (see ``drift`` for which) and missing ones become typed nulls. So do
+    numbers with a fraction or beyond a long where a whole one belongs, and texts that are no value of
+    the column's type: one bad value never stops a load (see ``lost_values`` for how many there are).
     """
     sources = {f.name: f.dataType for f in frame.schema.fields}
     return frame.selectExpr(*[

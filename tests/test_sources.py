@@ -4,6 +4,7 @@ import copy
 import json
 import os
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pitchlake.catalog.games import GAMES
 from pitchlake.catalog.pitches import PITCHES
-from pitchlake.operators.conform import conform, drift, fractions
+from pitchlake.operators.conform import conform, drift, fractions, lost_values
 from pitchlake.sources import documents as docs
 from pitchlake.sources import leaderboard as boards
 from pitchlake.sources.pitches import (
@@ -373,3 +374,19 @@ def test_standings_of_a_season_in_two_files(spark, rows, tmp_path):
     assert found() == [("ATL", 14), ("PHI", 13), ("SEA", 11)]
     land("wednesday", 3000, cut=line((136, 99))[:40], busy='{"message": "busy"}')
     assert found() == [("ATL", 14), ("PHI", 13), ("SEA", 11)]
+
+
+def test_conform_makes_what_does_not_fit_null_and_counts_it(spark, rows):
+    landed = spark.createDataFrame(
+        [("9223372036854775808", 1e30, "abc", "2024-13-45", Decimal("9223372036854775808"), "1e400x"),
+         ("9223372036854775807", 6.0, " 7.0 ", "2024-05-01", Decimal("5"), "2.5"),
+         ("1e3", float("nan"), "", None, None, " "), (None, None, "6.7", "x", Decimal("-1"), "NaN")],
+        "batter string, inning double, zone string, game_date string, pitcher decimal(20,0), release_speed string",
+    )
+    found = conform(landed, PITCHES).select("batter", "inning", "zone", "pitcher", "release_speed", F.col("game_date").cast("string"))
+    kept = [[r[c] for r in found.collect()] for c in ("batter", "inning", "zone", "pitcher", "game_date")]
+    assert kept == [[None, 2**63 - 1, 1000, None], [None, 6, None, None], [None, 7, None, None], [None, 5, None, -1], [None, "2024-05-01", None, None]]
+    assert dict(tuple(r) for r in lost_values(landed, PITCHES).where("lost > 0").collect()) == {
+        "batter": 1, "inning": 1, "zone": 2, "game_date": 2, "pitcher": 1, "release_speed": 1,
+    }
+    assert lost_values(landed.select(F.lit(1).cast("long").alias("batter")), PITCHES).count() == 0

@@ -711,6 +711,9 @@ GROUP BY game_date"""),
 _LOST = {"batter": "pitcher % 4 = 0", "zone": "zone = 3", "release_speed": "zone = 5"}
 _KEPT = "(game_date NOT BETWEEN DATE '2024-04-02' AND DATE '2024-05-31' OR home_team < 'M')"
 STORE_SQL = {
+    "r_daily_feed": _q("""
+ SELECT CAST(game_date AS VARCHAR) AS game_date, count(*) AS pitches, CAST(sum(batter) AS BIGINT) AS batters,
+  CAST(0 AS INTEGER) AS loaded_again FROM pitches WHERE game_type = 'R' AND game_year = 2024 GROUP BY game_date"""),
     "d5_lost_values": _q(" SELECT * FROM (" + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {bad}) AS lost, count({c}) FILTER (WHERE NOT ({bad})) AS kept FROM pitches"
         for c, bad in _LOST.items()) + ") WHERE lost > 0"),

@@ -20,7 +20,7 @@ from pitchlake.operators import compare, quality, runs, tables
 from pitchlake.operators.conform import conform, drift, lost_values
 from pitchlake.operators.dictionary import apply_dictionary
 from pitchlake.operators.versions import Conflict, VersionedTable, days
-from pitchlake.plans import curated, games, metrics, states, verify
+from pitchlake.plans import curated, feed, games, metrics, states, verify
 from pitchlake.plans.sync import SyncTables, sync
 from pitchlake.sources import documents, manifest
 from pitchlake.sources import leaderboard as boards
@@ -421,6 +421,21 @@ def _drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _daily_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of a season that landed in two parts, of which the second brings late games of many days."""
+    database, location = scratch_database(spark)
+    name, files = (tables.TableName.parse(f"{database}.{n}") for n in ("pitches", "landed_files"))
+    landed = _pitches(spark, sf_dir).where(F.col("game_year") == SEASON)
+    runs_of_days = []
+    for part in (landed.where("game_pk % 3 > 0"), landed.where("game_pk % 3 = 0"), None):
+        if part is not None:
+            part.write.mode("append").parquet(f"{location}/landing")
+        runs_of_days.append(feed.load_new_files(spark, f"{location}/landing", name, files, f"{location}/place"))
+    return spark.table(str(name)).groupBy("game_date").agg(
+        F.count("*").alias("pitches"), F.sum("batter").alias("batters")
+    ).withColumn("loaded_again", F.lit(len(runs_of_days[-1])))
+
+
 def _lost(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values of a batch that landed as text or with fractions and do not fit the table."""
     landed = _pitches(spark, sf_dir).withColumns({
@@ -636,6 +651,7 @@ TABLES: dict[str, Query] = {
     "r_month_chunks": _month_chunks,
     "r_pending_chunks": _pending_chunks,
     "r_sync_tables": _sync,
+    "r_daily_feed": _daily_feed,
 }
 
 

@@ -1,9 +1,9 @@
-"""Near duplicates by n-gram Jaccard similarity: a MinHash LSH forest, then exact verification.
+"""Near duplicates by n-gram Jaccard similarity: MinHash bands in place of an LSH forest, then exact verification.
 
 Every text becomes the set of its 5-word shingles and a signature of ``TREES * DEPTH`` minima, of which
-each tree of the forest takes ``DEPTH`` as a path. Texts that share a path's prefix in a tree become candidates;
-the prefix is shortened from the full path until pairs at the threshold are met in at least one tree
-with the target recall. Texts with equal shingle sets are one class and enter once. Candidates are
+each tree takes ``DEPTH`` as a path. Texts that share the first values of a path become candidates; how many, is
+computed once from threshold and recall, so this is fixed banding: no sorted tries, and nothing is shortened
+while data is read. Texts with equal shingle sets are one class and enter once. Candidates are
 gathered to groups over the prefix buckets by stars, never by pairs; within a group, blocks of a bounded number
 of texts are verified against each other exactly, each pair in one task, and only counts and a spanning
 forest of the links leave it. So a group of any size is spread over tasks and rows stay linear.

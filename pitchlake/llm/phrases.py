@@ -7,8 +7,8 @@ too much through. All that remains is counted in full and compared as text.
 
 In a task the counts are in a HAT-trie: nodes branch by word id over hash containers; a container that
 holds more than ``BURST`` phrases bursts into children by its next word, down to two words. When a trie
-holds more than ``LIMIT`` phrases, its largest subtrees leave whole as sorted runs, and the rest at the end.
-Spark deals the runs by the phrase's prefix and merges them; a prefix is spread over ``SALTS`` places, so
+holds more than ``LIMIT`` phrases (``NAMED_LIMIT`` with their texts), its largest subtrees leave whole as
+sorted runs, and the rest at the end. Spark deals the runs by the phrase's prefix and merges them; a prefix is spread over ``SALTS`` places, so
 that a very common word or pair is not one task's work.
 
 A cut of a candidate, its score and the longer candidates that absorb it come from joins of the frequent
@@ -40,6 +40,7 @@ LEAST = 100
 FIRST = 2000
 BURST = 1 << 14
 LIMIT = 1 << 20
+NAMED_LIMIT = 1 << 18  # where each phrase's text is held beside its count
 FAN = 64  # children of a node: words share one by hash
 DEEPEST = 2
 SALTS = 64
@@ -224,7 +225,7 @@ def _named(batches: Iterator[pa.RecordBatch], filters) -> Iterator[pa.RecordBatc
 
     Words come with a row per language, of size 0, that counts all of them.
     """
-    trie, said, total = HatTrie(), {}, {}
+    trie, said, total = HatTrie(limit=NAMED_LIMIT), {}, {}
     may_word, may_pair = (Filter(x) for x in filters.value) if filters else (None, None)
 
     def rows(runs) -> Iterator[pa.RecordBatch]:

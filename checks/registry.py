@@ -332,10 +332,10 @@ def _z_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 REPLACED = (date(SEASON, 4, 2), MAY[1])
 
 
-def _states(spark: SparkSession, sf_dir: str) -> states.StateTables:
-    """States of all seasons, kept while a span of days was replaced by fewer games."""
+def _states(spark: SparkSession, sf_dir: str, *kept: str) -> states.StateTables:
+    """The given states of all seasons, kept while a span of days was replaced by fewer games."""
     database, _ = scratch_database(spark)
-    made = states.StateTables(tables.TableName.parse(f"{database}.pitches"))
+    made = states.StateTables(tables.TableName.parse(f"{database}.pitches"), kept)
     tables.create_table(spark, made.pitches, PITCHES)
     landed, all_days = _pitches(spark, sf_dir), (date(2022, 1, 1), date(2025, 12, 31))
     states.replace_days(pitch_batch(landed, *all_days), made, *all_days)
@@ -345,21 +345,21 @@ def _states(spark: SparkSession, sf_dir: str) -> states.StateTables:
 
 
 def _state_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = _states(spark, sf_dir).read(spark, "contact_days")
+    days = _states(spark, sf_dir, "contact_days").read(spark, "contact_days")
     return states.league_barrel_rate(days).join(states.exit_velocity_by_season(days).drop("bbe"), "game_year")
 
 
 def _state_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return states.velocity_by_pitch_type(_states(spark, sf_dir).read(spark, "velocity_days"))
+    return states.velocity_by_pitch_type(_states(spark, sf_dir, "velocity_days").read(spark, "velocity_days"))
 
 
 def _state_batting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return states.batting_metrics(_states(spark, sf_dir).read(spark, "batter_days"), SEASON, min_n=FLOOR["batter"])
+    return states.batting_metrics(_states(spark, sf_dir, "batter_days").read(spark, "batter_days"), SEASON, min_n=FLOOR["batter"])
 
 
 def _state_spin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean spin from states, and whether the ranks of both quantiles are within the stated bound."""
-    made = _states(spark, sf_dir)
+    made = _states(spark, sf_dir, "spin_days")
     told = states.spin_distribution(made.read(spark, "spin_days"))
     spins = spark.table(str(made.pitches)).where("release_spin_rate IS NOT NULL").groupBy("pitch_type", "release_spin_rate").count()
     ranks = spins.join(told, spins["pitch_type"].eqNullSafe(told["pitch_type"])).groupBy(told["pitch_type"], "avg_spin", "pitches")

@@ -138,9 +138,10 @@ def batter_days(pitches: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class StateTables:
-    """Where the states are; all lie in the pitch table's database."""
+    """Where the states are, in the pitch table's database, and which of them are kept."""
 
     pitches: TableName
+    kept: tuple[str, ...] = ("contact_days", "velocity_days", "spin_days", "batter_days")
 
     @property
     def made(self) -> list[tuple[TableName, TableLayout, Callable[[DataFrame], DataFrame]]]:
@@ -150,6 +151,7 @@ class StateTables:
                 ("contact_days", CONTACT_DAYS, contact_days), ("velocity_days", VELOCITY_DAYS, velocity_days),
                 ("spin_days", SPIN_DAYS, spin_days), ("batter_days", BATTER_DAYS, batter_days),
             )
+            if name in self.kept
         ]
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:

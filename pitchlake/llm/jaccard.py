@@ -1,12 +1,19 @@
-"""Near duplicates by n-gram Jaccard similarity: MinHash bands in place of an LSH forest, then exact verification.
+"""Near duplicates by n-gram Jaccard similarity: a MinHash LSH forest, then exact verification.
 
 Every text becomes the set of its 5-word shingles and a signature of ``TREES * DEPTH`` minima, of which
-each tree takes ``DEPTH`` as a path. Texts that share the first values of a path become candidates; how many, is
-computed once from threshold and recall, so this is fixed banding: no sorted tries, and nothing is shortened
-while data is read. Texts with equal shingle sets are one class and enter once. Candidates are
-gathered to groups over the prefix buckets by stars, never by pairs; within a group, blocks of a bounded number
-of texts are verified against each other exactly, each pair in one task, and only counts and a spanning
-forest of the links leave it. So a group of any size is spread over tasks and rows stay linear.
+each tree takes ``DEPTH`` as a path. Paths are sorted tree by tree over all tasks, which is the tree's prefix trie in
+sorted order: texts below one node stand next to each other. Matched prefixes are shortened step by step. Each
+text has a depth at which its own trees reach the target recall; fewer trees are worth counting where bins
+without shingles borrow from the same ones. The first step links what shares the longest of these depths,
+and each further step goes one value up for the texts that still need it, until none does.
+
+A text of fewer than ``SHORT`` shingles cannot fill its bins, so pairs with one are found exactly, by a prefix filter:
+of two sets as similar as the threshold, the rarest few shingles of each hold one in common.
+
+Texts with equal shingle sets are one class and enter once. Candidates are gathered to groups by stars, never by
+pairs; within a group, blocks of a bounded number of texts are verified against each other exactly, each
+pair of blocks in one task, and only counts and a spanning forest of the links leave it. A group of N texts takes
+N / ``BLOCK_TEXTS`` copies of each text's shingles, the price of an exact number of links.
 
 Defined results
     Words are runs of anything but white space, A-Z lowered. A text of fewer than five words has one
@@ -35,6 +42,8 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 TREES = 32
 DEPTH = 8
+SHORT = 64
+STEP_BITS = 16  # of a value that a path keeps; equal bits of different values only add candidates
 BLOCK_TEXTS = 512
 BLOCK_SHINGLES = 1 << 19
 BINS = TREES * DEPTH
@@ -71,8 +80,8 @@ _EDGES = np.array([(i << 64) // BINS for i in range(BINS)], np.uint64)
 _PROBES = (mix(np.arange(BINS * 64, dtype=np.uint64) + np.uint64(77)) % np.uint64(BINS)).astype(np.int64).reshape(64, BINS)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """The least shingle of each of the ``BINS`` ranges; an empty range borrows from a fixed order of others."""
+def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least shingle of each of the ``BINS`` ranges, and the range it is from: an empty one borrows from others."""
     at = np.searchsorted(shingles, _EDGES)
     last = np.append(at[1:], len(shingles))
     full = at < last
@@ -85,16 +94,24 @@ def signature(shingles: np.ndarray) -> np.ndarray:
             if not open_.any():
                 break
         source[open_] = np.flatnonzero(full)[0]
-    return shingles[at[source]]
+    return shingles[at[source]], source
+
+
+def _path(minima: np.ndarray) -> np.ndarray:
+    """Each tree's path as two words, its first value in the highest bits."""
+    steps = mix(minima.reshape(TREES, DEPTH)) >> np.uint64(64 - STEP_BITS)
+    shifts = np.arange(DEPTH // 2, dtype=np.uint64)[::-1] * np.uint64(STEP_BITS)
+    return np.bitwise_or.reduce(steps.reshape(TREES, 2, DEPTH // 2) << shifts, axis=2)
 
 
-def _paths(shingles: np.ndarray, depth: int) -> np.ndarray:
-    """Hash of each tree's path down to ``depth``."""
-    steps = signature(shingles).reshape(TREES, DEPTH)
-    value = mix(np.arange(TREES, dtype=np.uint64) + np.uint64(1))
-    for i in range(depth):
-        value = mix(value * np.uint64(0x9E3779B97F4A7C15) + steps[:, i])
-    return value
+def stop_depth(source: np.ndarray, threshold: float, recall: float) -> int:
+    """The longest prefix at which this text's trees, those from the same ranges counted once, reach the recall."""
+    trees = source.reshape(TREES, DEPTH)
+    for depth in range(depth_for(threshold, recall), 1, -1):
+        different = len(np.unique(np.sort(trees[:, :depth], axis=1), axis=0))
+        if 1 - (1 - threshold**depth) ** different >= recall:
+            return depth
+    return 1
 
 
 def fingerprint(shingles: np.ndarray) -> int:
@@ -105,21 +122,102 @@ def fingerprint(shingles: np.ndarray) -> int:
     return int(windows(both, np.zeros(3, int), 3)[0].astype(np.int64)[0])
 
 
-def _sign(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], threshold: float, recall: float) -> Iterator[pa.RecordBatch]:
+    deepest = depth_for(threshold, recall)
     for batch in batches:
         data, offsets = texts(batch.column("text"))
-        prints, sizes, paths = [], [], []
+        prints, sizes, paths, stops, few = [], [], [], [], []
         for first, last in blocks(offsets):
             for s in shingle_sets(data[offsets[first]: offsets[last]], offsets[first: last + 1] - offsets[first]):
                 prints.append(fingerprint(s))
                 sizes.append(len(s))
-                paths.append(_paths(s, depth).astype(np.int64) if len(s) else None)
+                path = stop = None
+                if len(s) >= SHORT:
+                    minima, source = signature(s)
+                    path = _path(minima).tobytes()
+                    own = (source == np.arange(BINS)).all()
+                    stop = deepest if own else stop_depth(source, threshold, recall)
+                paths.append(path)
+                stops.append(stop)
+                few.append(s.astype(np.int64) if 0 < len(s) * threshold < SHORT else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(prints, pa.int64()), pa.array(sizes, pa.int64()), pa.array(paths, pa.list_(pa.int64()))],
-            ["doc_id", "print", "size", "paths"],
+            [
+                batch.column("doc_id"), pa.array(prints, pa.int64()), pa.array(sizes, pa.int64()),
+                pa.array(paths, pa.binary()), pa.array(stops, pa.int32()), pa.array(few, pa.list_(pa.int64())),
+            ],
+            ["doc_id", "print", "size", "paths", "stop", "few"],
         )
 
 
+def _branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each tree of each class."""
+    for batch in batches:
+        rows = batch.num_rows
+        words = np.frombuffer(b"".join(batch.column("paths").to_pylist()), np.int64).reshape(rows * TREES, 2)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.tile(np.arange(TREES, dtype=np.int32), rows)), pa.array(words[:, 0].copy()),
+                pa.array(words[:, 1].copy()), pa.array(np.repeat(batch.column("print").to_numpy(), TREES)),
+                pa.array(np.repeat(batch.column("stop").to_numpy(), TREES)),
+            ],
+            ["tree", "high", "low", "print", "stop"],
+        )
+
+
+def _masks(depth: int) -> tuple[int, int]:
+    """What the first ``depth`` values of a path take up of its two words, as signed longs."""
+    every = (1 << 64) - 1
+    half = DEPTH // 2
+    signed = [
+        (every << (64 - STEP_BITS * n)) & every if n else 0 for n in (min(depth, half), max(depth - half, 0))
+    ]
+    return tuple(m - (1 << 64) if m >> 63 else m for m in signed)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
+    """Of sorted paths, an edge (u, v) from each to the first of its run with equal prefix.
+
+    The first and the last row come with their prefixes and no v, since their runs may go on in another task.
+    """
+    high_mask, low_mask = _masks(depth)
+    before = None  # prefix and first print of the open run
+    final = None
+
+    def rows(u, v, key):
+        n = len(u)
+        given = np.full(n, key is not None)
+        tree, high, low = key or (0, 0, 0)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(u, pa.int64()), pa.array(v, pa.int64(), mask=given),
+                *(pa.array(np.full(n, x), t, mask=~given) for x, t in ((tree, pa.int32()), (high, pa.int64()), (low, pa.int64()))),
+            ],
+            ["u", "v", "tree", "high", "low"],
+        )
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        tree = batch.column("tree").to_numpy()
+        high = batch.column("high").to_numpy() & np.int64(high_mask)
+        low = batch.column("low").to_numpy() & np.int64(low_mask)
+        prints = batch.column("print").to_numpy()
+        new = np.append(True, (tree[1:] != tree[:-1]) | (high[1:] != high[:-1]) | (low[1:] != low[:-1]))
+        start = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        first = prints[start]
+        key = (int(tree[0]), int(high[0]), int(low[0]))
+        if before is None:
+            yield rows(prints[:1], prints[:1], key)
+        elif before[0] == key:
+            first = np.where(start == 0, before[1], first)
+        linked = first != prints
+        yield rows(prints[linked], first[linked], None)
+        before = ((int(tree[-1]), int(high[-1]), int(low[-1])), first[-1])
+        final = prints[-1:]
+    if before is not None:
+        yield rows(final, final, before[0])
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = texts(batch.column("text"))
@@ -209,19 +307,22 @@ def near_duplicates(
 
 def _told(documents: DataFrame, threshold: float, recall: float, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(doc_id, print, size) of each row, and (print, root, class_id, copy_id, n_links) of each shingle set."""
-    depth = depth_for(threshold, recall)
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     signed = written(
-        rows.mapInArrow(lambda b: _sign(b, depth), f"doc_id {kind}, print long, size long, paths array<long>"), "jaccard-signed"
+        rows.mapInArrow(
+            lambda b: _sign(b, threshold, recall),
+            f"doc_id {kind}, print long, size long, paths binary, stop int, few array<long>",
+        ), "jaccard-signed"
     )
     classes = written(
         signed.where("size > 0").groupBy("print").agg(
             F.count("*").alias("copies"), F.min("doc_id").alias("copy_id"), F.max("size").alias("size"),
-            F.first("paths").alias("paths"),
+            F.first("paths").alias("paths"), F.first("stop").alias("stop"), F.first("few").alias("few"),
         ), "jaccard-classes",
     )
-    groups = written(components(_candidates(classes)), "jaccard-groups")
+    edges = _forest_edges(classes, depth_for(threshold, recall)).unionByName(_short_edges(classes, threshold))
+    groups = written(components(edges.distinct()), "jaccard-groups")
     found = written(_links(rows, classes, groups, threshold, kind), "jaccard-links")
     counts = written(found.groupBy("print").agg(F.sum("links").alias("links")), "jaccard-counts")
     roots = components(found.select(F.col("print").alias("u"), F.col("root").alias("v")))
@@ -236,16 +337,62 @@ def _told(documents: DataFrame, threshold: float, recall: float, doc_id: str, te
     return signed, told
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
-    """Edges (u, v) from each class to the least of its bucket, for buckets of two or more."""
-    placed = classes.select("print", F.explode("paths").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(F.min("print").alias("v"), F.max("print").alias("w")).where("v <> w")
-    shared = written(shared.select("bucket", "v"), "jaccard-buckets")
-    return placed.join(shared, "bucket").select(F.col("print").alias("u"), "v").where("u <> v").distinct()
+def _stars(placed: DataFrame, *key: str) -> DataFrame:
+    """Edges (u, v) from each print to the least with its key, for keys of two or more."""
+    shared = placed.groupBy(*key).agg(F.min("print").alias("v"), F.max("print").alias("w")).where("v <> w")
+    shared = written(shared.drop("w"), "jaccard-buckets")
+    return placed.join(shared, list(key)).select(F.col("print").alias("u"), "v").where("u <> v")
+
+
+def _forest_edges(classes: DataFrame, depth: int) -> DataFrame:
+    """Edges between classes that share a prefix as long as the shorter of their stops, over all trees."""
+    branches = classes.where("paths IS NOT NULL").select("print", "stop", "paths").mapInArrow(
+        _branches, "tree int, high long, low long, print long, stop int"
+    )
+    branches = written(branches, "jaccard-branches")
+    # Ranges end anywhere, also within a run of equal paths, so that none is hot.
+    order = ["tree", "high", "low", "print"]
+    runs = branches.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+        lambda b: _runs(b, depth), "u long, v long, tree int, high long, low long"
+    )
+    runs = written(runs, "jaccard-runs")
+    ends = runs.where("v IS NULL").select(F.col("u").alias("print"), "tree", "high", "low")
+    edges = runs.where("v IS NOT NULL").select("u", "v").unionByName(_stars(ends, "tree", "high", "low"))
+    for shorter in range(depth - 1, 0, -1):
+        high_mask, low_mask = _masks(shorter)
+        placed = branches.select(
+            "print", "stop", "tree", F.col("high").bitwiseAND(F.lit(high_mask)).alias("high"),
+            F.col("low").bitwiseAND(F.lit(low_mask)).alias("low"),
+        )
+        nodes = placed.where(F.col("stop") <= shorter).select("tree", "high", "low").distinct()
+        nodes = written(nodes, "jaccard-nodes")
+        if nodes.isEmpty():
+            break
+        edges = edges.unionByName(_stars(placed.join(nodes, ["tree", "high", "low"]), "tree", "high", "low"))
+    return edges
+
+
+def _short_edges(classes: DataFrame, threshold: float) -> DataFrame:
+    """Edges that lead together all similar pairs of which one has fewer than ``SHORT`` shingles.
+
+    Shingles are ordered by the number of sets that hold them. Those of one set only fill the front of
+    the order, so texts around a common passage do not meet by it.
+    """
+    each = classes.where("few IS NOT NULL").select("print", "size", F.explode("few").alias("shingle"))
+    common = written(each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "jaccard-common")
+    held = each.join(common, "shingle").groupBy("print", "size").agg(
+        F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("held")
+    )
+    length = F.col("size") - F.ceil(F.col("size") * F.lit(threshold) - 1e-9) + 1
+    front = F.greatest(length - (F.col("size") - F.size("held")), F.lit(0)).cast("int")
+    placed = written(
+        held.select("print", F.explode(F.slice("held", F.lit(1), front)).alias("x")).select("print", "x.shingle"), "jaccard-fronts"
+    )
+    return _stars(placed, "shingle")
 
 
 def _links(rows: DataFrame, classes: DataFrame, groups: DataFrame, threshold: float, kind: str) -> DataFrame:
-    members = groups.withColumnRenamed("id", "print").join(classes.drop("paths"), "print")
+    members = groups.withColumnRenamed("id", "print").join(classes.drop("paths", "stop", "few"), "print")
     members = written(members, "jaccard-members")
     # A group is dealt to so many blocks that each holds a bounded number of texts and shingles.
     parts = written(members.groupBy("root").agg(

@@ -60,6 +60,78 @@ def test_groups_beyond_a_block_lose_no_link(documents, monkeypatch):
     assert sorted(map(tuple, found), key=repr) == jaccard_brute(pairs)
 
 
+def short_copies(seed: int, groups: int) -> list[tuple]:
+    """Texts of 4 to 90 words, their ends changed so that similarities lie on both sides of the threshold."""
+    rng, rows = random.Random(seed), []
+    for g in range(groups):
+        words = prose(seed + g, rng.choice([4, 5, 6, 8, 9, 10, 12, 14, 20, 40, 66, 67, 70, 80, 90])).split()
+        for _ in range(4):
+            cut = rng.randint(0, max(len(words) // 5, 1))
+            rows.append((len(rows), " ".join([*words[cut:], *(f"w{rng.randint(0, 2)}" for _ in range(rng.randint(0, 2)))])))
+    return rows
+
+
+def test_short_texts_lose_no_link(documents):
+    # A line that half of all texts hold may not bring them together, nor hide the links that they have.
+    line = "all rights reserved by the owner of this text"
+    pairs = [(i, f"{t} {line}" if i % 2 else t) for i, t in short_copies(300, 150)]
+    found = jaccard.near_duplicates(documents(pairs)).select("doc_id", "class_id", "n_links").collect()
+    brute = jaccard_brute(pairs)
+    assert sorted(map(tuple, found), key=repr) == brute
+    assert sum(n for _, _, n in brute) > 100
+
+
+def test_common_lines_alone_make_no_candidates(documents, spark):
+    line = prose(900, 14)
+    pairs = [(i, f"{prose(i + 1, 30)} {line}") for i in range(60)]
+    sets = [np.unique(s) for s in jaccard.shingle_sets(*jaccard.texts(documents(pairs).toArrow().combine_chunks().column("text").chunk(0)))]
+    rows = [(jaccard.fingerprint(s), len(s), s.astype(np.int64).tolist()) for s in sets]
+    classes = spark.createDataFrame(rows, "print long, size long, few array<long>")
+    assert jaccard._short_edges(classes, 0.8).count() == 0
+
+
+def test_stop_is_shorter_where_trees_share_their_ranges():
+    every = np.arange(jaccard.BINS)
+    assert jaccard.stop_depth(every, 0.8, 0.9999) == jaccard.depth_for(0.8, 0.9999)
+    half = np.tile(every[: jaccard.BINS // 2], 2)
+    found = jaccard.stop_depth(half, 0.8, 0.9999)
+    assert 1 < found < jaccard.depth_for(0.8, 0.9999) and 1 - (1 - 0.8**found) ** (jaccard.TREES // 2) >= 0.9999
+    assert jaccard.stop_depth(np.zeros(jaccard.BINS, int), 0.8, 0.9999) == 1
+
+
+@pytest.mark.parametrize("ranges", ["1", "7"])
+def test_prefixes_are_shortened_step_by_step(spark, ranges):
+    """Edges link exactly what shares a prefix of the shorter stop, also across ranges of the sort."""
+    rng, depth = random.Random(3), 6
+    minima = {p: np.array([rng.randrange(3) for _ in range(jaccard.BINS)], np.uint64) for p in range(-20, 20)}
+    for p in range(1, 6):  # long common prefixes in one tree
+        minima[p][:8] = minima[0][:8]
+    stops = {p: rng.choice([6, 6, 6, 5, 4]) for p in minima}
+    rows = [(p, stops[p], bytearray(jaccard._path(m).tobytes())) for p, m in minima.items()]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    try:
+        edges = jaccard._forest_edges(spark.createDataFrame(rows, "print long, stop int, paths binary"), depth)
+        roots = {r["id"]: r["root"] for r in graph.components(edges).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    near = {p: {p} for p in minima}
+    for t in range(jaccard.TREES):
+        path = {p: tuple(m.reshape(jaccard.TREES, -1)[t]) for p, m in minima.items()}
+        for p in minima:
+            for q in minima:
+                d = min(stops[p], stops[q])
+                if path[p][:d] == path[q][:d]:
+                    near[p].add(q)
+    for p in minima:
+        seen, todo = {p}, [p]
+        while todo:
+            for q in near[todo.pop()] - seen:
+                seen.add(q)
+                todo.append(q)
+        assert roots.get(p, p) == min(seen)
+
+
 def test_one_document_of_each_class_stays(documents):
     pairs = edge_texts() + near_copies(2, 5)
     frame = documents(pairs)

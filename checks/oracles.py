@@ -727,6 +727,20 @@ WHERE pitch_type IS NOT NULL AND {_R} AND {_KEPT} GROUP BY pitcher, pitch_type H
     "st_spin": _q(f"""
  SELECT pitch_type, round(avg(release_spin_rate), 6) AS avg_spin, count(*) AS pitches, true AS p50_within, true AS p90_within
 FROM pitches WHERE release_spin_rate IS NOT NULL AND {_R} AND {_KEPT} GROUP BY pitch_type"""),
+    "st_pitch_tempo": _q(f"""
+ SELECT pitcher, count(*) AS pitches, count(DISTINCT game_pk) AS games,
+  round(count(*) / CAST(nullif(count(DISTINCT game_pk), 0) AS DOUBLE), 6) AS pitches_per_game
+FROM pitches WHERE {_R} AND {_KEPT} GROUP BY pitcher"""),
+    "t_by_game": _q("""
+ SELECT 'umpire' AS kind, u.umpire_id AS id, count(DISTINCT p.game_pk) AS games, count(*) AS pitches
+FROM pitches p LEFT JOIN (SELECT game_pk, umpire_id FROM umpires WHERE position = 'HP') u USING (game_pk) GROUP BY u.umpire_id
+UNION ALL SELECT 'game', game_pk, 1, 0 FROM games
+WHERE status_code = 'F' AND game_type IN ('R', 'D') AND game_pk NOT IN (SELECT game_pk FROM pitches WHERE game_type = 'R')""",
+                    UMPIRES_SQL, GAMES_SQL),
+    "t_point_lookup": _q("""
+, year AS (SELECT * FROM pitches WHERE game_type = 'R' AND game_year = 2024)
+SELECT pitcher, batter, count(*) AS pitches, round(avg(release_speed), 6) AS release_speed FROM year
+WHERE pitcher IN (SELECT pitcher FROM year GROUP BY pitcher ORDER BY count(*) DESC, pitcher LIMIT 3) GROUP BY ALL"""),
     "src_landing_manifest": _q("""
  SELECT CAST(game_date AS VARCHAR) AS game_date, count(*) AS pitches, CAST(sum(batter) AS BIGINT) AS batters,
   round(sum(CASE WHEN game_year >= 2024 THEN bat_speed END), 6) AS bat_speed, (SELECT count(*) FROM pitches) AS rows_noted, true AS once

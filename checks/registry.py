@@ -16,7 +16,7 @@ from pitchlake.catalog.columns import TableLayout
 from pitchlake.catalog.games import GAMES, UMPIRES
 from pitchlake.catalog.pitches import PITCHES
 from pitchlake.catalog.support import DICTIONARY, QUARANTINE
-from pitchlake.operators import compare, quality, runs, tables
+from pitchlake.operators import colocate, compare, quality, runs, tables
 from pitchlake.operators.conform import conform, drift, lost_values
 from pitchlake.operators.dictionary import apply_dictionary
 from pitchlake.operators.versions import Conflict, VersionedTable, days
@@ -353,6 +353,47 @@ def _state_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return states.velocity_by_pitch_type(_states(spark, sf_dir, "velocity_days").read(spark, "velocity_days"))
 
 
+def _state_tempo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return states.pitch_tempo(_states(spark, sf_dir, "game_days").read(spark, "game_days"))
+
+
+def _by_game(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Work of the plate umpires and finished games, from tables that lie by game, for each kind of game."""
+    database, _ = scratch_database(spark)
+    seasons, buckets = range(2022, 2026), 16
+    made = {}
+    for kind, layout, frame in (
+        ("pitches", colocate.pitches_by_game(buckets), _pitches(spark, sf_dir)),
+        ("umpires", colocate.umpires_by_game(buckets), colocate.with_season(_umpires(spark, sf_dir))),
+        ("games", colocate.games_by_game(buckets), _games(spark, sf_dir)),
+    ):
+        name = tables.TableName.parse(f"{database}.{kind}")
+        tables.create_table(spark, name, layout)
+        tables.replace_seasons(frame, name, layout, seasons)
+        made[kind] = spark.table(str(name))
+    missing = quality.games_without_pitches(made["games"], made["pitches"].where(F.col("game_type") == "R"), ("R", "D"))
+    work = games.plate_umpire_workload(made["pitches"], made["umpires"])
+    return work.select(
+        F.lit("umpire").alias("kind"), F.col("umpire_id").alias("id"), "games", "pitches"
+    ).unionByName(missing.select(
+        F.lit("game").alias("kind"), F.col("game_pk").alias("id"), F.lit(1).cast("long").alias("games"), F.lit(0).cast("long").alias("pitches")
+    ))
+
+
+def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What some pitchers threw to some batters, looked up in a table whose files hold filters of both."""
+    database, _ = scratch_database(spark)
+    name = tables.TableName.parse(f"{database}.pitches")
+    tables.create_table(spark, name, PITCHES)
+    year = (date(SEASON, 1, 1), date(SEASON, 12, 31))
+    tables.replace_days(pitch_batch(_pitches(spark, sf_dir), *year), name, PITCHES, *year)
+    table = spark.table(str(name))
+    some = [r[0] for r in table.groupBy("pitcher").count().orderBy(F.desc("count"), "pitcher").limit(3).collect()]
+    return table.where(F.col("pitcher").isin(some)).groupBy("pitcher", "batter").agg(
+        F.count("*").alias("pitches"), F.avg("release_speed").alias("release_speed")
+    )
+
+
 def _state_batting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return states.batting_metrics(_states(spark, sf_dir, "batter_days").read(spark, "batter_days"), SEASON, min_n=FLOOR["batter"])
 
@@ -646,6 +687,9 @@ TABLES: dict[str, Query] = {
     "st_velocity": _state_velocity,
     "st_batting_metrics": _state_batting,
     "st_spin": _state_spin,
+    "st_pitch_tempo": _state_tempo,
+    "t_by_game": _by_game,
+    "t_point_lookup": _lookup,
     "t_pruned_scan": _pruned,
     "t_dictionary": _dictionary,
     "r_month_chunks": _month_chunks,

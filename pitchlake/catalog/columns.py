@@ -68,19 +68,26 @@ class Column:
 
 @dataclass(frozen=True)
 class TableLayout:
-    """Columns of a table plus how its files are split and ordered."""
+    """Columns of a table plus how its files are split and ordered.
+
+    ``lookup_by`` names columns whose files hold Bloom filters; ``buckets`` a column and the number of
+    buckets that its hash deals rows to, so that tables alike join on it without a shuffle.
+    """
 
     columns: tuple[Column, ...]
     comment: str
     partition_by: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
     key: tuple[str, ...] = field(default=())
+    lookup_by: tuple[str, ...] = ()
+    buckets: tuple[str, int] | None = None
 
     def __post_init__(self) -> None:
         names = self.names
         if len(names) != len(set(names)):
             raise ValueError("column names must be unique")
-        unknown = {*self.partition_by, *self.cluster_by, *self.key} - set(names)
+        unknown = {*self.partition_by, *self.cluster_by, *self.key, *self.lookup_by} - set(names)
+        unknown |= {self.buckets[0]} - set(names) if self.buckets else set()
         if unknown:
             raise ValueError(f"layout refers to unknown columns {sorted(unknown)}")
 

@@ -265,4 +265,5 @@ PITCHES = TableLayout(
     partition_by=("game_date",),
     cluster_by=("home_team", "away_team", "game_pk"),
     key=("game_pk", "at_bat_number", "pitch_number"),
+    lookup_by=("pitcher", "batter"),
 )

@@ -49,6 +49,15 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def file_options(layout: TableLayout) -> dict[str, str]:
+    """Options of the table's Parquet files.
+
+    A file holds the Bloom filter of a column only where its dictionary does not list all values, as
+    readers skip row groups by a whole dictionary in the same way.
+    """
+    return {f"parquet.bloom.filter.enabled#{c}": "true" for c in layout.lookup_by}
+
+
 def create_table(
     spark: SparkSession, name: TableName, layout: TableLayout, location: str | None = None
 ) -> bool:
@@ -59,9 +68,12 @@ def create_table(
         f"`{c.name}` {c.dtype} COMMENT {_quoted(c.description)}" for c in layout.columns
     )
     split = ", ".join(f"`{c}`" for c in layout.partition_by)
+    options = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in file_options(layout).items())
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING parquet"
+        + (f" OPTIONS ({options})" if options else "")
         + (f" PARTITIONED BY ({split})" if split else "")
+        + (f" CLUSTERED BY (`{layout.buckets[0]}`) INTO {layout.buckets[1]} BUCKETS" if layout.buckets else "")
         + (f" LOCATION {_quoted(location)}" if location else "")
         + f" COMMENT {_quoted(layout.comment)}"
     )
@@ -134,7 +146,12 @@ def laid_out(
     )
     # Rebalance gathers a partition's rows into few files, and splits a partition that is too big
     # for one task; the sort then makes row-group statistics useful for the clustering columns.
-    rows = rows.hint("rebalance", *[F.col(c) for c in layout.partition_by])
+    # Of a bucketed table, a bucket's rows are gathered instead; one that is too big has several files.
+    if layout.buckets:
+        key, count = layout.buckets
+        rows = rows.withColumn("_bucket", F.pmod(F.hash(key), F.lit(count))).hint("rebalance", "_bucket").drop("_bucket")
+    else:
+        rows = rows.hint("rebalance", *[F.col(c) for c in layout.partition_by])
     # Counted while writing, after the shuffle. The set holds partition values, not rows: at most
     # one entry per partition of the slice.
     seen = Observation()

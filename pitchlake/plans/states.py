@@ -61,6 +61,15 @@ SPIN_DAYS = TableLayout(
     comment="Spin rates, one row per day and kind of pitch.", partition_by=("game_date",),
     key=("game_date", "game_year", "pitch_type"),
 )
+GAME_DAYS = TableLayout(
+    columns=(
+        *_DAY, TableColumn("pitcher", "bigint", ("identifier",), "Pitcher."),
+        TableColumn("bucket", "bigint", ("identifier",), "Which range of game ids the bitmap is about."),
+        *_sums(pitches=("bigint", "Pitches."), games=("binary", "Bitmap of the games, by place in the bucket.")),
+    ),
+    comment="Games pitched in, one row per day, pitcher and range of game ids.", partition_by=("game_date",),
+    cluster_by=("pitcher",), key=("game_date", "game_year", "pitcher", "bucket"),
+)
 
 
 def _worth() -> Column:
@@ -136,12 +145,22 @@ def batter_days(pitches: DataFrame) -> DataFrame:
     return _regular(pitches).groupBy("game_date", "game_year", "batter").agg(*halves)
 
 
+def game_days(pitches: DataFrame) -> DataFrame:
+    """Outings are counted first, by hash; only these are sorted into bitmaps."""
+    outings = _regular(pitches).groupBy("game_date", "game_year", "pitcher", "game_pk").agg(F.count("*").alias("n"))
+    return outings.groupBy(
+        "game_date", "game_year", "pitcher", F.bitmap_bucket_number("game_pk").alias("bucket")
+    ).agg(
+        F.sum("n").alias("pitches"), F.bitmap_construct_agg(F.bitmap_bit_position("game_pk")).alias("games"),
+    )
+
+
 @dataclass(frozen=True)
 class StateTables:
     """Where the states are, in the pitch table's database, and which of them are kept."""
 
     pitches: TableName
-    kept: tuple[str, ...] = ("contact_days", "velocity_days", "spin_days", "batter_days")
+    kept: tuple[str, ...] = ("contact_days", "velocity_days", "spin_days", "batter_days", "game_days")
 
     @property
     def made(self) -> list[tuple[TableName, TableLayout, Callable[[DataFrame], DataFrame]]]:
@@ -150,6 +169,7 @@ class StateTables:
             for name, layout, make in (
                 ("contact_days", CONTACT_DAYS, contact_days), ("velocity_days", VELOCITY_DAYS, velocity_days),
                 ("spin_days", SPIN_DAYS, spin_days), ("batter_days", BATTER_DAYS, batter_days),
+                ("game_days", GAME_DAYS, game_days),
             )
             if name in self.kept
         ]
@@ -214,6 +234,16 @@ def spin_distribution(days: DataFrame) -> DataFrame:
     ).orderBy(F.desc("avg_spin"), "pitch_type")
 
 
+def pitch_tempo(days: DataFrame) -> DataFrame:
+    """Pitches per game; a game that goes on on another day counts once, as its bit does."""
+    merged = days.groupBy("pitcher", "bucket").agg(
+        F.sum("pitches").alias("pitches"), F.bitmap_count(F.bitmap_or_agg("games")).alias("games")
+    )
+    return merged.groupBy("pitcher").agg(
+        F.sum("pitches").alias("pitches"), F.sum("games").alias("games")
+    ).withColumn("pitches_per_game", F.try_divide("pitches", "games")).orderBy(F.desc("pitches_per_game"), "pitcher")
+
+
 def batting_metrics(
     days: DataFrame, season: int, names: Sequence[str] = tuple(_HALVES), min_n: int | None = None
 ) -> DataFrame:

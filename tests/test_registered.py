@@ -26,6 +26,7 @@ GIVEN_ONLY = {
     "src_leaderboard_file", "v_results_json", "r_sync_tables", "v_report_json",
     "s_wins", "s_losses", "t_replace_atomic", "t_comments", "src_damaged_documents", "src_landing_manifest", "t_z_order",
     "st_season_lines", "st_velocity", "st_batting_metrics", "st_spin", "r_daily_feed",
+    "st_pitch_tempo", "t_by_game", "t_point_lookup",
 } | {key for key in QUERIES if key.startswith("m_") and not key.endswith("_all")}
 
 

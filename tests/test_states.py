@@ -44,6 +44,7 @@ def check(spark, where, rows):
     assert rows(states.exit_velocity_by_season(contact)) == rows(curated.exit_velocity_by_season(table))
     velocity = where.read(spark, "velocity_days")
     assert rows(states.velocity_by_pitch_type(velocity, 10)) == rows(curated.velocity_by_pitch_type(table, 10))
+    assert rows(states.pitch_tempo(where.read(spark, "game_days"))) == rows(curated.pitch_tempo(table))
     names = metrics.metrics_of("batter")
     batting = states.batting_metrics(where.read(spark, "batter_days"), 2024, names, 1).withColumn("value", F.round("value", 9))
     assert rows(batting) == rows(metrics.player_metrics(table, names, 2024, 1).withColumn("value", F.round("value", 9)))
@@ -75,6 +76,17 @@ def test_states_equal_a_scan(spark, table, rows):
     assert days and not any(WEEK[0] <= d <= WEEK[1] for d in days)
 
 
+def test_games_of_any_id_are_counted_once(spark, rows):
+    ids = [None, 0, -5, 5, 32768, 32769, 2**40, -(2**40), 5, None]
+    frame = pitches(spark, *[
+        {"game_pk": g, "game_date": date(2024, 4, 1 + i % 3), "pitcher": i % 2, "at_bat_number": i}
+        for i, g in enumerate(ids * 3)
+    ])
+    days = states.game_days(frame)
+    assert rows(states.pitch_tempo(days)) == rows(curated.pitch_tempo(frame))
+    assert states.pitch_tempo(states.game_days(frame.where("false"))).count() == 0
+
+
 def test_unknown_metrics_are_refused(spark):
     with pytest.raises(ValueError, match="no state"):
         states.batting_metrics(spark.range(1), 2024, ["wins"])

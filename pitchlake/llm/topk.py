@@ -1,7 +1,8 @@
 """Exact top-k search by integer inner product: tiles, partial selection, tree merging.
 
-Queries come in blocks of at most ``QUERY_BLOCK`` vectors, each block broadcast in turn (its size is
-fixed); candidates stay where they are read. A task multiplies a block with tiles of its candidates,
+Queries come in blocks of about ``QUERY_BLOCK`` vectors, each block broadcast in turn (its size is
+fixed); the lists of a block are written before the next one comes, so the driver and the executors hold one
+block at a time. Candidates stay where they are read. A task multiplies a block with tiles of its candidates,
 keeps the best k of each query over all its tiles, and the short lists meet in two levels.
 
 Defined results
@@ -15,6 +16,7 @@ Defined results
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitchlake.llm.store import written
+
 QUERY_BLOCK = 4096
 TILE = 4096
 SCALE = 256
@@ -44,14 +48,21 @@ def prepared(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 
 def whole(vectors: np.ndarray) -> np.ndarray:
-    """floor(256 * x) of each component: whole numbers held as doubles."""
-    return np.floor(vectors * SCALE)
+    """floor(256 * x) of each component: whole numbers held as doubles, or as Python ints beyond these."""
+    if np.abs(vectors).max(initial=0) < np.finfo(float).max / SCALE:
+        return np.floor(vectors * SCALE)
+    # A double that large is a whole number itself.
+    exact = np.vectorize(lambda x: int(x) * SCALE if abs(x) >= EXACT else math.floor(x * SCALE), otypes=[object])
+    return exact(vectors)
 
 
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Inner products of whole numbers, exact: as doubles if these hold them, else as Python ints."""
-    if not len(q) or not len(c) or np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * max(q.shape[1], 1) < EXACT:
+    if not len(q) or not len(c):
         return q @ c.T
+    if q.dtype != object and c.dtype != object:
+        if float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(q.shape[1], 1) < EXACT:
+            return q @ c.T
     exact = np.vectorize(int, otypes=[object])
     return exact(q) @ exact(c).T
 
@@ -116,8 +127,14 @@ def exact_top_k(
     count = max(1, -(-total // query_block))
     for block in range(count):
         mine = asked.where(F.pmod(F.xxhash64("id"), F.lit(count)) == block) if count > 1 else asked
-        held = [(r["id"], r["v"]) for r in mine.collect()]  # a block of the stated queries
-        part = rows.mapInArrow(_search(spark.sparkContext.broadcast(held), k), PARTIAL)
+        packed = mine.toArrow().combine_chunks()  # a block of the stated queries
+        held = spark.sparkContext.broadcast({
+            n: (ids, vectors) for batch in packed.to_batches() for n, ids, vectors in _matrix(batch)
+        })
+        part = rows.mapInArrow(_search(held, k), PARTIAL)
+        if count > 1:
+            part = written(part, "topk-block")
+            held.unpersist()
         made = part if made is None else made.unionByName(part)
     return merged(made, k)
 
@@ -129,13 +146,7 @@ def _search(held, k: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        by_size: dict[int, list] = {}
-        for i, v in held.value:
-            by_size.setdefault(len(v), []).append((i, v))
-        best = {
-            n: Best(np.array([i for i, _ in x]), whole(np.array([v for _, v in x]).reshape(len(x), n)), k)
-            for n, x in by_size.items()
-        }
+        best = {n: Best(ids, whole(vectors), k) for n, (ids, vectors) in held.value.items()}
         for batch in batches:
             for n, ids, vectors in _matrix(batch):
                 if n in best:

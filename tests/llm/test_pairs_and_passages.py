@@ -299,6 +299,14 @@ def topk_brute(rows, k):
     return sorted(out)
 
 
+def test_huge_components_stay_exact(spark):
+    rows = [(0, [7e305, 0.0]), (50, [1.0, 0.0]), (1, [0.0, 1.5]), (2, [-7e305, 0.0]), (3, [-1e300, 2.0]), (100, [0.0, 0.25])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.exact_top_k(frame, frame.where("vec_id = 100"), 3)
+    assert [(r["vec_id"], r["score"]) for r in found.orderBy("rank").collect()] == [(3, 512 * 64), (1, 384 * 64), (0, 0)]
+    assert topk.whole(np.array([[7e305, -0.5]])).tolist() == [[int(7e305) * 256, -128]]
+
+
 def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "TILE", 16)
     rng = random.Random(2)

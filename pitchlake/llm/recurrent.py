@@ -180,16 +180,22 @@ class Trainer:
         """Words of whole texts, each closed by ``end``; the stream is laid out in lanes."""
         self.seen += len(words)
         lanes = max(1, min(self.lanes, len(words) // STEPS))
-        length = len(words) // lanes
-        target = words[: lanes * length].reshape(lanes, length).T
-        inputs = np.empty_like(target)
-        inputs[1:] = target[:-1]
-        inputs[0] = np.append(end, words[length - 1: (lanes - 1) * length: length]) if lanes > 1 else end
+        length, extra = divmod(len(words), lanes)
+        # The first lanes are one word longer, so that no word is left over.
+        start = np.arange(lanes) * length + np.minimum(np.arange(lanes), extra)
+        before = np.append(end, words).astype(words.dtype)  # of each word
         h = np.zeros((lanes, HIDDEN), np.float32)
         for t in range(0, length, STEPS):
-            x = inputs[t: t + STEPS]
-            grad, h = self.model.gradient(h, x, (x != end).astype(np.float32), target[t: t + STEPS])
-            self._update(grad)
+            h = self._window(h, start + np.arange(t, min(t + STEPS, length))[:, None], words, before, end)
+        if extra:
+            self._window(h[:extra], start[None, :extra] + length, words, before, end)
+
+    def _window(self, h: np.ndarray, at: np.ndarray, words: np.ndarray, before: np.ndarray, end: int) -> np.ndarray:
+        """Learn the words at the given places (steps by lanes); the state after them."""
+        x = before[at]
+        grad, h = self.model.gradient(h, x, (x != end).astype(np.float32), words[at])
+        self._update(grad)
+        return h
 
     def _update(self, grad: np.ndarray) -> None:
         size = float(np.linalg.norm(grad))

@@ -308,8 +308,9 @@ def encode(
     """The rows of ``documents`` with an array of piece ids more.
 
     With ``checked`` a boolean column of that name tells whether the pieces decode to the text (null: yes).
-    Without ``keep_text`` the text column is left out.
+    Without ``keep_text`` the text column is left out. A column that already has one of these names is replaced.
     """
+    documents = _without(documents, text, column, checked)
     kept = [f for f in documents.schema.fields if keep_text or f.name != text]
     more = [T.StructField(column, T.ArrayType(T.IntegerType()))]
     more += [T.StructField(checked, T.BooleanType())] if checked else []
@@ -324,6 +325,14 @@ def encode(
     return made.unionByName(giants.select(*schema.names))
 
 
+def _without(frame: DataFrame, source: str, *made: str | None) -> DataFrame:
+    """The frame less the columns that an operator makes anew from ``source``."""
+    names = {n.lower() for n in made if n}
+    if source.lower() in names:
+        raise ValueError(f"{source} is the input and cannot be made anew")
+    return frame.select(*[F.col(f"`{n}`") for n in frame.columns if n.lower() not in names])
+
+
 def _checker(model: str, text: str, column: str, checked: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,7 +345,8 @@ def _checker(model: str, text: str, column: str, checked: str):
 
 def _scanned(giants: DataFrame, model: str, text: str, column: str, chunk: int) -> DataFrame:
     """Giant texts: transfers by chunk, states by document, traces by chunk."""
-    longest = 64  # characters of context around a chunk; more than any piece has
+    # Characters of context around a chunk.
+    longest = max(64, pieces(model).longest)
     key = "scan_row"
     while key in giants.columns:
         key += "_"
@@ -431,7 +441,8 @@ def _traces(model: str):
 
 
 def decode(frame: DataFrame, model: str = MODEL, column: str = "pieces", text: str = "decoded") -> DataFrame:
-    """The rows of ``frame`` with the text of their pieces more."""
+    """The rows of ``frame`` with the text of their pieces more, in place of a column of that name."""
+    frame = _without(frame, column, text)
     schema = T.StructType([*frame.schema.fields, T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

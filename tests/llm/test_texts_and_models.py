@@ -197,6 +197,35 @@ def test_language_model_without_training_texts(documents):
     assert recurrent.lm_scores(documents([])).count() == 0
 
 
+def test_columns_with_the_names_of_results_are_replaced(documents):
+    if not __import__("os").path.exists(pieces.MODEL):
+        pytest.skip("no tokenizer files here")
+    frame = documents([(1, "some words"), (2, prose(3, 200)), (3, None)])
+    clashing = frame.selectExpr("*", "'old' AS Pieces", "1 AS back", "'x' AS decoded")
+    found = pieces.decode(pieces.encode(clashing, giant=500, chunk=100, checked="back"))
+    assert sorted(found.columns) == sorted([*frame.columns, "pieces", "back", "decoded"])
+    assert all(r["decoded"] == r["text"] and r["back"] for r in found.collect())
+    with pytest.raises(ValueError, match="input"):
+        pieces.encode(frame, column="text")
+
+
+def test_every_word_is_learned_after_the_one_before_it(monkeypatch):
+    seen = []
+
+    def gradient(self, h, inputs, keep, target):
+        seen.extend(zip(inputs.ravel().tolist(), target.ravel().tolist(), strict=True))
+        assert h.shape[0] == inputs.shape[1] and keep.shape == inputs.shape == target.shape
+        return np.zeros_like(self.flat), h
+
+    monkeypatch.setattr(recurrent.Gru, "gradient", gradient)
+    flat = recurrent.start(np.ones(recurrent.WORDS))
+    for n in (0, 1, 7, 300, 1003):
+        seen.clear()
+        words = np.arange(1, n + 1, dtype=np.int32)
+        recurrent.Trainer(flat, 16, 0.1).learn(words, 0)
+        assert sorted(seen) == [(i, i + 1) for i in range(n)]
+
+
 def test_gradients_and_carried_state():
     rng = np.random.default_rng(0)
     flat = recurrent.start(rng.integers(1, 50, recurrent.WORDS).astype(float)).astype(np.float64)

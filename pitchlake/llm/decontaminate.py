@@ -13,6 +13,12 @@ tokens, or the whole of a shorter item. Where slots of a stretch contradict each
 consistent runs are looked at; beside a contradiction the pattern alone says little, so such a run has
 to be borne out: as many slots keep or repeat a value as values changed, or it has ``LONG`` tokens.
 
+Items that differ only in the values of their slots, with equal values in the same places, are one class: a
+text holds all or none of their common pattern. Windows, stretches and slots are searched once for a class, and
+its nearest item, the one with the fewest slots that differ, gives the row. So many items of one template
+against many texts of it make a row for each place in a text, not one for each pair. Among plain words a name
+matches that of any item of the class, so a run there may be longer than with its nearest item alone.
+
 The benchmark is the stated query set: it is read in blocks of at most ``BLOCK_BYTES`` of text, each
 broadcast in turn. Documents stay where they are read and are never shuffled.
 
@@ -20,6 +26,7 @@ Defined results
     Null or empty texts, and items without any word, match nothing. Items of fewer than ``LEAST`` tokens,
     and others without a window of ``LITERAL`` plain words, are found word for word only, the short ones
     wherever their words stand in a row, even a single one. Items of equal text count as one, under the smallest id.
+    Of the items of a class equally near to a place the smallest id counts.
     Of the three readings the one that covers most of an item gives its row. A run of several names is one
     token only inside a sentence and with capitals. Repeated documents are answered each. Null ids are kept as they are. No rows: no rows. Further
     columns are ignored.
@@ -27,6 +34,7 @@ Defined results
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.text import WORDS, Tokens, blocks, hash_ranges, texts, tokens, windows
+from pitchlake.llm.text import WORDS, Tokens, blocks, hash_ranges, mix, texts, tokens, windows
 
 WINDOW = 8  # and shorter ones, down to the whole of the shortest item, in plain words
 LITERAL = 4
@@ -156,16 +164,52 @@ class Reading:
         self.found, self.literal = found, literal
         self.bounds = np.searchsorted(found.text, np.arange(rows + 1))
         size = np.diff(self.bounds)
+        self._classify(rows)
         self.by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for n in range(LEAST if literal else 1, WINDOW + 1):
             value, at = keyed(found, n, literal)
             wanted = size[found.text[at]] >= WINDOW if n == WINDOW else size[found.text[at]] == n
             value, at = value[wanted], at[wanted]
+            if n == WINDOW or literal:  # once for a class, where its first item has them
+                item = found.text[at]
+                at = self.bounds[self.lead[item]] + at - self.bounds[item]
             if len(value):
-                order = np.argsort(value, kind="stable")
+                order = np.lexsort((at, value))
+                value, at = value[order], at[order]
+                fresh = np.append(True, (value[1:] != value[:-1]) | (at[1:] != at[:-1]))
+                value, at = value[fresh], at[fresh]
                 near = np.zeros(1 << 22, bool)
                 near[(value & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
-                self.by_size[n] = (value[order], at[order], near)
+                self.by_size[n] = (value, at, near)
+
+    def _classify(self, rows: int) -> None:
+        """The first item of each item's class, and the items of each class that has several."""
+        found = self.found
+        shown = np.where(found.kind == WORD, found.value, _KINDS[np.maximum(found.kind, 1) - 1])
+        # A slot is told by the place of the first slot of its item with the same value.
+        slots = np.flatnonzero(found.kind != WORD)
+        slots = slots[np.lexsort((slots, found.value[slots], found.kind[slots], found.text[slots]))]
+        new = np.ones(len(slots), bool)
+        if len(slots):
+            new[1:] = np.any([x[slots[1:]] != x[slots[:-1]] for x in (found.value, found.kind, found.text)], axis=0)
+        first = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
+        place = np.zeros(len(shown), np.int64)
+        place[slots] = first - self.bounds[found.text[slots]] + 1
+        classes: dict[bytes, list[int]] = {}
+        for i, (a, b) in enumerate(zip(self.bounds[:-1], self.bounds[1:], strict=True)):
+            key = hashlib.blake2b(shown[a:b].tobytes() + place[a:b].tobytes(), digest_size=16).digest()
+            classes.setdefault(key, []).append(i)
+        self.lead = np.zeros(rows, np.int64)
+        self.members: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # and what they have at each place
+        for items in classes.values():
+            self.lead[items] = items[0]
+            if len(items) > 1:
+                places = np.arange(self.bounds[items[0] + 1] - self.bounds[items[0]])
+                self.members[items[0]] = np.array(items), found.value[self.bounds[items] + places[:, None]]
+        # Names of the others of a class, by place: a copy in small letters may hold any of them.
+        names = np.flatnonzero((found.kind == NAME) & (self.lead[found.text] != found.text)) if rows else slots
+        item = found.text[names]
+        self.names = np.unique(_placed(found.value[names], self.bounds[self.lead[item]] + names - self.bounds[item]))
 
     def matches(self, found: Templates) -> Iterator[tuple[int, int, int, int, int]]:
         """Text, item, how many tokens are covered, how many the item has, and how many slots differ."""
@@ -212,12 +256,14 @@ class Reading:
             whole = last - first
             if covered < min(RUN, whole):
                 continue
-            # Also without what lies beside it, which may contradict it.
-            for before, n in {(head, covered), (0, tail - at[a])}:
-                run = self._run(found, int(place[a] - before), int(at[a] - before), int(n), int(min(RUN, whole)))
-                if run is not None:
-                    key = (int(text[a]), int(item[a]))
-                    best[key] = max(best.get(key, (0, 0)), run)
+            # Also without what lies beside it, if that contradicts it.
+            for before, n in ((head, covered), (0, tail - at[a])):
+                runs = self._runs(found, int(place[a] - before), int(at[a] - before), int(n), int(min(RUN, whole)), int(item[a]))
+                for i, *run in runs:
+                    key = (int(text[a]), i)
+                    best[key] = max(best.get(key, (0, 0)), tuple(run))
+                if any(length == n for _, length, _ in runs):
+                    break
 
     def _reach(self, found: Templates, place: int, at: int, n: int, left: int, step: int) -> int:
         """How many of ``n`` tokens from a place on, forwards or backwards, match; the item has ``left`` more."""
@@ -227,6 +273,8 @@ class Reading:
         theirs = slice(at, at + n) if step > 0 else slice(at - n + 1, at + 1)
         kind = found.kind[mine]
         same = (found.hash[mine] == self.found.hash[theirs]) | ((kind == self.found.kind[theirs]) & (kind != WORD))
+        if not self.literal and len(self.names):
+            same |= _within(_placed(found.hash[mine], np.arange(theirs.start, theirs.stop)), self.names)
         same = same[::step]
         named = _named(kind, self.found.kind[theirs])[::step] & ~same
         named &= ~np.append(False, named[:-1])
@@ -234,13 +282,14 @@ class Reading:
         # A name matched with another word counts only between matches, or where the item ends.
         return reach - 1 if reach and not same[reach - 1] and reach < left else reach
 
-    def _run(self, found: Templates, place: int, at: int, n: int, least: int) -> tuple[int, int] | None:
-        """Length of the longest consistent run of a stretch, and how many of its slots differ."""
+    def _runs(self, found: Templates, place: int, at: int, n: int, least: int, lead: int) -> list[tuple[int, int, int]]:
+        """Item, length and differing slots of the longest consistent run of a stretch, for the items nearest to a run."""
         mine, kind = found.kind[place: place + n], self.found.kind[at: at + n]
         kind = np.where(_named(mine, kind), NAME, kind)
         slots = np.flatnonzero(kind != WORD)
         keys = list(zip(kind[slots].tolist(), self.found.value[at + slots].tolist(), strict=True))
-        values = found.value[place + slots].tolist()
+        written = found.value[place + slots]
+        values = written.tolist()
         # Two pointers: a slot that contradicts an earlier one starts the next run behind that one.
         runs, first, begin, seen = [], 0, 0, {}
         for i, (key, value) in enumerate(zip(keys, values, strict=True)):
@@ -250,15 +299,29 @@ class Reading:
                 first, begin = int(slots[before]) + 1, before + 1
             seen[key] = i
         runs.append((first, n, begin, len(keys)))
-        best = None
+        begins, ends = self.bounds[lead], self.bounds[lead + 1]
+        members, held = self.members.get(lead) or (np.array([lead]), self.found.value[begins:ends, None])
+        held = held[at - begins + slots]
+        best: dict[int, tuple[int, int]] = {}
         for first, last, begin, end in runs:
-            pairs = list(zip(keys[begin:end], values[begin:end], strict=True))
-            differing = sum(key[1] != value for key, value in pairs)
-            changed = len({key for key, value in pairs if key[1] != value})
-            borne_out = len(runs) == 1 or last - first >= LONG or len(pairs) - changed >= changed
-            if last - first >= least and borne_out:
-                best = max(best or (0, 0), (last - first, differing))
-        return best
+            if last - first < least:
+                continue
+            differs = held[begin:end] != written[begin:end, None]
+            differing = np.count_nonzero(differs, axis=0)
+            if len(runs) > 1 and last - first < LONG:
+                leads = [i for i in range(end - begin) if keys[begin + i] not in keys[begin: begin + i]]
+                changed = np.count_nonzero(differs[leads], axis=0)
+                differing[end - begin - changed < changed] = n + 1  # not borne out
+            nearest = int(np.argmin(differing))
+            if differing[nearest] <= n:
+                run = last - first, int(differing[nearest])
+                best[int(members[nearest])] = max(best.get(int(members[nearest]), (0, 0)), run)
+        return [(i, *run) for i, run in best.items()]
+
+
+def _placed(value: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Hashes of values at their places."""
+    return mix(value ^ mix(place))
 
 
 def _named(kind: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -296,6 +359,7 @@ def item_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[tuple
     count = max(1, -(-total // BLOCK_BYTES))
     for block in range(count):
         mine = items.where(F.pmod(F.xxhash64("text"), F.lit(count)) == block).collect()
+        mine.sort(key=lambda r: (r["item_id"] is None, r["item_id"]))  # the first item of a class is its smallest
         yield [r["item_id"] for r in mine], [r["text"] for r in mine]
 
 

@@ -8,9 +8,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from pitchlake.llm import decontaminate, graph, jaccard, suffixes, topk
+from pitchlake.llm import decontaminate, graph, jaccard, suffixes, text, topk
 from tests.llm.conftest import edge_texts, prose
 
 
@@ -318,3 +319,57 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
         found = topk.exact_top_k(frame, frame.where("vec_id % 50 = 0"), 5, query_block=block)
         assert sorted(map(tuple, found.collect())) == topk_brute(rows, 5)
     assert topk.exact_top_k(frame.limit(0), frame.limit(0)).count() == 0
+
+
+def test_items_of_one_template_are_one_class(spark, documents):
+    rng = random.Random(5)
+
+    def question() -> str:
+        name, (a, b, c) = rng.choice(["Alice", "Carol", "Emil"]), rng.sample(range(2, 999), 3)
+        return f"If {name} has {a} apples and gives Bob {b} kg of them to her friends, how many apples does {name} have left after {c} days?"
+
+    items = list(enumerate(sorted({question() for _ in range(300)})))
+    equal = ITEM.replace("12", "7").replace(" 5 ", " 7 ")  # another class: two slots have one value
+    items.append((len(items), equal))
+    assert decontaminate.Reading(
+        decontaminate.templates(*text.texts(pa.array([t for _, t in items])))[0], len(items), decontaminate.LITERAL
+    ).lead.tolist() == [0] * (len(items) - 1) + [len(items) - 1]
+    pairs = [(i, f"So {t} Well.") for i, t in items] + [(1000 + i, t.lower()) for i, t in items] + [(5000, OTHER.replace("Dan", "Carl"))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(documents(pairs).repartition(4), bench).collect()
+    literal = {(r["doc_id"], r["item_id"]) for r in found if r["changed_slots"] == 0 and r["covered"] == r["item_tokens"]}
+    assert literal == {(i, i) for i, _ in items} | {(1000 + i, i) for i, _ in items}
+    assert 5000 in {r["doc_id"] for r in found}
+    assert len(found) <= 4 * len(pairs)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_classes_find_what_each_item_alone_finds(seed):
+    rng = random.Random(seed)
+    frame = prose(80, 24).split()
+
+    def made() -> str:
+        words = list(frame)
+        for place in (3, 9, 10, 17, 22):
+            words[place] = rng.choice(["5", "6", "two", "Ada", "Max"])
+        return " ".join(words)
+
+    items = sorted({made() for _ in range(40)})
+    told = [made() for _ in range(30)]
+    told += [x.lower() for x in told[:10]] + [" ".join(x.split()[: rng.randint(8, 24)]) for x in told]
+    read = decontaminate.templates(*text.texts(pa.array(told)))
+
+    def covered(found) -> dict[int, int]:
+        longest: dict[int, int] = {}
+        for t, _, n, *_ in found:
+            longest[t] = max(longest.get(t, 0), n)
+        return longest
+
+    every, single = decontaminate.Items(list(range(len(items))), items), [decontaminate.Items([0], [x]) for x in items]
+    for way in range(3):
+        together = covered(every.readings[way].matches(read[way]))
+        alone = covered(x for one in single for x in one.readings[way].matches(read[way]))
+        if way < 2:
+            assert together == alone
+        else:  # a small letter name of any item of the class counts
+            assert together.keys() == alone.keys() and all(together[t] >= alone[t] for t in alone)

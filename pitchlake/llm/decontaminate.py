@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation and windows.
 
 Texts become templates: numbers (digits, also with separators, or number words), units behind a number and names turn into typed
-placeholders; all else is the lower-cased word. Each text is read three times: with capitalised words
+placeholders, words of four languages among them; all else is the lower-cased word. Each text is read three times: with capitalised words
 inside a sentence as names, a run of them as one, with each capitalised word as a name, wherever it
 stands, and as plain lower-cased words, so that a literal copy never depends on typing. Windows of
 ``WINDOW`` tokens, in templates those with at least ``LITERAL`` plain words, are hash-joined with those of the
@@ -52,15 +52,27 @@ RUN = 13
 LONG = 2 * RUN
 BLOCK_BYTES = 16 << 20
 WORD, NUMBER, NAME, UNIT = range(4)
+# Words of English, German, French and Spanish; without the Spanish 11, which is another word in English.
 NUMBERS = (
     "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
-    "seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
+    "seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion "
+    "null eins zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn "
+    "achtzehn neunzehn zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend millionen milliarde "
+    "milliarden zéro deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt trente "
+    "quarante cinquante soixante mille millions milliard milliards cero dos tres cuatro cinco seis siete ocho nueve diez "
+    "doce trece catorce quince veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa cien ciento mil millón "
+    "millones"
 ).split()
 UNITS = (
     "mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g gram grams kg kilogram kilograms oz ounce "
     "ounces lb lbs pound pounds ton tons ml l liter liters litre litres gallon gallons ms s sec second seconds min minute "
     "minutes h hr hour hours day days week weeks month months year years c f k kph mph hz khz mhz ghz w kw v a j kj "
-    "dollar dollars euro euros cent cents usd eur percent degree degrees"
+    "dollar dollars euro euros cent cents usd eur percent degree degrees "
+    "tag tage tagen stunde stunden minuten sekunde sekunden woche wochen monat monate monaten jahr jahre jahren meter "
+    "kilometer zentimeter gramm kilogramm kilo grad prozent jour jours heure heures seconde secondes semaine semaines mois "
+    "an ans année années mètre mètres kilomètre kilomètres gramme grammes kilos litres degré degrés centimes día días hora "
+    "horas minuto minutos segundo segundos semana semanas mes meses año años metro metros kilómetro kilómetros gramo "
+    "gramos litro litros grado grados céntimos"
 ).split()
 _BREAKS = np.isin(np.arange(256), [ord(c) for c in ".!?\n"])
 _SEPARATES = np.isin(np.arange(256), [ord(c) for c in ".,"])
@@ -69,9 +81,17 @@ _DIGIT = np.isin(np.arange(256), np.arange(48, 58))
 
 
 def _hashes(words: list[str]) -> np.ndarray:
-    data = np.frombuffer("".join(words).encode(), np.uint8)
-    ends = np.cumsum([len(w) for w in words])
-    return np.sort(hash_ranges(data, ends - [len(w) for w in words], ends))
+    written = [w.encode() for w in words]
+    size = [len(w) for w in written]
+    ends = np.cumsum(size)
+    return np.sort(hash_ranges(np.frombuffer(b"".join(written), np.uint8), ends - size, ends))
+
+
+def _capitals(data: np.ndarray) -> np.ndarray:
+    """Which bytes begin a capital letter: A-Z, and those of Latin-1, which have two bytes."""
+    latin = np.zeros(len(data), bool)
+    latin[:-1] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    return latin | _UPPER[data]
 
 
 def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -104,8 +124,10 @@ def templates(data: np.ndarray, offsets: np.ndarray) -> list[Templates]:
     unit = _within(found.hash, _UNIT_WORDS) & ~first & np.append(False, number[:-1])
     # A name: a capital, then none. Inside a sentence: no end of one between it and the word before.
     before = np.append(0, end[:-1])
-    capitals = np.append(0, np.cumsum(_UPPER[data]))
-    titled = _UPPER[data[found.start]] & (capitals[end] - capitals[found.start] == 1) & (found.length > 1)
+    capital = _capitals(data)
+    capitals = np.append(0, np.cumsum(capital))
+    letter = 1 + (data[found.start] == 0xC3)
+    titled = capital[found.start] & (capitals[end] - capitals[found.start] == 1) & (found.length > letter)
     breaks = np.append(0, np.cumsum(_BREAKS[data]))
     inside = ~first & (breaks[found.start] == breaks[before])
     made = []

@@ -373,3 +373,18 @@ def test_classes_find_what_each_item_alone_finds(seed):
             assert together == alone
         else:  # a small letter name of any item of the class counts
             assert together.keys() == alone.keys() and all(together[t] >= alone[t] for t in alone)
+
+
+def test_values_of_other_languages_are_slots(spark, documents):
+    items = [
+        (1, "Wenn Änne drei Körbe mit sieben Liter Saft füllt, wie viel Saft hat Änne nach neun Tagen noch im Haus?"),
+        (2, "Si Élise achète trois pommes rouges et donne deux litres de jus à sa mère, combien reste-t-il après cinq jours à Élise?"),
+        (3, "Si Íñigo compra tres libros viejos y regala dos kilos de pan a su madre, cuántos libros tiene Íñigo después de cinco días?"),
+    ]
+    told = [
+        (1, items[0][1].replace("Änne", "Otto").replace("drei", "acht").replace("sieben", "12").replace("neun Tagen", "zwei Wochen")),
+        (2, items[1][1].replace("Élise", "Marc").replace("trois", "huit").replace("deux", "6").replace("cinq jours", "sept heures")),
+        (3, items[2][1].replace("Íñigo", "Óscar").replace("tres", "ocho").replace("dos", "9").replace("cinco días", "seis horas")),
+        (4, items[0][1].replace("drei", "einige").replace("sieben", "manche").replace("neun", "wenigen")),
+    ]
+    assert found_items(spark, documents, items, told) == [(1, 1), (2, 2), (3, 3)]

@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pitchlake.catalog.columns import TableLayout
 from pitchlake.operators.cluster import z_value
 from pitchlake.operators.conform import conform
+from pitchlake.session import compiled_rows
 
 
 @dataclass(frozen=True)
@@ -102,6 +104,9 @@ def partitions(spark: SparkSession, name: TableName) -> list[dict[str, str]]:
     ]
 
 
+MOST_TASKS = 4000  # before small ones are merged
+
+
 # The overwrite mode is a setting of the session, which the threads of a driver share.
 _OVERWRITE = threading.RLock()
 
@@ -123,17 +128,16 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
 
 
 def laid_out(
-    frame: DataFrame, layout: TableLayout, inside: Column, where: object, z_order: Sequence[str] = ()
+    frame: DataFrame, layout: TableLayout, inside: Column, where: object, z_order: Sequence[str] = (), parts: int = 0
 ) -> tuple[DataFrame, Observation]:
     """The rows as they are written, and an observation of (rows, partitions) of that write.
 
     Inside a partition rows are sorted by the layout's clustering columns or, if ``z_order`` names
-    columns, by their Z-order value, whose bounds take one more pass over the frame.
+    columns, by their Z-order value, whose bounds take one more pass over the frame. ``parts`` is about how
+    many partitions the slice has, where that is known.
     """
     rows = conform(frame, layout)
-    order = [*layout.partition_by, *layout.cluster_by]
-    if z_order:
-        order = [*layout.partition_by, z_value(rows, z_order)]
+    place = z_value(rows, z_order) if z_order else None
     # A row outside the slice would overwrite a partition the caller did not ask for: stop instead.
     first = layout.partition_by[0]
     rows = rows.withColumn(
@@ -146,12 +150,16 @@ def laid_out(
     )
     # Rebalance gathers a partition's rows into few files, and splits a partition that is too big
     # for one task; the sort then makes row-group statistics useful for the clustering columns.
-    # Of a bucketed table, a bucket's rows are gathered instead; one that is too big has several files.
+    # Of a bucketed table, a bucket's rows of a partition are gathered; one that is too big has several files.
+    # A task that is split writes a file for each partition it holds, so at first there are as many tasks as
+    # partitions, and only a partition that is too big by itself has several files.
+    keys, expected = [F.col(c) for c in layout.partition_by], parts
     if layout.buckets:
         key, count = layout.buckets
-        rows = rows.withColumn("_bucket", F.pmod(F.hash(key), F.lit(count))).hint("rebalance", "_bucket").drop("_bucket")
-    else:
-        rows = rows.hint("rebalance", *[F.col(c) for c in layout.partition_by])
+        keys, expected = [*keys, F.col("_bucket")], max(parts, 1) * count
+        rows = rows.withColumn("_bucket", F.pmod(F.hash(key), F.lit(count)))
+    first_tasks = max(min(2 * expected, MOST_TASKS), int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.hint("rebalance", *([first_tasks] if expected > 1 else []), *keys).drop("_bucket")
     # Counted while writing, after the shuffle. The set holds partition values, not rows: at most
     # one entry per partition of the slice.
     seen = Observation()
@@ -159,7 +167,10 @@ def laid_out(
     rows = rows.observe(
         seen, F.count(F.lit(1)).alias("rows"), F.collect_set(landed).alias("partitions")
     )
-    return rows.sortWithinPartitions(*order), seen
+    if place is None:
+        return rows.sortWithinPartitions(*layout.partition_by, *layout.cluster_by), seen
+    # Worked out once a row: as an order it would be worked out anew at every comparison.
+    return rows.withColumn("_place", place).sortWithinPartitions(*layout.partition_by, "_place").drop("_place"), seen
 
 
 def _replace(
@@ -167,13 +178,15 @@ def _replace(
     name: TableName,
     layout: TableLayout,
     inside: Column,
-    covers: Callable[[dict[str, str]], bool],
+    covers: Sequence[Callable[[dict[str, str]], bool]],
     drop_when_empty: bool,
     z_order: Sequence[str] = (),
+    parts: int = 0,
 ) -> int:
+    """``covers`` tells the partitions of each part of the slice that is emptied, or left, by itself."""
     spark = frame.sparkSession
-    rows, seen = laid_out(frame, layout, inside, name, z_order)
-    with _dynamic_overwrite(spark):
+    rows, seen = laid_out(frame, layout, inside, name, z_order, parts)
+    with compiled_rows(spark), _dynamic_overwrite(spark):
         rows.select(*spark.table(str(name)).columns).write.mode("overwrite").insertInto(
             str(name)
         )
@@ -182,10 +195,12 @@ def _replace(
     if count == 0 and not drop_when_empty:
         return 0
     filled = {tuple(p) for p in found.get("partitions") or []}
+    landed = [dict(zip(layout.partition_by, p, strict=True)) for p in filled]
+    emptied = [c for c in covers if drop_when_empty or any(c(p) for p in landed)]
     stale = [
         p
         for p in partitions(spark, name)
-        if covers(p) and tuple(p[c] for c in layout.partition_by) not in filled
+        if any(c(p) for c in emptied) and tuple(p[c] for c in layout.partition_by) not in filled
     ]
     specs = [
         "PARTITION (" + ", ".join(f"`{c}` = {_quoted(p[c])}" for c in layout.partition_by) + ")"
@@ -205,15 +220,33 @@ def replace_days(
     An empty frame leaves the table as it is, unless ``keep_when_empty`` is off: then it empties the
     days. ``z_order`` names columns to cluster by in place of the layout's.
     """
+    return replace_spans(frame, name, layout, [(start, end)], z_order, keep_when_empty)
+
+
+def replace_spans(
+    frame: DataFrame, name: TableName, layout: TableLayout, spans: Sequence[tuple[date, date]],
+    z_order: Sequence[str] = (), keep_when_empty: bool = True,
+) -> int:
+    """``replace_days`` of several spans [start, end] at once, in one write; returns the rows written.
+
+    Unless ``keep_when_empty`` is off, a span that the frame has no row of is left as it is.
+    """
+    if not spans:
+        return 0
     day = layout.partition_by[0]
+
+    def covers(first: date, last: date) -> Callable[[dict[str, str]], bool]:
+        return lambda p: first.isoformat() <= p[day] <= last.isoformat()
+
     return _replace(
         frame,
         name,
         layout,
-        F.col(day).between(F.lit(start), F.lit(end)),
-        lambda p: start.isoformat() <= p[day] <= end.isoformat(),
+        reduce(Column.__or__, [F.col(day).between(F.lit(a), F.lit(b)) for a, b in spans]),
+        [covers(a, b) for a, b in spans],
         drop_when_empty=not keep_when_empty,
         z_order=z_order,
+        parts=sum((b - a).days + 1 for a, b in spans),
     )
 
 
@@ -233,8 +266,9 @@ def replace_seasons(
         name,
         layout,
         F.col(season).isin(wanted),
-        lambda p: p[season] in {str(s) for s in wanted},
+        [lambda p: p[season] in {str(s) for s in wanted}],
         drop_when_empty=True,
+        parts=len(wanted),
     )
 
 
@@ -246,7 +280,7 @@ def replace_key(frame: DataFrame, name: TableName, layout: TableLayout, **key: s
     for column, value in key.items():
         inside = inside & (F.col(f"`{column}`") == value)
     return _replace(
-        frame, name, layout, inside, lambda p: all(p[c] == v for c, v in key.items()), False
+        frame, name, layout, inside, [lambda p: all(p[c] == v for c, v in key.items())], False
     )
 
 

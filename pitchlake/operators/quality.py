@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pitchlake.catalog.columns import Column as TableColumn
 from pitchlake.catalog.columns import TableLayout
+from pitchlake.session import compiled_rows
 
 CHECKS = ("not_null", "valid_range", "valid_values", "deprecated")
 
@@ -84,7 +85,7 @@ def profile(frame: DataFrame, layout: TableLayout) -> DataFrame:
     """Rows (column_name, dtype, row_count, non_null, null_share, min_value, max_value).
 
     Two passes: text, whose bounds need sorting aggregates, and everything else. Arrays have counts
-    but no bounds.
+    but no bounds. The table is read at once, with ``compiled_rows``, and the result is one row a column.
     """
     here = [c for c in layout.columns if c.name in frame.columns]
     texts = [c for c in here if c.dtype == "string"]
@@ -107,7 +108,10 @@ def profile(frame: DataFrame, layout: TableLayout) -> DataFrame:
             " null_share, min_value, max_value)"
         )
 
-    return reduce(DataFrame.union, [measured(g) for g in groups])
+    found = reduce(DataFrame.union, [measured(g) for g in groups])
+    with compiled_rows(frame.sparkSession):
+        rows = found.collect()
+    return frame.sparkSession.createDataFrame(rows, found.schema)
 
 
 def games_without_pitches(

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import replace
 from datetime import date
 
@@ -22,6 +23,7 @@ from pitchlake.operators.dictionary import apply_dictionary
 from pitchlake.operators.versions import Conflict, VersionedTable, days
 from pitchlake.plans import curated, feed, games, metrics, states, verify
 from pitchlake.plans.sync import SyncTables, sync
+from pitchlake.session import compiled_rows
 from pitchlake.sources import documents, manifest
 from pitchlake.sources import leaderboard as boards
 from pitchlake.sources.pitches import distinct_games, pitch_batch
@@ -297,6 +299,19 @@ def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aside.unionByName(whole).unionByName(games.withColumn("name", F.lit("home runs")))
 
 
+@contextmanager
+def _landing_months(spark: SparkSession) -> Iterator[None]:
+    """A task lands its rows in the files of all months at once, a dozen a batch, in place of sorting them first."""
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "16")
+    try:
+        with compiled_rows(spark):
+            yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days of a range from landed files, a folder a month, that came in two batches with other columns."""
     database, location = scratch_database(spark)
@@ -306,7 +321,8 @@ def _landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = landed.where("game_year >= 2024").withColumn("batter", F.col("batter").cast("string"))
     noted = 0
     for batch in (early, late):
-        batch.write.mode("append").partitionBy("month").parquet(f"{location}/landing")
+        with _landing_months(spark):
+            batch.write.mode("append").partitionBy("month").parquet(f"{location}/landing")
         noted += manifest.extend(spark, f"{location}/landing", name)
     span = (date(2023, 4, 3), date(2024, 5, 31))
     told = spark.table(str(name)).agg(F.sum("rows").alias("n"), F.count("*").alias("files")).first()
@@ -470,7 +486,8 @@ def _daily_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs_of_days = []
     for part in (landed.where("game_pk % 3 > 0"), landed.where("game_pk % 3 = 0"), None):
         if part is not None:
-            part.write.mode("append").parquet(f"{location}/landing")
+            with compiled_rows(spark):
+                part.write.mode("append").parquet(f"{location}/landing")
         runs_of_days.append(feed.load_new_files(spark, f"{location}/landing", name, files, f"{location}/place"))
     return spark.table(str(name)).groupBy("game_date").agg(
         F.count("*").alias("pitches"), F.sum("batter").alias("batters")

@@ -8,7 +8,9 @@ run again after a crash gives the same table.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +35,19 @@ def spans(days: list[date]) -> list[tuple[date, date]]:
     return found
 
 
+@contextmanager
+def _gathered(rows: DataFrame, pitches: TableName, found: list[tuple[date, date]]) -> Iterator[DataFrame]:
+    """The rows from a table split by day that lasts as long as the batch, beside the pitch table."""
+    spark = rows.sparkSession
+    name = pitches.sibling(f"_batch_{uuid.uuid4().hex[:12]}")
+    try:
+        create_table(spark, name, PITCHES)
+        tables.replace_spans(rows, name, PITCHES, found)
+        yield spark.table(str(name))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def load_new_files(
     spark: SparkSession, landing: str, pitches: TableName, files: TableName, checkpoint: str,
     replace: Replace | None = None, files_per_batch: int = 1000,
@@ -41,19 +56,30 @@ def load_new_files(
 
     ``checkpoint`` keeps the stream's place and ``files`` the table of landed files. ``replace`` writes a
     span of days, by default into the table ``pitches``; give ``states.replace_days`` or a versioned table's
-    to keep those.
+    to keep those. A batch opens each file once, however many spans its days are: without ``replace`` they are
+    written together, else a table gathers the batch by day for as long as it takes.
     """
     create_table(spark, pitches, PITCHES)
     done: list[tuple[date, date]] = []
-    write = replace or (lambda rows, first, last: tables.replace_days(rows, pitches, PITCHES, first, last))
 
     def batch(rows: DataFrame, _: int) -> None:
         # The days of the new files, a few hundred a season.
         days = [r[0] for r in rows.select("game_date").where("game_date IS NOT NULL").distinct().collect()]
         manifest.extend(spark, landing, files)
-        for first, last in spans(days):
-            write(manifest.read_range(spark, files, first, last), first, last)
-            done.append((first, last))
+        found = spans(days)
+        rows = manifest.read_spans(spark, files, found)
+        if replace is None:
+            tables.replace_spans(rows, pitches, PITCHES, found)
+            done.extend(found)
+        elif len(found) < 2:
+            for first, last in found:
+                replace(rows, first, last)
+                done.append((first, last))
+        else:
+            with _gathered(rows, pitches, found) as by_day:
+                for first, last in found:
+                    replace(by_day.where(F.col("game_date").between(F.lit(first), F.lit(last))), first, last)
+                    done.append((first, last))
 
     stream = (
         spark.readStream.schema("game_date date").option("recursiveFileLookup", True)

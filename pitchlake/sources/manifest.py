@@ -10,7 +10,9 @@ joined as the pitch table wants them.
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,15 +87,24 @@ def overlapping(files: DataFrame, start: date, end: date) -> DataFrame:
 
 def read_range(spark: SparkSession, name: TableName, start: date, end: date) -> DataFrame:
     """Pitches of [start, end] from the files that overlap it, with exactly the pitch table's columns."""
-    wanted = overlapping(spark.table(str(name)), start, end).select("schema", "path")
+    return read_spans(spark, name, [(start, end)])
+
+
+def read_spans(spark: SparkSession, name: TableName, spans: Sequence[tuple[date, date]]) -> DataFrame:
+    """Pitches of several spans [start, end]. A file is opened once, however many of the spans it overlaps."""
+    if not spans:
+        return empty_pitches(spark)
+    start, end = min(a for a, _ in spans), max(b for _, b in spans)
+    wanted = overlapping(spark.table(str(name)), start, end).select("schema", "path", "first_day", "last_day")
     by_schema: dict[str, list[str]] = {}
     for r in wanted.orderBy("path").collect():  # names of the files to be opened
-        by_schema.setdefault(r["schema"], []).append(r["path"])
+        if any(r["first_day"] <= b and a <= r["last_day"] for a, b in spans):
+            by_schema.setdefault(r["schema"], []).append(r["path"])
     if not by_schema:
         return empty_pitches(spark)
+    inside = reduce(Column.__or__, [F.col(DAY).between(F.lit(a), F.lit(b)) for a, b in spans])
     parts = [
-        pitch_batch(spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*paths), start, end)
+        pitch_batch(spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*paths), start, end).where(inside)
         for schema, paths in sorted(by_schema.items())
     ]
     return union_batches(parts)
-
